@@ -1 +1,178 @@
-"""placeholder"""
+"""Queries for model fits, explanation, matrix / model persistence and scoring.
+
+These are checked by row counts and invariants (tests), not by SQL. They run with QUICK sizes
+(10 trees of depth 4, 4 search draws) so the whole catalog stays fast on a laptop; the library's
+own defaults are the reference's sizes (``Settings``).
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from riskflow.operators import encode as E
+from riskflow.operators import evaluate as V
+from riskflow.operators import explain as K
+from riskflow.operators import models as M
+from riskflow.operators import score as SC
+from riskflow.operators import split as SP
+from riskflow.plans.catalog import query
+from riskflow.plans.pipeline import merged, stages
+from riskflow.plans.queries_base import _scratch
+from riskflow.session import cut_lineage
+from riskflow.settings import DEFAULT
+from riskflow.sources import tables as T
+from riskflow.streaming.score_stream import RECORD_SCHEMA, score_stream
+
+QUICK = DEFAULT.with_(gbt_trees=10, gbt_depth=4)
+SEARCH_DRAWS = 4
+_MEMO: dict = {}
+
+
+def _key(spark, sf, what):
+    return (spark.sparkContext.applicationId, sf, what)
+
+
+def matrix(spark, sf) -> M.Matrix:
+    k = _key(spark, sf, "matrix")
+    if k not in _MEMO:
+        mx = M.model_matrix(stages(spark, sf).crossed, QUICK)
+        _MEMO[k] = M.Matrix(cut_lineage(mx.train), cut_lineage(mx.valid), mx.names)
+    return _MEMO[k]
+
+
+def _metrics(res):
+    return res[2]
+
+
+@query("logistic_baseline")
+def logistic_baseline(spark, sf):
+    """M1: L2 logistic regression with balanced weights; validation metrics."""
+    return _metrics(M.logistic_baseline(matrix(spark, sf), QUICK))
+
+
+@query("gbt_baseline")
+def gbt_baseline(spark, sf):
+    """M2: boosted trees with balanced weights; validation metrics."""
+    return _metrics(M.gbt_baseline(matrix(spark, sf), QUICK))
+
+
+@query("rf_baseline")
+def rf_baseline(spark, sf):
+    """Random forest (named in the reference's README); validation metrics."""
+    return _metrics(M.rf_baseline(matrix(spark, sf), QUICK))
+
+
+@query("gbt_tuned")
+def gbt_tuned(spark, sf):
+    """M3: 2 x 2 grid, best validation AUC; metrics with the winning parameters."""
+    return _metrics(M.gbt_tuned(matrix(spark, sf), QUICK))
+
+
+@query("kfold_cv")
+def kfold_cv(spark, sf):
+    """M4: five stratified folds: AUC, n_train, n_val per fold and their mean."""
+    mx = matrix(spark, sf)
+    return M.kfold_cv(stages(spark, sf).crossed, mx.names, QUICK)
+
+
+@query("xgb_baseline")
+def xgb_baseline(spark, sf):
+    """M5: depth-6 boosted trees weighted by neg/pos; validation metrics."""
+    return _metrics(M.xgb_baseline(matrix(spark, sf), QUICK))
+
+
+@query("cat_baseline")
+def cat_baseline(spark, sf):
+    """M6: depth-6 boosted trees, class weights {1, neg/pos}, own seed; validation metrics."""
+    return _metrics(M.cat_baseline(matrix(spark, sf), QUICK))
+
+
+@query("random_search")
+def random_search(spark, sf):
+    """M7: random search draws (seeded numpy generator), each fit scored with metrics, cost and confusion."""
+    log, _, _ = M.random_search(matrix(spark, sf), QUICK, n_iter=SEARCH_DRAWS, max_trees=QUICK.gbt_trees,
+                                max_depth=QUICK.gbt_depth)
+    return log
+
+
+@query("model_importance")
+def model_importance(spark, sf):
+    """H2: gain importance and split counts per feature from boosted trees fitted on the training rows."""
+    _, imp = M.model_importance(matrix(spark, sf), _scratch(spark, "gbt-imp"), QUICK)
+    return imp
+
+
+def _manual(spark, sf):
+    k = _key(spark, sf, "manual")
+    if k not in _MEMO:
+        m = merged(spark, sf)
+        feats = E.manual_features_fit(m)
+        x = SC.assemble_manual(feats.transform(m, keep=["TransactionID", "isFraud"]))
+        split = SP.stratified_split(m.select("TransactionID", "isFraud"))
+        x = cut_lineage(x.join(split.select("TransactionID", "is_valid"), "TransactionID"))
+        mx = M.Matrix(x.where(~F.col("is_valid")), x.where("is_valid"), list(E.MANUAL_FEATURES))
+        clf, sc, met = M.fit_eval(M.gbt(QUICK), mx, "manual_app", QUICK)
+        _MEMO[k] = (feats, clf, sc, met, m)
+    return _MEMO[k]
+
+
+@query("manual_model")
+def manual_model(spark, sf):
+    """M9: the app's nine features + boosted trees: validation metrics and confusion counts."""
+    _, _, sc, met, _ = _manual(spark, sf)
+    return met.join(V.confusion(sc), "model")
+
+
+@query("shapley_values")
+def shapley_values(spark, sf):
+    """K1: permutation-sampling Shapley values of the logistic model for the explanation sample of the
+    validation rows against a background sample of the training rows."""
+    mx = matrix(spark, sf)
+    model, _, _ = M.logistic_baseline(mx, QUICK)
+    rows = SP.subsample_n(mx.valid, DEFAULT.shap_explain, s=QUICK)
+    bg = SP.subsample_n(mx.train, DEFAULT.shap_background, s=QUICK)
+    return K.shapley_values(model, rows, bg, mx.names, n_perm=4, s=QUICK)
+
+
+@query("sink_matrix")
+def sink_matrix(spark, sf):
+    """A5: the assembled validation matrix written to Parquet (names in metadata and a names table), read back."""
+    mx = matrix(spark, sf)
+    return T.sink_matrix(mx.valid, _scratch(spark, "matrix"))
+
+
+@query("model_save_load")
+def model_save_load(spark, sf):
+    """A fitted model saved, loaded back and used to score the validation rows."""
+    mx = matrix(spark, sf)
+    model, _, _ = M.gbt_baseline(mx, QUICK)
+    path = _scratch(spark, "model")
+    T.model_save(model, path)
+    return M.score_table(T.model_load(path), mx.valid, "reloaded", QUICK)
+
+
+@query("score_lookup")
+def score_lookup(spark, sf):
+    """L1: validation rows with business fields, fraud probability and label."""
+    mx = matrix(spark, sf)
+    model, _, _ = M.gbt_baseline(mx, QUICK)
+    return SC.score_lookup(model, mx.valid, stages(spark, sf).behavior)
+
+
+@query("score_batch")
+def score_batch(spark, sf):
+    """L2: six-field records scored by the app's model: probability, label at 0.5, risk band."""
+    feats, clf, _, _, m = _manual(spark, sf)
+    return SC.score_batch(feats, clf, m.select(*[f.name for f in RECORD_SCHEMA.fields]))
+
+
+@query("score_stream")
+def score_stream_q(spark, sf):
+    """L3: the same records arriving as files, scored by a Structured Streaming job (availableNow trigger)."""
+    feats, clf, _, _, m = _manual(spark, sf)
+    src = _scratch(spark, "stream-src")
+    m.select(*[F.col(f.name).cast(f.dataType) for f in RECORD_SCHEMA.fields]).write.mode("overwrite").parquet(src)
+    base = _scratch(spark, "stream")
+    return score_stream(spark, src, os.path.join(base, "sink"), os.path.join(base, "ckpt"), feats, clf)

@@ -1 +1 @@
-"""riskflow.streaming."""
+"""Structured Streaming jobs."""
