@@ -72,14 +72,17 @@ def leakage_corr(df: DataFrame, target: str = DEFAULT.target, cols: list[str] |
     y = F.col(target).cast("double")
 
     def stat(d, c):
-        x = F.when(~_is_missing(d, c), F.col(c).cast("double"))
-        y_c = F.when(x.isNotNull(), y)
+        present = ~_is_missing(d, c)
+        x = F.when(present, F.col(c).cast("double"))
+        y_c = F.when(present, y)
         return F.try_divide(F.covar_pop(x, y_c), F.stddev_pop(x) * F.stddev_pop(y_c))
 
     sub = df.select(target, *cols)
     parts = []
-    for i in range(0, len(cols), s.agg_chunk):
-        chunk = cols[i: i + s.agg_chunk]
+    # three aggregates per column: a quarter of the usual chunk keeps the generated code small
+    step = max(10, s.agg_chunk // 4)
+    for i in range(0, len(cols), step):
+        chunk = cols[i: i + step]
         row = sub.agg(*[stat(sub, c).alias(c) for c in chunk])
         parts.append(row.unpivot([], chunk, "feature", "corr"))
     out = parts[0]
