@@ -15,6 +15,66 @@ from riskflow.operators.profile import _FLOATS, missing_rate, wide_stat
 from riskflow.settings import DEFAULT, Settings
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+_SIMPLE = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def column_stats(df: DataFrame, s: Settings = DEFAULT, strategy: str = "median") -> dict[str, dict]:
+    """D1 + D2 + D3 statistics of every column in one aggregate pass per chunk of columns:
+    missing share (NULL or NaN), whether it has at most one distinct non-null value, the fill value
+    (exact median or mean) of numeric columns and their NULL count. Returns {column: {stat: value}}
+    (bounded by the column count)."""
+    out: dict[str, dict] = {}
+    fields = df.schema.fields
+    step = max(10, s.agg_chunk // 4)
+    for i in range(0, len(fields), step):
+        chunk = fields[i: i + step]
+        aggs = []
+        for k, f in enumerate(chunk):
+            c, x = f.name, F.col(f.name)
+            miss = x.isNull() | F.isnan(x) if isinstance(f.dataType, _FLOATS) else x.isNull()
+            aggs.append(F.avg(miss.cast("double")).alias(f"m{k}"))
+            aggs.append(F.sum(x.isNull().cast("int")).alias(f"n{k}"))
+            if isinstance(f.dataType, _SIMPLE):
+                v = _non_nan(df, c)
+                aggs.append(F.min(v).eqNullSafe(F.max(v)).alias(f"c{k}"))
+            if isinstance(f.dataType, T.NumericType):
+                xd = _non_nan(df, c).cast("double")
+                if strategy == "mean":
+                    fill = F.avg(xd)
+                elif s.exact_quantiles:
+                    fill = F.percentile(xd, F.lit(0.5))
+                else:
+                    fill = F.percentile_approx(xd, F.lit(0.5), s.quantile_accuracy)
+                aggs.append(fill.alias(f"f{k}"))
+        row = df.agg(*aggs).first().asDict()
+        for k, f in enumerate(chunk):
+            out[f.name] = {"missing_rate": row[f"m{k}"], "nulls": row[f"n{k}"],
+                           "is_constant": row.get(f"c{k}"), "fill": row.get(f"f{k}"),
+                           "numeric": isinstance(f.dataType, T.NumericType)}
+    return out
+
+
+def clean_with_stats(df: DataFrame, s: Settings = DEFAULT) -> tuple[DataFrame, list[str], list[str], DataFrame]:
+    """D1 -> D2 -> D3 -> D4 from one statistics pass (``column_stats``): the same result as running them one by
+    one, because each statistic of a column only depends on that column."""
+    st = column_stats(df, s)
+    miss = [c for c in df.columns if st[c]["missing_rate"] is not None and st[c]["missing_rate"] > s.missing_threshold]
+    rest = [c for c in df.columns if c not in miss]
+    const = [c for c in rest if st[c]["is_constant"]]
+    d2 = df.drop(*miss, *const)
+    rows = [(c, None, st[c]["fill"]) for c in d2.columns if st[c]["numeric"]]
+    state = df.sparkSession.createDataFrame(rows, "col string, key string, value double")
+    out = d2
+    for f in d2.schema.fields:
+        c, v = f.name, st[f.name]["fill"]
+        if not st[c]["numeric"] or v is None:
+            continue
+        x = F.col(c)
+        if isinstance(f.dataType, _FLOATS):
+            out = out.withColumn(c, F.when(x.isNull() | F.isnan(x), F.lit(v)).otherwise(x))
+        elif isinstance(f.dataType, _INTEGRAL) and st[c]["nulls"]:
+            out = out.withColumn(c, F.coalesce(x.cast("double"), F.lit(v)))
+    return categorical_fill(out), miss, const, state
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

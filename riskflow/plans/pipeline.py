@@ -47,10 +47,8 @@ class Stages:
 
 
 def clean_stage(df: DataFrame, s: Settings = DEFAULT) -> tuple[DataFrame, list[str], list[str], DataFrame]:
-    d1, miss = clean.drop_high_missing(df, s.missing_threshold, s)
-    d2, const = clean.drop_constant(d1, s)
-    d3, med = clean.median_fill(d2, s=s)
-    return clean.categorical_fill(d3), miss, const, med
+    """D1-D4 from one fused statistics pass over the input."""
+    return clean.clean_with_stats(df, s)
 
 
 def derive_stage(df: DataFrame) -> DataFrame:
@@ -61,6 +59,7 @@ def run(df: DataFrame, s: Settings = DEFAULT, until: str = "crossed", checkpoint
     """Run the stages up to ``until``. With ``checkpoint`` the plan is cut after the derived columns, the
     behaviour features and the frequency encoding: each later stage starts from a stored table."""
     cut = cut_lineage if checkpoint else (lambda d: d)
+    df = cut(df)  # the merged stage is stored, as the reference writes it once and profiles it several times
     st = Stages(merged=df)
     st.filled, st.dropped_missing, st.dropped_constant, st.medians = clean_stage(df, s)
     st.timed = features.add_time_features(st.filled)
@@ -71,12 +70,10 @@ def run(df: DataFrame, s: Settings = DEFAULT, until: str = "crossed", checkpoint
     st.behavior = cut(behavior.behavior_features(st.email, s))
     if until == "behavior":
         return st
-    fq, st.freq_state = encode.freq_encode(st.behavior)
-    st.freq = cut(fq)
-    if until == "freq":
-        return st
-    st.te, st.te_state, st.te_global = encode.target_encode(st.freq, s.target, s=s)
-    st.crossed = cut(features.add_cross_features(st.te))
+    enc = encode.encode_all(st.behavior, s.target, s=s)
+    st.freq_state, st.te_state, st.te_global = enc.freq_state, enc.te_state, enc.te_global
+    st.crossed = cut(features.add_cross_features(enc.df))
+    st.te = st.freq = st.crossed
     return st
 
 
