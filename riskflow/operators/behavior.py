@@ -35,15 +35,18 @@ def card_sequence(df: DataFrame, s: Settings = DEFAULT) -> DataFrame:
     card, dt, amt, idc = s.card_col, s.time_col, s.amount_col, s.id_col
     base = df.where(F.col(card).isNotNull()).select(idc, card, dt, amt)
     r = ordered_prefix(base, order=[dt, idc], by=[card], s=s)
-    e = r.select(card, "_rank", amt, dt, F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("_j"))
-    g = e.groupBy(card, (F.col("_rank") + F.col("_j")).alias("_rank")).agg(
+    # each row goes to its own rank (j = 0) and the next two ranks; the group of rank t then holds rows
+    # t-2, t-1, t, and carries row t's id and the time of row t-1. Ranks past the end have no j = 0 row.
+    e = r.select(card, "_rank", idc, amt, dt, F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("_j"))
+    g = e.groupBy(card, (F.col("_rank") + F.col("_j")).alias("_t")).agg(
+        F.max(F.when(F.col("_j") == 0, F.col(idc))).alias(idc),
+        F.max(F.when(F.col("_j") == 0, F.col(dt))).alias("_dt"),
+        F.max(F.when(F.col("_j") == 1, F.col(dt))).alias("_prev_dt"),
         F.avg(amt).alias("card1_recent3_amt_mean"),
         F.stddev_samp(amt).alias("_r3s"),
-        F.max(F.when(F.col("_j") == 1, F.col(dt))).alias("_prev_dt"),
-    )
-    out = r.join(g, [card, "_rank"], "inner")
-    since = F.when(F.col("_prev_dt").isNull(), F.lit(-1.0)).otherwise((F.col(dt) - F.col("_prev_dt")).cast("double"))
-    return out.select(
+    ).where(F.col(idc).isNotNull())
+    since = F.when(F.col("_prev_dt").isNull(), F.lit(-1.0)).otherwise((F.col("_dt") - F.col("_prev_dt")).cast("double"))
+    return g.select(
         idc,
         "card1_recent3_amt_mean",
         F.coalesce(F.col("_r3s"), F.lit(0.0)).alias("card1_recent3_amt_std"),
