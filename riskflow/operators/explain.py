@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions.hashing import hash32
-from riskflow.operators.split import subsample_n
 from riskflow.settings import DEFAULT, Settings
 
 # Fixed values (reference): bar colours of positive / negative contributions in the local explanation.
@@ -66,11 +65,7 @@ def shapley_values(model, rows: DataFrame, background: DataFrame, names: list[st
     ``transform``; no cross join, no per-row Python.
     """
     nf = len(names)
-    bg = subsample_n(background.select(features_col), s.shap_background, id_col=None, s=s) \
-        if id_col in background.columns and False else background
-    bg = bg.select(F.col(features_col).alias("_bx"))
-    bg = bg.withColumn("_bi", F.row_number().over(Window.orderBy(F.xxhash64("_bx"))) - 1) \
-        if False else _index_rows(bg, "_bx", s)
+    bg = _index_rows(background.select(F.col(features_col).alias("_bx")), "_bx", s)
     n_bg = bg.count()
     ex = rows.select(id_col, vector_to_array(features_col).alias("_x"))
     ex = ex.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))

@@ -88,7 +88,7 @@ def gbt_baseline(mx: Matrix, s: Settings = DEFAULT):
 
 
 def rf_baseline(mx: Matrix, s: Settings = DEFAULT):
-    """Random forest named in the reference's README, balanced weights."""
+    """Random forest listed among the reference's planned features, balanced weights."""
     est = RandomForestClassifier(featuresCol="features", labelCol=s.target, weightCol="weight", numTrees=s.gbt_trees,
                                  maxDepth=s.gbt_depth, seed=s.seed)
     return fit_eval(est, mx, "RandomForest_baseline", s)

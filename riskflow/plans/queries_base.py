@@ -233,7 +233,7 @@ def median_fill(spark, sf):
 @query("mean_fill", w("SELECT TransactionID, coalesce(addr1, (SELECT avg(addr1) FROM merged)) AS addr1, "
                       "coalesce(V1, (SELECT avg(V1) FROM merged)) AS V1 FROM merged", "merged"))
 def mean_fill(spark, sf):
-    """D3 with strategy='mean' (named in the reference's README)."""
+    """D3 with strategy='mean' (listed among the reference's planned features)."""
     m = merged(spark, sf).select("TransactionID", "addr1", "V1")
     out, _ = C.median_fill(m, strategy="mean")
     return out
@@ -428,7 +428,7 @@ def zero_fill(spark, sf):
 @query("amount_zscore", w("SELECT TransactionID, (TransactionAmt - avg(TransactionAmt) OVER ()) / "
                           "stddev_pop(TransactionAmt) OVER () AS amt_z FROM tx", "tx"))
 def amount_zscore(spark, sf):
-    """Amount standardisation named in the reference's README: (x - mean) / population std."""
+    """Amount standardisation listed among the reference's planned features: (x - mean) / population std."""
     t = fx.tx(spark, sf)
     r = t.agg(F.avg("TransactionAmt").alias("m"), F.stddev_pop("TransactionAmt").alias("sd")).first()
     return t.select("TransactionID", F.try_divide(F.col("TransactionAmt") - F.lit(r["m"]), F.lit(r["sd"])).alias("amt_z"))

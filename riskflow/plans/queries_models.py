@@ -60,7 +60,7 @@ def gbt_baseline(spark, sf):
 
 @query("rf_baseline")
 def rf_baseline(spark, sf):
-    """Random forest (named in the reference's README); validation metrics."""
+    """Random forest (listed among the reference's planned features); validation metrics."""
     return _metrics(M.rf_baseline(matrix(spark, sf), QUICK))
 
 
