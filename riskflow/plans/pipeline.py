@@ -55,34 +55,43 @@ def derive_stage(df: DataFrame) -> DataFrame:
     return features.add_email_features(features.add_device_features(features.add_time_features(df)))
 
 
-def run(df: DataFrame, s: Settings = DEFAULT, until: str = "crossed", checkpoint: bool = True) -> Stages:
-    """Run the stages up to ``until``. With ``checkpoint`` the plan is cut after the derived columns, the
-    behaviour features and the frequency encoding: each later stage starts from a stored table."""
+LEVELS = ["filled", "email", "behavior", "crossed"]
+
+
+def advance(st: Stages, until: str = "crossed", s: Settings = DEFAULT, checkpoint: bool = True) -> Stages:
+    """Compute the stages of ``st`` up to ``until`` (``LEVELS``), continuing from the last one already there.
+    With ``checkpoint`` the merged, derived, behaviour and encoded stages are stored (lineage cut)."""
     cut = cut_lineage if checkpoint else (lambda d: d)
-    df = cut(df)  # the merged stage is stored, as the reference writes it once and profiles it several times
-    st = Stages(merged=df)
-    st.filled, st.dropped_missing, st.dropped_constant, st.medians = clean_stage(df, s)
-    st.timed = features.add_time_features(st.filled)
-    st.device = features.add_device_features(st.timed)
-    st.email = cut(features.add_email_features(st.device))
-    if until == "email":
-        return st
-    st.behavior = cut(behavior.behavior_features(st.email, s))
-    if until == "behavior":
-        return st
-    enc = encode.encode_all(st.behavior, s.target, s=s)
-    st.freq_state, st.te_state, st.te_global = enc.freq_state, enc.te_state, enc.te_global
-    st.crossed = cut(features.add_cross_features(enc.df))
-    st.te = st.freq = st.crossed
+    goal = LEVELS.index(until)
+    if st.filled is None:
+        st.merged = cut(st.merged)  # stored once: profiled several times, as the reference writes it once
+        st.filled, st.dropped_missing, st.dropped_constant, st.medians = clean_stage(st.merged, s)
+        st.timed = features.add_time_features(st.filled)
+    if goal >= 1 and st.email is None:
+        st.device = features.add_device_features(st.timed)
+        st.email = cut(features.add_email_features(st.device))
+    if goal >= 2 and st.behavior is None:
+        st.behavior = cut(behavior.behavior_features(st.email, s))
+    if goal >= 3 and st.crossed is None:
+        enc = encode.encode_all(st.behavior, s.target, s=s)
+        st.freq_state, st.te_state, st.te_global = enc.freq_state, enc.te_state, enc.te_global
+        st.crossed = cut(features.add_cross_features(enc.df))
+        st.te = st.freq = st.crossed
     return st
 
 
+def run(df: DataFrame, s: Settings = DEFAULT, until: str = "crossed", checkpoint: bool = True) -> Stages:
+    """Run the pipeline on the merged table ``df`` up to ``until``."""
+    return advance(Stages(merged=df), until, s, checkpoint)
+
+
 _MEMO: dict = {}
 
 
-def stages(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT) -> Stages:
-    """The pipeline over the fixture tables of ``sf_dir``, run once per session and reused by the queries."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir, s)
+def stages(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT, until: str = "crossed") -> Stages:
+    """The pipeline over the fixture tables of ``sf_dir``, computed once per session up to the deepest stage
+    asked for so far and reused by the queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, s)
     if key not in _MEMO:
-        _MEMO[key] = run(merged(spark, sf_dir), s)
-    return _MEMO[key]
+        _MEMO[key] = Stages(merged=merged(spark, sf_dir))
+    return advance(_MEMO[key], until, s)

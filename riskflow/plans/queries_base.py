@@ -83,7 +83,7 @@ _MEDIANS = " UNION ALL ".join(
 def sink_state(spark, sf):
     """A4: the fitted median state (col, key, value) written to Parquet and loaded back."""
     path = _scratch(spark, "state")
-    T.sink_state(stages(spark, sf).medians, path)
+    T.sink_state(stages(spark, sf, until="filled").medians, path)
     return T.load_state(spark, path)
 
 
@@ -186,7 +186,7 @@ def _vc_sql(src: str, col: str, top: int | None = None) -> str:
                                 _vc_sql("email", "DeviceInfo_brand", 20), "email"))
 def device_value_counts(spark, sf):
     """Counts of the normalised device type and the 20 most common device brands."""
-    return P.device_value_counts(stages(spark, sf).email)
+    return P.device_value_counts(stages(spark, sf, until="email").email)
 
 
 @query("email_value_counts", w(" UNION ALL ".join([
@@ -194,7 +194,7 @@ def device_value_counts(spark, sf):
     _vc_sql("email", "email_same_domain"), _vc_sql("email", "email_same_provider")]), "email"))
 def email_value_counts(spark, sf):
     """The 20 most common providers of both sides and the counts of the two 'same' flags."""
-    return P.email_value_counts(stages(spark, sf).email)
+    return P.email_value_counts(stages(spark, sf, until="email").email)
 
 
 # ---- C1, D: join and cleaning ------------------------------------------------------------------
@@ -227,7 +227,7 @@ def drop_constant(spark, sf):
 @query("median_fill", w(f"SELECT {_sql_list(FILLED_NUMERIC)} FROM filled", "filled"))
 def median_fill(spark, sf):
     """D3: numeric columns after the exact-median fill."""
-    return stages(spark, sf).filled.select(*FILLED_NUMERIC)
+    return stages(spark, sf, until="filled").filled.select(*FILLED_NUMERIC)
 
 
 @query("mean_fill", w("SELECT TransactionID, coalesce(addr1, (SELECT avg(addr1) FROM merged)) AS addr1, "
@@ -242,19 +242,19 @@ def mean_fill(spark, sf):
 @query("categorical_fill", w(f"SELECT TransactionID, {_sql_list(FILLED_STRINGS)} FROM filled", "filled"))
 def categorical_fill(spark, sf):
     """Text columns with NULL replaced by 'missing'."""
-    return stages(spark, sf).filled.select("TransactionID", *FILLED_STRINGS)
+    return stages(spark, sf, until="filled").filled.select("TransactionID", *FILLED_STRINGS)
 
 
 @query("project_numeric", w(f"SELECT {_sql_list([c for c in FILLED_NUMERIC if c != 'isFraud'])} FROM filled", "filled"))
 def project_numeric(spark, sf):
     """Numeric columns of the filled table, label dropped."""
-    return C.project_numeric(stages(spark, sf).filled)
+    return C.project_numeric(stages(spark, sf, until="filled").filled)
 
 
 @query("project_business", w(f"SELECT {_sql_list(C.BUSINESS_COLUMNS)} FROM behavior", "behavior"))
 def project_business(spark, sf):
     """The business fields shown beside a scored row."""
-    return C.project_business(stages(spark, sf).behavior)
+    return C.project_business(stages(spark, sf, until="behavior").behavior)
 
 
 @query("schema_guard", w("SELECT *, 'unknown' AS DeviceOS FROM merged", "merged"))
@@ -278,13 +278,13 @@ def numeric_coerce(spark, sf):
 @query("time_features", w("SELECT TransactionID, DT_day, DT_week, DT_hour FROM timed", "timed"))
 def time_features(spark, sf):
     """Day, week and hour of the transaction time (floor division)."""
-    return stages(spark, sf).timed.select("TransactionID", "DT_day", "DT_week", "DT_hour")
+    return stages(spark, sf, until="filled").timed.select("TransactionID", "DT_day", "DT_week", "DT_hour")
 
 
 @query("day_part", w("SELECT TransactionID, DT_hour, DT_day_part FROM timed", "timed"))
 def day_part(spark, sf):
     """Night / morning / afternoon / evening from the hour."""
-    return stages(spark, sf).timed.select("TransactionID", "DT_hour", "DT_day_part")
+    return stages(spark, sf, until="filled").timed.select("TransactionID", "DT_hour", "DT_day_part")
 
 
 @query("device_type_norm", w(f"SELECT TransactionID, DeviceType, {O.device_type_sql('DeviceType')} AS DeviceType_norm "
@@ -314,20 +314,20 @@ def email_norm(spark, sf):
                            "R_emaildomain_provider FROM email", "email"))
 def email_provider(spark, sf):
     """Provider of each normalised domain."""
-    return stages(spark, sf).email.select("TransactionID", "P_emaildomain_norm", "P_emaildomain_provider",
+    return stages(spark, sf, until="email").email.select("TransactionID", "P_emaildomain_norm", "P_emaildomain_provider",
                                           "R_emaildomain_norm", "R_emaildomain_provider")
 
 
 @query("email_same", w("SELECT TransactionID, email_same_domain, email_same_provider FROM email", "email"))
 def email_same(spark, sf):
     """Same-domain and same-provider flags."""
-    return stages(spark, sf).email.select("TransactionID", "email_same_domain", "email_same_provider")
+    return stages(spark, sf, until="email").email.select("TransactionID", "email_same_domain", "email_same_provider")
 
 
 @query("email_is_common", w("SELECT TransactionID, P_email_is_common, R_email_is_common FROM email", "email"))
 def email_is_common(spark, sf):
     """Common-provider flags of both sides."""
-    return stages(spark, sf).email.select("TransactionID", "P_email_is_common", "R_email_is_common")
+    return stages(spark, sf, until="email").email.select("TransactionID", "P_email_is_common", "R_email_is_common")
 
 
 @query("cross_features", w("""
@@ -438,7 +438,7 @@ def amount_zscore(spark, sf):
 
 
 def _beh(spark, sf, cols):
-    return stages(spark, sf).behavior.select("TransactionID", *cols)
+    return stages(spark, sf, until="behavior").behavior.select("TransactionID", *cols)
 
 
 def _beh_sql(cols):
@@ -479,7 +479,7 @@ _BEH_ALL = [c for cols, _ in _F.values() for c in cols]
 def behavior_features(spark, sf):
     """F1-F9 in one plan straight from the derived table (no stored stage): narrow projection, per-card
     aggregates, skew-safe ordered ranks, one join back by TransactionID."""
-    st = stages(spark, sf)
+    st = stages(spark, sf, until="email")
     return B.behavior_features(st.email).select("TransactionID", *_BEH_ALL)
 
 
@@ -487,14 +487,14 @@ def behavior_features(spark, sf):
                           "ORDER BY TransactionID", "behavior"))
 def order_restore(spark, sf):
     """the behaviour table back in input (TransactionID) order."""
-    return stages(spark, sf).behavior.select("TransactionID", "card1", "TransactionDT", *_BEH_ALL).orderBy("TransactionID")
+    return stages(spark, sf, until="behavior").behavior.select("TransactionID", "card1", "TransactionDT", *_BEH_ALL).orderBy("TransactionID")
 
 
 @query("drift_by_week", w("SELECT DT_week, count(*) AS n_samples, avg(CAST(isFraud AS DOUBLE)) AS fraud_rate FROM timed "
                           "GROUP BY DT_week ORDER BY DT_week", "timed"))
 def drift_by_week(spark, sf):
     """rows and fraud rate per week (merge -> clean -> week -> group)."""
-    return B.drift_by_week(stages(spark, sf).timed)
+    return B.drift_by_week(stages(spark, sf, until="filled").timed)
 
 
 @query("card_mean_map", w("SELECT 'card1' AS col, CAST(card1 AS VARCHAR) AS key, card1_avg_amt AS value FROM card_mean "

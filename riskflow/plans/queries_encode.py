@@ -57,7 +57,7 @@ def target_encode(spark, sf):
     f"AS gated FROM behavior" for c in STR_COLS), "behavior"))
 def cardinality_gate(spark, sf):
     """Exact distinct count of each text column and whether it is in [2, 100]."""
-    b = stages(spark, sf).behavior
+    b = stages(spark, sf, until="behavior").behavior
     stats = E.category_stats(b, STR_COLS)
     return E.cardinality_gate(stats, STR_COLS)
 
@@ -131,7 +131,7 @@ SELECT s.TransactionID, s.model, s.y, s.p, b.TransactionAmt, b.DT_week, b.Device
 FROM scores s JOIN behavior b ON s.TransactionID = b.TransactionID""", "scores", "behavior"))
 def context_join(spark, sf):
     """Business columns attached to scored rows by row key (not by row position)."""
-    b = stages(spark, sf).behavior.select("TransactionID", "TransactionAmt", "DT_week", "DeviceType_norm", "card1")
+    b = stages(spark, sf, until="behavior").behavior.select("TransactionID", "TransactionAmt", "DT_week", "DeviceType_norm", "card1")
     return fx.scores(spark, sf).join(b, "TransactionID", "inner")
 
 

@@ -295,7 +295,7 @@ O.cte("seg_device_src", ["vscored"], "SELECT 'device' AS segment_type, DeviceTyp
 def _vscored(spark, sf):
     sc = _scores(spark, sf).where(F.col("model") == "m3")
     valid = SP.split_index(fx.tx(spark, sf))
-    ctx = stages(spark, sf).behavior.select("TransactionID", "TransactionAmt", "DT_week", "DeviceType_norm")
+    ctx = stages(spark, sf, until="behavior").behavior.select("TransactionID", "TransactionAmt", "DT_week", "DeviceType_norm")
     return sc.join(valid, "TransactionID", "inner").join(ctx, "TransactionID", "inner")
 
 

@@ -158,7 +158,7 @@ def score_lookup(spark, sf):
     """L1: validation rows with business fields, fraud probability and label."""
     mx = matrix(spark, sf)
     model, _, _ = M.gbt_baseline(mx, QUICK)
-    return SC.score_lookup(model, mx.valid, stages(spark, sf).behavior)
+    return SC.score_lookup(model, mx.valid, stages(spark, sf, until="behavior").behavior)
 
 
 @query("score_batch")
