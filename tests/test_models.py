@@ -51,3 +51,26 @@ def test_save_load_and_matrix(spark):
     assert "features" in m.columns and m.count() > 0
     imp = REG["model_importance"].fn(spark, SMALL)
     assert imp.where("importance < 0 or splits < 0").count() == 0
+
+
+def test_shapley_shape_and_bounds(spark):
+    """Every (row, feature) gets a contribution, and a row's contributions sum to a difference of two
+    probabilities (per permutation they telescope to f(x) - f(background row)), so the sum lies in [-1, 1]."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+
+    from riskflow.operators import explain as K
+    from riskflow.settings import DEFAULT
+
+    rows = [(i, i % 2, Vectors.dense([float(i % 5), float((i * 3) % 7), float(i % 2)])) for i in range(60)]
+    schema = T.StructType([T.StructField("TransactionID", T.LongType()), T.StructField("isFraud", T.IntegerType()),
+                           T.StructField("features", VectorUDT())])
+    df = spark.createDataFrame(rows, schema)
+    lr = LogisticRegression(labelCol="isFraud", maxIter=20).fit(df)
+    s = DEFAULT.with_(rows_per_bucket=5, min_buckets=4)
+    phi = K.shapley_values(lr, df.limit(5), df, ["a", "b", "c"], n_perm=3, s=s)
+    sums = {r["TransactionID"]: r["s"] for r in phi.groupBy("TransactionID").agg(F.sum("phi").alias("s")).collect()}
+    assert len(sums) == 5 and phi.count() == 15
+    for v in sums.values():
+        assert -1.0 <= v <= 1.0
