@@ -106,22 +106,44 @@ def encode_all(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | No
                fit_df: DataFrame | None = None) -> Encoded:
     """G1 + G2 from one shared exploded aggregate: ``<c>__freq`` for every text column, then ``<c>__te`` for the
     gated ones. Same result as ``freq_encode`` followed by ``target_encode`` (the frequency columns are numbers,
-    so the text columns seen by the target encoder are the same)."""
+    so the text columns seen by the target encoder are the same).
+
+    The gate already gives each column's distinct count. Columns with at most ``s.map_lookup_max`` values are
+    looked up in a literal map built from their (bounded, counted) state rows - a projection, no join; larger
+    ones are joined to their state (broadcast or shuffled by AQE from the runtime size).
+    """
     cols = string_columns(df) if cols is None else cols
     fit = fit_df if fit_df is not None else df
     stats = category_stats(fit, cols, target)
     tot = fit.agg(F.count(F.lit(1)), F.avg(F.col(target).cast("double"))).first()
     n, g = tot[0], tot[1]
     fstate = stats.select("col", "key", (F.col("n") / F.lit(float(n))).alias("value"))
-    gate = cardinality_gate(stats, cols, 2, s.max_te_card)
-    gated = [r["col"] for r in gate.where("gated").collect()]
+    gate = {r["col"]: r for r in cardinality_gate(stats, cols, 2, s.max_te_card).collect()}
+    gated = [c for c in cols if gate[c]["gated"]]
     tstate = stats.where(F.col("col").isin(gated)).select("col", "key", F.col("mean_y").alias("value"))
+    small = [c for c in cols if gate[c]["n_distinct"] <= s.map_lookup_max]
+    maps: dict[str, list] = {c: [] for c in small}
+    if small:
+        for r in stats.where(F.col("col").isin(small)).select("col", "key", "n", "mean_y").collect():
+            maps[r["col"]].append((r["key"], r["n"] / float(n), r["mean_y"]))
+
+    def lookup(c: str, idx: int) -> F.Column:
+        entries = maps[c]
+        m = F.map_from_arrays(F.lit([e[0] for e in entries]).cast("array<string>"),
+                              F.lit([e[idx] for e in entries]).cast("array<double>"))
+        return F.try_element_at(m, F.col(c).cast("string"))
+
     out = df
     for c in cols:
-        out = map_lookup(out, fstate, c, f"{c}__freq")
-    gated = [c for c in cols if c in gated]
+        if c in maps:
+            out = out.withColumn(f"{c}__freq", lookup(c, 1) if maps[c] else F.lit(None).cast("double"))
+        else:
+            out = map_lookup(out, fstate, c, f"{c}__freq")
     for c in gated:
-        out = map_lookup(out, tstate, c, f"{c}__te", default=g)
+        if c in maps:
+            out = out.withColumn(f"{c}__te", F.coalesce(lookup(c, 2), F.lit(g)))
+        else:
+            out = map_lookup(out, tstate, c, f"{c}__te", default=g)
     return Encoded(out, fstate, tstate, g, gated)
 
 

@@ -54,6 +54,9 @@ class Settings:
     # exact percentiles keep a value->count map per group; switch off for very large inputs
     exact_quantiles: bool = True
     quantile_accuracy: int = 100_000
+    # encoders: columns with at most this many distinct values are looked up in a literal map (no join);
+    # Spark's map lookup scans the keys, so the bound stays small
+    map_lookup_max: int = 256
     # width of the chunked wide aggregate (codegen method size)
     agg_chunk: int = 100
 
