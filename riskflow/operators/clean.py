@@ -94,7 +94,7 @@ def high_missing_columns(df: DataFrame, threshold: float = DEFAULT.missing_thres
 def drop_high_missing(df: DataFrame, threshold: float = DEFAULT.missing_threshold,
                       s: Settings = DEFAULT) -> tuple[DataFrame, list[str]]:
     """Drop the columns of the report (one stats pass, list bounded by the column count)."""
-    cols = [r["column"] for r in high_missing_columns(df, threshold, s).collect()]
+    cols = [r["column"] for r in high_missing_columns(df, threshold, s).collect()]  # <= one row per column
     return df.drop(*cols), cols
 
 
@@ -125,7 +125,7 @@ def constant_columns(df: DataFrame, s: Settings = DEFAULT) -> DataFrame:
 
 
 def drop_constant(df: DataFrame, s: Settings = DEFAULT) -> tuple[DataFrame, list[str]]:
-    cols = [r["column"] for r in constant_columns(df, s).where("is_constant").collect()]
+    cols = [r["column"] for r in constant_columns(df, s).where("is_constant").collect()]  # <= one row per column
     return df.drop(*cols), cols
 
 
@@ -154,7 +154,7 @@ def median_fill(df: DataFrame, strategy: str = "median", state: DataFrame | None
     """
     if state is None:
         state = numeric_fill_values(df, strategy, s)
-    fills = {r["col"]: r["value"] for r in state.collect()}
+    fills = {r["col"]: r["value"] for r in state.collect()}  # one row per numeric column
     nulls = df.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in fills]).first().asDict()
     out = df
     for f in df.schema.fields:

@@ -76,7 +76,7 @@ def target_state(df: DataFrame, target: str = DEFAULT.target, cols: list[str] |
     cols = string_columns(df) if cols is None else cols
     stats = category_stats(df, cols, target) if stats is None else stats
     gate = cardinality_gate(stats, cols, 2, s.max_te_card)
-    gated = [r["col"] for r in gate.where("gated").collect()]
+    gated = [r["col"] for r in gate.where("gated").collect()]  # one row per text column
     g = df.agg(F.avg(F.col(target).cast("double"))).first()[0]
     state = stats.where(F.col("col").isin(gated)).select("col", "key", F.col("mean_y").alias("value"))
     return state, g, [c for c in cols if c in gated]
@@ -118,12 +118,13 @@ def encode_all(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | No
     tot = fit.agg(F.count(F.lit(1)), F.avg(F.col(target).cast("double"))).first()
     n, g = tot[0], tot[1]
     fstate = stats.select("col", "key", (F.col("n") / F.lit(float(n))).alias("value"))
-    gate = {r["col"]: r for r in cardinality_gate(stats, cols, 2, s.max_te_card).collect()}
+    gate = {r["col"]: r for r in cardinality_gate(stats, cols, 2, s.max_te_card).collect()}  # one row per column
     gated = [c for c in cols if gate[c]["gated"]]
     tstate = stats.where(F.col("col").isin(gated)).select("col", "key", F.col("mean_y").alias("value"))
     small = [c for c in cols if gate[c]["n_distinct"] <= s.map_lookup_max]
     maps: dict[str, list] = {c: [] for c in small}
     if small:
+        # at most len(small) * map_lookup_max rows, counted by the gate above
         for r in stats.where(F.col("col").isin(small)).select("col", "key", "n", "mean_y").collect():
             maps[r["col"]].append((r["key"], r["n"] / float(n), r["mean_y"]))
 

@@ -42,7 +42,7 @@ def variance_table(df: DataFrame, cols: list[str] | None = None, threshold: floa
 def variance_filter(df: DataFrame, threshold: float = DEFAULT.variance_threshold, target: str = DEFAULT.target,
                     s: Settings = DEFAULT) -> tuple[DataFrame, list[str]]:
     """H1 applied: the kept feature columns (list bounded by the column count), others dropped."""
-    kept = [r["feature"] for r in variance_table(df, None, threshold, target, s).where("kept").collect()]
+    kept = [r["feature"] for r in variance_table(df, None, threshold, target, s).where("kept").collect()]  # per column
     keep_other = [c for c in df.columns if c not in feature_columns(df, target)]
     return df.select(*keep_other, *kept), kept
 

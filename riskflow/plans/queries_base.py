@@ -197,6 +197,21 @@ def email_value_counts(spark, sf):
     return P.email_value_counts(stages(spark, sf, until="email").email)
 
 
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+LINEITEM_DOUBLES = {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}
+
+
+@query("lineitem_profile", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", avg(CASE WHEN {c} IS NULL {'OR isnan(' + c + ')' if c in LINEITEM_DOUBLES else ''} "
+    f"THEN 1.0 ELSE 0.0 END) AS missing_rate, (min({c}) IS NOT DISTINCT FROM max({c})) AS is_constant FROM lineitem"
+    for c in LINEITEM_COLS))
+def lineitem_profile(spark, sf):
+    """B3 + D2 on another given table (600k rows at sf0.1): missing share and constancy of every column."""
+    li = T.read_table(spark, sf, "lineitem")
+    return P.missing_rate(li).join(C.constant_columns(li), "column", "inner")
+
+
 # ---- C1, D: join and cleaning ------------------------------------------------------------------
 
 

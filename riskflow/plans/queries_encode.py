@@ -239,3 +239,13 @@ def scale_pos_weight(spark, sf):
     """Positives weigh negatives / max(positives, 1)."""
     out, _ = SP.scale_pos_weight(fx.tx(spark, sf).select("TransactionID", "isFraud"))
     return out
+
+
+@query("feature_table", w("""
+SELECT e.*, CAST(card1 AS VARCHAR) || '_' || coalesce(CAST(addr1 AS VARCHAR), 'nan') AS card1_addr1,
+       ProductCD || '_' || card4 AS ProductCD_card4, DeviceType_norm || '_' || ProductCD AS DeviceType_ProductCD
+FROM encoded e""", "encoded"))
+def feature_table(spark, sf):
+    """The whole feature pipeline end to end (merge -> clean -> time / device / e-mail -> per-card behaviour ->
+    frequency and target-mean codes -> cross features): every column of the final table."""
+    return stages(spark, sf).crossed
