@@ -167,7 +167,7 @@ def leakage_corr(spark, sf):
 
 
 @query("leakage_top30", w("""
-SELECT side, pos, feature, corr FROM (
+SELECT side, CAST(pos AS INTEGER) AS pos, feature, corr FROM (
   SELECT 'top_pos' AS side, * FROM (SELECT row_number() OVER (ORDER BY round(corr, 10) DESC NULLS LAST, feature) AS pos, feature, corr,
                                            count(*) OVER () AS n_all FROM corr) r WHERE pos <= 30
   UNION ALL

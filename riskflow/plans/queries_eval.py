@@ -25,7 +25,7 @@ def metrics_sql(src: str, by: list[str]) -> str:
     b = ", ".join(by)
     on = " AND ".join(f"c.{k} IS NOT DISTINCT FROM a.{k}" for k in by)
     return f"""
-(SELECT {", ".join('c.' + k for k in by)}, c.tp + c.tn + c.fp + c.fn AS n, a.auc,
+(SELECT {", ".join('c.' + k for k in by)}, CAST(c.tp + c.tn + c.fp + c.fn AS BIGINT) AS n, a.auc,
         coalesce(CAST(c.tp + c.tn AS DOUBLE) / nullif(c.tp + c.tn + c.fp + c.fn, 0), 0.0) AS accuracy,
         coalesce(CAST(c.tp AS DOUBLE) / nullif(c.tp + c.fp, 0), 0.0) AS precision,
         coalesce(CAST(c.tp AS DOUBLE) / nullif(c.tp + c.fn, 0), 0.0) AS recall,

@@ -35,7 +35,20 @@ def rows_key(rows, cols, digits):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+_TYPES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+          "BooleanType": "BOOLEAN", "FloatType": "FLOAT", "TimestampType": "TIMESTAMP", "TimestampNTZType": "TIMESTAMP",
+          "ShortType": "SMALLINT", "ByteType": "TINYINT"}
+
+
+def compare_types(spark_df, sql: str, con):
+    sp = {f.name.lower(): _TYPES.get(type(f.dataType).__name__, str(f.dataType)) for f in spark_df.schema.fields}
+    du = {r[0].lower(): r[1] for r in con.execute(f"DESCRIBE ({sql})").fetchall()}
+    diff = {k: (v, du.get(k)) for k, v in sp.items() if v != du.get(k)}
+    assert not diff, f"column types differ (spark, duckdb): {diff}"
+
+
 def compare(spark_df, sql: str, con, digits: int = 6):
+    compare_types(spark_df, sql, con)
     sp_cols = sorted(spark_df.columns)
     rows = [r.asDict() for r in spark_df.collect()]
     rel = con.execute(sql)
