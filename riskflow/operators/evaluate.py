@@ -143,21 +143,43 @@ def best_threshold(tm: DataFrame, by: list[str] = ("model",)) -> DataFrame:
     return tm.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
 
 
+def _class_totals(scores: DataFrame, by: list[str], y: str, p: str) -> DataFrame:
+    """P and N per group straight from the score rows (a small aggregate; the ranked table is not re-read)."""
+    return scores.where(F.col(p).isNotNull()).groupBy(*by).agg(
+        F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("bigint").alias("_P"),
+        F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("bigint").alias("_N"),
+    )
+
+
 def roc_curve(scores: DataFrame, by: list[str] = ("model",), y: str = "y", p: str = "p",
               s: Settings = DEFAULT) -> DataFrame:
     """(fpr, tpr) per distinct score from the highest, after (0, 0); a point is dropped when both of its
-    second differences are zero (scikit-learn's drop_intermediate). Neighbours come from rank +-1 joins."""
+    second differences are zero (scikit-learn's drop_intermediate).
+
+    Neighbours without self-joins: every ranked point is sent to its own rank and to ranks -1 / +1 (three narrow
+    copies), and one ``groupBy(group, rank)`` gathers a point with its previous and next point."""
     by = list(by)
     pts = score_points(scores, by, y, p, s).select(*by, "_rank", F.col(p).alias("threshold"),
                                                    F.col("cum_pos").alias("tps"), F.col("cum_neg").alias("fps"))
-    prev = pts.select(*by, (F.col("_rank") + 1).alias("_rank"), F.col("tps").alias("tp0"), F.col("fps").alias("fp0"))
-    nxt = pts.select(*by, (F.col("_rank") - 1).alias("_rank"), F.col("tps").alias("tp2"), F.col("fps").alias("fp2"))
-    j = pts.join(prev, [*by, "_rank"], "left").join(nxt, [*by, "_rank"], "left")
+    e = pts.select(*by, "threshold", "tps", "fps", F.col("_rank").alias("_src"),
+                   F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("_d"))
+    e = e.withColumn("_t", F.col("_src") + F.col("_d"))
+    j = (F.col("_src") - F.col("_t"))  # 0: the point itself, -1: its previous point, +1: its next point
+
+    def pick(c, k):
+        return F.max(F.when(j == k, F.col(c)))
+
+    g = e.groupBy(*by, "_t").agg(
+        pick("threshold", 0).alias("threshold"), pick("tps", 0).alias("tps"), pick("fps", 0).alias("fps"),
+        F.count(F.when(j == 0, 1)).alias("_own"),
+        pick("tps", -1).alias("tp0"), pick("fps", -1).alias("fp0"), pick("tps", 1).alias("tp2"),
+        pick("fps", 1).alias("fp2"),
+    ).where(F.col("_own") == 1)
     keep = (F.col("tp0").isNull() | F.col("tp2").isNull()
             | (F.col("fp0") - 2 * F.col("fps") + F.col("fp2") != 0)
             | (F.col("tp0") - 2 * F.col("tps") + F.col("tp2") != 0))
-    tot = pts.groupBy(*by).agg(F.max("tps").alias("_P"), F.max("fps").alias("_N"))
-    kept = j.where(keep).join(tot, by, "inner")
+    tot = _class_totals(scores, by, y, p)
+    kept = g.where(keep).join(tot, by, "inner")
     curve = kept.select(*by, "threshold", F.try_divide(F.col("fps").cast("double"), F.col("_N")).alias("fpr"),
                         F.try_divide(F.col("tps").cast("double"), F.col("_P")).alias("tpr"))
     origin = tot.select(*by, F.lit(None).cast("double").alias("threshold"), F.lit(0.0).alias("fpr"),
@@ -170,7 +192,7 @@ def pr_curve(scores: DataFrame, by: list[str] = ("model",), y: str = "y", p: str
     """(precision, recall) at every distinct score, plus the end point (1, 0)."""
     by = list(by)
     pts = score_points(scores, by, y, p, s)
-    tot = _totals(pts, by)
+    tot = _class_totals(scores, by, y, p)
     j = pts.join(tot, by, "inner")
     recall = F.when(F.col("_P") == 0, F.lit(1.0)).otherwise(F.col("cum_pos") / F.col("_P"))
     curve = j.select(*by, F.col(p).alias("threshold"),
