@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +48,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    scratch_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage by writing ``df`` as a Parquet table in the shared checkpoint folder and reading it back.
+
+    Like a reliable ``checkpoint()`` it survives executor loss (no recomputation from the sources), and in
+    addition later stages read only the columns they use and push filters into the scan.
+    """
+    spark = df.sparkSession
+    path = os.path.join(scratch_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
