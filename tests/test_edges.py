@@ -221,3 +221,17 @@ def test_csv_round_trip(spark, tmp_path):
     assert sorted(again.collect()) == sorted(df.collect())
     with pytest.raises(ValueError):
         T.scan_table(spark, str(tmp_path / "stage_csv"), fmt="csv")
+
+
+def test_approximate_quantile_mode(spark):
+    """The cluster setting exact_quantiles=False runs the same operators through percentile_approx."""
+    approx = DEFAULT.with_(exact_quantiles=False)
+    vals = [float(i) for i in range(1, 101)]
+    df = spark.createDataFrame([(i, v, None if i % 10 == 0 else v) for i, v in enumerate(vals)],
+                               "id long, x double, y double")
+    d = {r["column"]: r for r in P.describe(df, ["x"], approx).collect()}["x"]
+    assert d["p50"] in (50.0, 51.0) and d["count"] == 100
+    st = C.column_stats(df, approx)
+    assert st["y"]["fill"] is not None and math.isclose(st["y"]["missing_rate"], 0.1)
+    edges = V.quantile_edges(df, "x", approx)
+    assert edges[0] == 1.0 and edges[-1] == 100.0 and len(edges) == 5
