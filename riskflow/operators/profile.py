@@ -78,23 +78,24 @@ DESCRIBE_COLUMNS = ["TransactionAmt", "TransactionDT", "card1", "addr1"]
 
 
 def describe(df: DataFrame, cols: list[str] = DESCRIBE_COLUMNS, s: Settings = DEFAULT) -> DataFrame:
-    """Count, mean, std (ddof 1), min, quartiles (linear interpolation), max of the columns present."""
-    out = None
-    for c in [c for c in cols if c in df.columns]:
+    """Count, mean, std (ddof 1), min, quartiles (linear interpolation), max of the columns present.
+
+    One aggregate pass for all columns; its single row becomes one row per column with ``inline``."""
+    present = [c for c in cols if c in df.columns]
+    aggs, rows = [], []
+    for i, c in enumerate(present):
         x = F.col(c).cast("double")
         if s.exact_quantiles:
             q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
         else:
             q = F.percentile_approx(x, [0.25, 0.5, 0.75], s.quantile_accuracy).cast("array<double>")
-        part = df.agg(
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"),
-        ).select(
-            F.lit(c).alias("column"), "count", "mean", "std", "min",
-            F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p75"), "max",
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
+        rows.append(F.struct(
+            F.lit(c).alias("column"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
+            F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("p25"),
+            F.col(f"q{i}")[1].alias("p50"), F.col(f"q{i}")[2].alias("p75"), F.col(f"hi{i}").alias("max")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def _range(df: DataFrame, x: Column) -> tuple[float | None, float | None, int, float | None]:
@@ -102,8 +103,8 @@ def _range(df: DataFrame, x: Column) -> tuple[float | None, float | None, int, f
     return r["lo"], r["hi"], r["n"], r["sd"]
 
 
-def _hist(df: DataFrame, x: Column, bins: int) -> DataFrame:
-    lo, hi, _, _ = _range(df, x)
+def _hist(df: DataFrame, x: Column, bins: int, rng: tuple | None = None) -> DataFrame:
+    lo, hi, _, _ = _range(df, x) if rng is None else rng
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n bigint")
     width = (hi - lo) / bins
@@ -140,9 +141,10 @@ def kde_curve(df: DataFrame, col: str = "TransactionDT", bins: int = DEFAULT.his
     x = F.col(col).cast("double")
     if log:
         df, x = df.where(x > 0), F.log10(x)
-    lo, hi, n, sd = _range(df, x)
+    rng = _range(df, x)
+    lo, hi, n, sd = rng
     h = None if (sd is None or n == 0) else sd * n ** (-0.2)
-    hist = _hist(df, x, bins)
+    hist = _hist(df, x, bins, rng)
     step = (hi - lo) / (grid - 1) if lo is not None else 0.0
     g = hist.select(
         ((F.col("lo") + F.col("hi")) / 2).alias("mid"), "n",
