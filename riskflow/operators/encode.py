@@ -114,6 +114,9 @@ def encode_all(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | No
     """
     cols = string_columns(df) if cols is None else cols
     fit = fit_df if fit_df is not None else df
+    if not cols:  # no text column: nothing to encode
+        empty = df.sparkSession.createDataFrame([], "col string, key string, value double")
+        return Encoded(df, empty, empty, fit.agg(F.avg(F.col(target).cast("double"))).first()[0], [])
     stats = category_stats(fit, cols, target)
     tot = fit.agg(F.count(F.lit(1)), F.avg(F.col(target).cast("double"))).first()
     n, g = tot[0], tot[1]
