@@ -70,21 +70,20 @@ def leakage_corr(df: DataFrame, target: str = DEFAULT.target, cols: list[str] |
     """
     cols = feature_columns(df, target) if cols is None else cols
     y = F.col(target).cast("double")
-
-    def stat(d, c):
-        present = ~_is_missing(d, c)
-        x = F.when(present, F.col(c).cast("double"))
-        y_c = F.when(present, y)
-        return F.try_divide(F.covar_pop(x, y_c), F.stddev_pop(x) * F.stddev_pop(y_c))
-
-    sub = df.select(target, *cols)
+    # project each column's pairwise-complete (x, y) once; the aggregate then works on plain columns
+    proj = []
+    for i, c in enumerate(cols):
+        present = ~_is_missing(df, c)
+        proj += [F.when(present, F.col(c).cast("double")).alias(f"x{i}"), F.when(present, y).alias(f"y{i}")]
+    sub = df.select(*proj)
     parts = []
     # three aggregates per column: a quarter of the usual chunk keeps the generated code small
     step = max(10, s.agg_chunk // 4)
     for i in range(0, len(cols), step):
-        chunk = cols[i: i + step]
-        row = sub.agg(*[stat(sub, c).alias(c) for c in chunk])
-        parts.append(row.unpivot([], chunk, "feature", "corr"))
+        idx = range(i, min(i + step, len(cols)))
+        row = sub.agg(*[F.try_divide(F.covar_pop(f"x{k}", f"y{k}"), F.stddev_pop(f"x{k}") * F.stddev_pop(f"y{k}"))
+                        .alias(cols[k]) for k in idx])
+        parts.append(row.unpivot([], [cols[k] for k in idx], "feature", "corr"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
