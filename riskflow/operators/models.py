@@ -32,14 +32,29 @@ class Matrix:
     names: list[str]
 
 
-def model_matrix(df: DataFrame, s: Settings = DEFAULT, exclude: list[str] = ()) -> Matrix:
-    """Variance-filtered numeric features (NULL -> 0) assembled into a vector, split 80/20 by I1."""
+def model_matrix(df: DataFrame, s: Settings = DEFAULT, exclude: list[str] = (),
+                 importance_select: bool = False) -> Matrix:
+    """Variance-filtered numeric features (H1, NULL -> 0) assembled into a vector, split 80/20 by I1.
+
+    With ``importance_select`` the reference's next step runs too: boosted trees fitted on the training rows rank
+    the features (H2) and only those with importance > 0, at most ``top_n_features``, are kept (H3).
+    """
     filtered, kept = S.variance_filter(df, s.variance_threshold, s.target, s)
     kept = [c for c in kept if c not in exclude]
     base = filtered.select(*dict.fromkeys([s.id_col, s.target, *kept])).na.fill(0.0, subset=kept)
     split = SP.stratified_split(base.select(s.id_col, s.target), s.target, s.id_col, s.valid_size, s.seed, s)
-    m = S.assemble(base, kept, s.target, s.id_col).join(split.select(s.id_col, "is_valid"), s.id_col, "inner")
-    return Matrix(m.where(~F.col("is_valid")).drop("is_valid"), m.where("is_valid").drop("is_valid"), kept)
+    flags = split.select(s.id_col, "is_valid")
+    m = S.assemble(base, kept, s.target, s.id_col).join(flags, s.id_col, "inner")
+    mx = Matrix(m.where(~F.col("is_valid")).drop("is_valid"), m.where("is_valid").drop("is_valid"), kept)
+    if not importance_select:
+        return mx
+    model = gbt(s).fit(_weighted(mx.train, s))
+    imp = mx.train.sparkSession.createDataFrame(
+        list(zip(kept, [float(v) for v in model.featureImportances.toArray()])), "feature string, importance double")
+    chosen = [r["feature"] for r in S.select_top_features(imp, s.top_n_features).collect()]  # <= column count
+    chosen = [c for c in kept if c in set(chosen)]
+    m = S.assemble(base, chosen, s.target, s.id_col).join(flags, s.id_col, "inner")
+    return Matrix(m.where(~F.col("is_valid")).drop("is_valid"), m.where("is_valid").drop("is_valid"), chosen)
 
 
 def _weighted(train: DataFrame, s: Settings, mode: str = "balanced") -> DataFrame:

@@ -37,7 +37,7 @@ def _key(spark, sf, what):
 def matrix(spark, sf) -> M.Matrix:
     k = _key(spark, sf, "matrix")
     if k not in _MEMO:
-        mx = M.model_matrix(stages(spark, sf).crossed, QUICK)
+        mx = M.model_matrix(stages(spark, sf).crossed, QUICK, importance_select=True)
         _MEMO[k] = M.Matrix(cut_lineage(mx.train), cut_lineage(mx.valid), mx.names)
     return _MEMO[k]
 
