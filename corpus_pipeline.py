@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import lang_id, minhash_join, mix, packing
+from riskflow.llm import lang_id, minhash_join, mix, packing, secret_scan
 from riskflow.llm.common import read, stage
 
 
@@ -22,6 +22,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return minhash_join.keep_first(docs)
 
 
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every secret by a mark; all documents stay."""
+    return secret_scan.redact(docs)
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats, cuts or leaves out documents so that each source takes its target."""
     return mix.mix(docs)
@@ -33,7 +38,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [("language_id", languages), ("near_duplicates", near_duplicates),
-          ("source_mix", mixture), ("best_fit_packing", packed)]
+          ("secret_scan", secrets), ("source_mix", mixture), ("best_fit_packing", packed)]
 
 #: Language profiles and minimum hashes are beyond SQL; tests/llm holds run() against a brute-force version.
 ORACLE_SQL = None

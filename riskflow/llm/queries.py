@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm import lang_id, minhash_join, mix, packing
+from riskflow.llm import (cap_filters, lang_id, licences, minhash_join, mix, ngram_lm, packing, quality, secret_scan,
+                          syncmers)
 from riskflow.llm.common import crc_mod, read
 
 QUERIES: dict = {}
@@ -17,6 +18,48 @@ def query(fn):
     return fn
 
 
+@query
+def op1_cap_filter_near_duplicates(spark, sf_dir) -> DataFrame:
+    """Components of the vectors of a label with a cosine of 0.98 or more."""
+    return cap_filters.near_vectors(read(spark, sf_dir, "embeddings"), 0.98)
+
+
+SQL["op1_cap_filter_near_duplicates"] = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding, label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok FROM embeddings),
+v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM e WHERE ok),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.98),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM pairs GROUP BY a),
+reach AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, least(e.vec_id, coalesce(c.component_id, e.vec_id)) AS component_id,
+  e.vec_id <= coalesce(c.component_id, e.vec_id) AS kept
+FROM e LEFT JOIN n ON e.vec_id = n.vec_id LEFT JOIN c ON e.vec_id = c.vec_id
+"""
+
+
+def document_files(docs: DataFrame) -> DataFrame:
+    """Documents as files (row, path, text): their source is the root, ids give directories and names.
+
+    Every 50th id is its directory's LICENSE, every 1,000th plus one that of the directory above.
+    """
+    i = F.col("doc_id")
+    up = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(i / 1000).cast("string"))
+    path = (F.when(i % 1000 == 1, F.concat(up, F.lit("/LICENSE")))
+            .when(i % 50 == 0, F.concat(up, F.lit("/"), F.floor(i / 50).cast("string"), F.lit("/LICENSE")))
+            .otherwise(F.concat(up, F.lit("/"), F.floor(i / 50).cast("string"), F.lit("/"), i.cast("string"), F.lit(".txt"))))
+    return docs.select(F.coalesce(i, F.xxhash64("text")).alias("row"), path.alias("path"), "text")
+
+
+@query
+def op2_licence_scan(spark, sf_dir) -> DataFrame:
+    """Every document's licence from its own lines or the nearest directory's licence file."""
+    return licences.scan(document_files(read(spark, sf_dir, "documents"))).withColumnRenamed("row", "doc_id")
+
+
 @query
 def op3_language_id(spark, sf_dir) -> DataFrame:
     """Languages by rank-order profiles, learned from the documents outside the held-out quarter."""
@@ -66,6 +109,13 @@ def op5_best_fit_packing(spark, sf_dir) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+@query
+def op6_hierarchical_quality(spark, sf_dir) -> DataFrame:
+    """Quality and toxicity of every document: evidence, and rates of its source and of the source's language."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return quality.judge(docs, labels, F.col("source"), F.col("lang"))
+
+
 @query
 def op7_minhash_near_duplicates(spark, sf_dir) -> DataFrame:
     """Components of documents whose sets of two-word shingles have a similarity of 0.8 or more."""
@@ -91,3 +141,23 @@ rows AS (SELECT g.doc_id, CAST(len(g.g) AS BIGINT) AS n_shingles, coalesce(comp.
   FROM g LEFT JOIN c ON list_sort(g.g) = c.g LEFT JOIN comp ON comp.rep = c.rep)
 SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM rows
 """
+
+
+@query
+def op8_syncmer_fingerprints(spark, sf_dir) -> DataFrame:
+    """Fingerprints of every document and of its edited text, with their likeness."""
+    return syncmers.fingerprints(read(spark, sf_dir, "documents"))
+
+
+@query
+def op9_kneser_ney_scores(spark, sf_dir) -> DataFrame:
+    """Log probabilities of every document under the model of those that are not held out."""
+    d = ngram_lm.fit_and_score(read(spark, sf_dir, "documents"), crc_mod("doc_id", 7) == 2, F.col("doc_id"))
+    return d.select(F.col("c0").alias("doc_id"), F.col("c1").alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                    "base_score", "score")
+
+
+@query
+def op10_secret_spans(spark, sf_dir) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secret_scan.find(read(spark, sf_dir, "documents"))
