@@ -9,7 +9,8 @@ them to one p-value: ordinary words fail, random keys do not.
 Short runs can pass by chance, so the share that must pass is set from the data, by length: every candidate brings a decoy of its
 own length, made of the text beside it without other candidates, white space and digits-only tokens. Counts of candidates
 and decoys by length class and p-value, summed by Spark to a table of fixed size, give for each length class the lowest
-p-value from which decoys are at most a share ``FDR`` of candidates.
+p-value from which decoys, and one more, are at most a share ``FDR`` of candidates. Without so many there is no evidence
+that a class tells keys from words, and nothing is added.
 
 Defined results: a null or empty text has no spans; digits-only runs (numbers, not keys) and candidates that touch a base
 span are not tested; repeated rows are counted and reported each on their own; an empty table gives an empty result;
@@ -42,7 +43,7 @@ ALPHABETS = [
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_")]
 _CODES = [(n, {c: i for i, c in enumerate(a)}, frozenset(a)) for n, a in ALPHABETS]
-FDR = 0.01
+FDR = 0.05
 LEAST_P = 0.01    # randomness rejected at this level is never a secret
 LENGTHS = (16, 20, 28, 40, 64)  # length classes begin here
 BINS = 200        # of log10 p from -10 to 0
@@ -206,7 +207,7 @@ def thresholds(scanned: DataFrame, fdr: float = FDR) -> dict[int, int]:
         for p in range(BINS, floor - 1, -1):
             real += at.get((p, 0), 0)
             decoys += at.get((p, 1), 0)
-            if real and decoys <= fdr * real:
+            if decoys + 1 <= fdr * real:
                 best = p
         out[c] = best
     return out

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.common import small, stage
 
-PIECE, K, S = 4, 5, 2
+PIECE, K, S = 3, 4, 2
 KEEP = 64
 ROWS_PER_RANGE = 4_000
 
