@@ -31,7 +31,8 @@ def _has(df: DataFrame, *cols: str) -> bool:
 
 def card_sequence(df: DataFrame, s: Settings = DEFAULT) -> DataFrame:
     """F3 + F5 on (id, card, time, amount) rows with a non-null card: per id the mean / std (ddof 1, NULL -> 0)
-    of the amount over the row and the two rows before it, and the seconds since the previous row (-1 first)."""
+    of the amount over the row and the two rows before it, and the seconds since the previous row (-1 for the
+    first row and for a row without a time, which comes last)."""
     card, dt, amt, idc = s.card_col, s.time_col, s.amount_col, s.id_col
     base = df.where(F.col(card).isNotNull()).select(idc, card, dt, amt)
     r = ordered_prefix(base, order=[dt, idc], by=[card], s=s)
@@ -45,7 +46,7 @@ def card_sequence(df: DataFrame, s: Settings = DEFAULT) -> DataFrame:
         F.avg(amt).alias("card1_recent3_amt_mean"),
         F.stddev_samp(amt).alias("_r3s"),
     ).where(F.col(idc).isNotNull())
-    since = F.when(F.col("_prev_dt").isNull(), F.lit(-1.0)).otherwise((F.col("_dt") - F.col("_prev_dt")).cast("double"))
+    since = F.when(F.col("_prev_dt").isNull() | F.col("_dt").isNull(), F.lit(-1.0)).otherwise((F.col("_dt") - F.col("_prev_dt")).cast("double"))
     return g.select(
         idc,
         "card1_recent3_amt_mean",

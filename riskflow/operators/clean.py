@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.functions.numeric import nan_to_null
 from riskflow.operators.profile import _FLOATS, missing_rate, wide_stat
+from riskflow.operators.quantiles import exact_quantiles
 from riskflow.settings import DEFAULT, Settings
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -19,13 +21,16 @@ _SIMPLE = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampTy
 
 
 def column_stats(df: DataFrame, s: Settings = DEFAULT, strategy: str = "median") -> dict[str, dict]:
-    """D1 + D2 + D3 statistics of every column in one aggregate pass per chunk of columns:
+    """D1 + D2 + D3 statistics of every column, one aggregate pass per chunk of columns (medians: ``quantiles``):
     missing share (NULL or NaN), whether it has at most one distinct non-null value, the fill value
     (exact median or mean) of numeric columns and their NULL count. Returns {column: {stat: value}}
     (bounded by the column count)."""
     out: dict[str, dict] = {}
     fields = df.schema.fields
     step = max(10, s.agg_chunk // 4)
+    medians = {}
+    if strategy != "mean":
+        medians = {c: v[0] for c, v in exact_quantiles(df, numeric_columns(df), [0.5], s).items()}
     for i in range(0, len(fields), step):
         chunk = fields[i: i + step]
         aggs = []
@@ -37,19 +42,12 @@ def column_stats(df: DataFrame, s: Settings = DEFAULT, strategy: str = "median")
             if isinstance(f.dataType, _SIMPLE):
                 v = _non_nan(df, c)
                 aggs.append(F.min(v).eqNullSafe(F.max(v)).alias(f"c{k}"))
-            if isinstance(f.dataType, T.NumericType):
-                xd = _non_nan(df, c).cast("double")
-                if strategy == "mean":
-                    fill = F.avg(xd)
-                elif s.exact_quantiles:
-                    fill = F.percentile(xd, F.lit(0.5))
-                else:
-                    fill = F.percentile_approx(xd, F.lit(0.5), s.quantile_accuracy)
-                aggs.append(fill.alias(f"f{k}"))
+            if isinstance(f.dataType, T.NumericType) and strategy == "mean":
+                aggs.append(F.avg(_non_nan(df, c).cast("double")).alias(f"f{k}"))
         row = df.agg(*aggs).first().asDict()
         for k, f in enumerate(chunk):
             out[f.name] = {"missing_rate": row[f"m{k}"], "nulls": row[f"n{k}"],
-                           "is_constant": row.get(f"c{k}"), "fill": row.get(f"f{k}"),
+                           "is_constant": row.get(f"c{k}"), "fill": row.get(f"f{k}", medians.get(f.name)),
                            "numeric": isinstance(f.dataType, T.NumericType)}
     return out
 
@@ -132,17 +130,11 @@ def drop_constant(df: DataFrame, s: Settings = DEFAULT) -> tuple[DataFrame, list
 def numeric_fill_values(df: DataFrame, strategy: str = "median", s: Settings = DEFAULT) -> DataFrame:
     """D3 state: (col, key=NULL, value) with the exact median (or mean) of every numeric column."""
     cols = numeric_columns(df)
-    sub = df.select(*cols)
-
-    def stat(d, c):
-        x = _non_nan(d, c).cast("double")
-        if strategy == "mean":
-            return F.avg(x)
-        if s.exact_quantiles:
-            return F.percentile(x, F.lit(0.5))
-        return F.percentile_approx(x, F.lit(0.5), s.quantile_accuracy)
-
-    vals = wide_stat(sub, stat, "col", "value", s)
+    if strategy == "mean":
+        vals = wide_stat(df.select(*cols), lambda d, c: F.avg(_non_nan(d, c).cast("double")), "col", "value", s)
+    else:
+        rows = [(c, v[0]) for c, v in exact_quantiles(df, cols, [0.5], s).items()]
+        vals = df.sparkSession.createDataFrame(rows, "col string, value double")
     return vals.select("col", F.lit(None).cast("string").alias("key"), "value")
 
 
@@ -212,9 +204,9 @@ def schema_guard(df: DataFrame, required: list[str], on_missing: str = "pass", d
 
 
 def numeric_coerce(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Text to double, unparsable text to NULL (``try_cast``; plain cast raises under ANSI)."""
+    """Text to double, unparsable text and 'nan' to NULL (``try_cast``; plain cast raises under ANSI)."""
     out = df
     for c in cols:
         if c in df.columns:
-            out = out.withColumn(c, F.col(c).cast("string").try_cast("double"))
+            out = out.withColumn(c, nan_to_null(F.col(c).cast("string").try_cast("double")))
     return out

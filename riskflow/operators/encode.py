@@ -20,6 +20,7 @@ from riskflow.functions import text as X
 from riskflow.operators.behavior import card_mean_state
 from riskflow.operators.clean import string_columns
 from riskflow.operators.ordered import consecutive_codes
+from riskflow.session import cut_lineage
 from riskflow.settings import DEFAULT, Settings
 
 
@@ -108,9 +109,7 @@ def encode_all(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | No
     gated ones. Same result as ``freq_encode`` followed by ``target_encode`` (the frequency columns are numbers,
     so the text columns seen by the target encoder are the same).
 
-    The gate already gives each column's distinct count. Columns with at most ``s.map_lookup_max`` values are
-    looked up in a literal map built from their (bounded, counted) state rows - a projection, no join; larger
-    ones are joined to their state (broadcast or shuffled by AQE from the runtime size).
+    The stored states are joined to the rows; adaptive execution broadcasts those that turn out small at run time.
     """
     cols = string_columns(df) if cols is None else cols
     fit = fit_df if fit_df is not None else df
@@ -124,33 +123,16 @@ def encode_all(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | No
     gate = {r["col"]: r for r in cardinality_gate(stats, cols, 2, s.max_te_card).collect()}  # one row per column
     gated = [c for c in cols if gate[c]["gated"]]
     tstate = stats.where(F.col("col").isin(gated)).select("col", "key", F.col("mean_y").alias("value"))
-    small = [c for c in cols if gate[c]["n_distinct"] <= s.map_lookup_max]
-    maps: dict[str, list] = {c: [] for c in small}
-    if small:
-        # at most len(small) * map_lookup_max rows, counted by the gate above
-        for r in stats.where(F.col("col").isin(small)).select("col", "key", "n", "mean_y").collect():
-            maps[r["col"]].append((r["key"], r["n"] / float(n), r["mean_y"]))
-
-    def lookup(c: str, idx: int) -> F.Column:
-        entries = maps[c]
-        m = F.map_from_arrays(F.lit([e[0] for e in entries]).cast("array<string>"),
-                              F.lit([e[idx] for e in entries]).cast("array<double>"))
-        return F.try_element_at(m, F.col(c).cast("string"))
-
+    fstate, tstate = cut_lineage(fstate, "freq-state"), cut_lineage(tstate, "te-state")
     out = df
     for c in cols:
-        if c in maps:
-            out = out.withColumn(f"{c}__freq", lookup(c, 1) if maps[c] else F.lit(None).cast("double"))
-        else:
-            out = map_lookup(out, fstate, c, f"{c}__freq")
+        out = map_lookup(out, fstate, c, f"{c}__freq")
     for c in gated:
-        if c in maps:
-            out = out.withColumn(f"{c}__te", F.coalesce(lookup(c, 2), F.lit(g)))
-        else:
-            out = map_lookup(out, tstate, c, f"{c}__te", default=g)
+        out = map_lookup(out, tstate, c, f"{c}__te", default=g)
     return Encoded(out, fstate, tstate, g, gated)
 
 
+# Fixed values (reference): the token of a missing category.
 MISSING_TOKEN = "__MISSING__"
 
 
@@ -183,6 +165,7 @@ def label_encode(df: DataFrame, col: str, state: DataFrame, out: str | None = No
 
 # ---- G5: the scoring app's nine features ------------------------------------------------------
 
+# Fixed values (reference): raw fields, features and categories of the scoring app.
 MANUAL_RAW = ["TransactionAmt", "card1", "addr1", "DeviceType", "DeviceInfo", "P_emaildomain"]
 MANUAL_FEATURES = ["TransactionAmt", "TransactionAmt_log", "card1", "addr1", "card1_avg_amt", "amt_to_card1_ratio",
                    "DeviceType_norm_le", "DeviceInfo_brand_le", "P_emaildomain_provider_le"]
@@ -252,4 +235,5 @@ def manual_features_fit(df: DataFrame, order_col: str = DEFAULT.id_col, s: Setti
     for c in MANUAL_CATS:
         st = label_codes(b, c, order_col, s)
         codes = st if codes is None else codes.unionByName(st)
-    return ManualFeaturesModel(state, g, codes)
+    # stored, so that a transform (each micro-batch of a stream, say) reads no training table
+    return ManualFeaturesModel(cut_lineage(state, "card-means"), g, cut_lineage(codes, "codes"))

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskflow.operators.quantiles import exact_quantiles
 from riskflow.operators.ordered import ordered_prefix
 from riskflow.settings import DEFAULT, Settings
 
@@ -86,7 +87,10 @@ def binary_metrics(scores: DataFrame, by: list[str] = ("model",), y: str = "y",
         raise ValueError("binary_metrics needs at least one group column")
     r = rates(confusion(scores, by, y, p, threshold))
     a = roc_auc(scores, by, y, p, s)
-    j = r.join(a, by, "left")
+    same = F.lit(True)
+    for c in by:  # null-safe: a NULL model is a group too
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"a.{c}"))
+    j = r.alias("r").join(a.alias("a"), same, "left").select("r.*", "a.auc")
     return j.select(*by, (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n"),
                     "auc", "accuracy", "precision", "recall", "f1")
 
@@ -241,13 +245,7 @@ def search_argbest(log: DataFrame) -> DataFrame:
 
 
 def _percentiles(df: DataFrame, x: str, probs: list[float], s: Settings) -> list[float]:
-    xs = F.col(x).cast("double")
-    if s.exact_quantiles:
-        e = F.percentile(xs, F.array(*[F.lit(q) for q in probs]))
-    else:
-        e = F.percentile_approx(xs, probs, s.quantile_accuracy).cast("array<double>")
-    row = df.agg(e.alias("q")).first()["q"]
-    return [] if row is None else [v for v in row if v is not None]
+    return [v for v in exact_quantiles(df, [x], probs, s)[x] if v is not None]
 
 
 def quantile_edges(df: DataFrame, x: str, s: Settings = DEFAULT) -> list[float] | None:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskflow.functions.hashing import hash32
+from riskflow.session import cut_lineage
 from riskflow.settings import DEFAULT, Settings
 
 # Fixed values (reference): bar colours of positive / negative contributions in the local explanation.
@@ -61,11 +62,13 @@ def shapley_values(model, rows: DataFrame, background: DataFrame, names: list[st
     For each explained row r and permutation k (k < n_perm) a background row b = background[h(r, k) mod B]
     is chosen by an equi-join on its index, and the F + 1 hybrids x^(j) (the first j features of the
     permutation taken from r, the rest from b) are scored. The contribution of feature perm[j] is
-    f(x^(j+1)) - f(x^(j)); averaging over k gives phi. Rows: explained x n_perm x (F + 1), all scored in one
-    ``transform``; no cross join, no per-row Python.
+    f(x^(j+1)) - f(x^(j)); averaging over k gives phi. Rows: explained x n_perm x (F + 1), each scored once in one
+    ``transform``: its score counts for the feature that it has just taken and against the next one, so a grouped sum
+    replaces a join of neighbours. Every row given is explained; the background (with its row key) is a fitted input
+    whose size the caller states. No cross join, no per-row Python.
     """
     nf = len(names)
-    bg = _index_rows(background.select(F.col(features_col).alias("_bx")), "_bx", s)
+    bg = cut_lineage(_index_rows(background.select(id_col, F.col(features_col).alias("_bx")), "_bx", id_col, s), "background")
     n_bg = bg.count()
     ex = rows.select(id_col, vector_to_array(features_col).alias("_x"))
     ex = ex.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
@@ -80,18 +83,22 @@ def shapley_values(model, rows: DataFrame, background: DataFrame, names: list[st
                                                           .alias("h"), i.alias("i")))),
         lambda t: t["i"])
     ex = ex.withColumn("_perm", perm)
+    # position of each feature in the permutation, once per (row, permutation): the inverse permutation
+    place = F.transform(
+        F.array_sort(F.transform(F.col("_perm"), lambda f, j: F.struct(f.alias("f"), j.alias("j")))), lambda t: t["j"])
+    ex = ex.withColumn("_pos", place)
     ex = ex.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(nf))))
-    # position of each feature in the permutation; feature f comes from x when pos(f) < j
-    pos = F.transform(idx, lambda f: F.array_position(F.col("_perm"), f) - 1)
-    hybrid = F.transform(idx, lambda f: F.when(pos[f] < F.col("_j"), F.col("_x")[f]).otherwise(F.col("_bx")[f]))
+    # feature f comes from the row when its position is below j, else from the background
+    hybrid = F.transform(F.col("_pos"), lambda p, f: F.when(p < F.col("_j"), F.col("_x")[f]).otherwise(F.col("_bx")[f]))
     ex = ex.withColumn(features_col, array_to_vector(hybrid))
-    scored = model.transform(ex.select(id_col, "_k", "_j", "_perm", features_col))
+    scored = model.transform(ex.select(id_col, "_j", "_perm", features_col))
     f = vector_to_array(prob_col)[1]
-    sc = scored.select(id_col, "_k", "_j", "_perm", f.alias("_f"))
-    nxt = sc.select(id_col, "_k", (F.col("_j") - 1).alias("_j"), F.col("_f").alias("_f1"))
-    d = sc.join(nxt, [id_col, "_k", "_j"], "inner")
-    d = d.select(id_col, F.col("_perm")[F.col("_j")].alias("_fi"), (F.col("_f1") - F.col("_f")).alias("_d"))
-    out = d.groupBy(id_col, "_fi").agg(F.avg("_d").alias("phi"))
+    sc = scored.select(id_col, "_j", "_perm", f.alias("_f"))
+    ends = F.array(F.struct(F.get("_perm", F.col("_j") - 1).alias("i"), F.col("_f").alias("d")),
+                   F.struct(F.get("_perm", F.col("_j")).alias("i"), (-F.col("_f")).alias("d")))
+    d = sc.select(id_col, F.explode(ends).alias("e")).where(F.col("e.i").isNotNull())
+    d = d.select(id_col, F.col("e.i").alias("_fi"), F.col("e.d").alias("_d"))
+    out = d.groupBy(id_col, "_fi").agg((F.sum("_d") / n_perm).alias("phi"))
     name_arr = F.array(*[F.lit(n) for n in names])
     vals = rows.select(id_col, vector_to_array(features_col).alias("_x"))
     out = out.join(vals, id_col, "inner")
@@ -99,9 +106,9 @@ def shapley_values(model, rows: DataFrame, background: DataFrame, names: list[st
                       "phi")
 
 
-def _index_rows(df: DataFrame, col: str, s: Settings) -> DataFrame:
+def _index_rows(df: DataFrame, col: str, id_col: str, s: Settings) -> DataFrame:
     from riskflow.operators.ordered import ordered_prefix
 
-    d = df.withColumn("_hh", hash32(F.col(col).cast("string"), "bgidx")).withColumn("_u", F.monotonically_increasing_id())
-    r = ordered_prefix(d, order=["_hh", "_u"], s=s)
+    d = df.withColumn("_hh", hash32(id_col, "bgidx"))
+    r = ordered_prefix(d, order=["_hh", id_col], s=s)
     return r.select(col, (F.col("_rank") - 1).alias("_bi"))

@@ -10,6 +10,8 @@ and search draws run on the driver; each fit is a distributed Spark job.
 
 from __future__ import annotations
 
+import os
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from riskflow.operators import evaluate as V
 from riskflow.operators import select as S
 from riskflow.operators import split as SP
+from riskflow.session import cut_lineage, scratch_dir
 from riskflow.settings import DEFAULT, Settings
 
 
@@ -36,8 +39,8 @@ def model_matrix(df: DataFrame, s: Settings = DEFAULT, exclude: list[str] = (),
                  importance_select: bool = False) -> Matrix:
     """Variance-filtered numeric features (H1, NULL -> 0) assembled into a vector, split 80/20 by I1.
 
-    With ``importance_select`` the reference's next step runs too: boosted trees fitted on the training rows rank
-    the features (H2) and only those with importance > 0, at most ``top_n_features``, are kept (H3).
+    With ``importance_select`` the next step runs too: boosted trees fitted on the training rows rank the features
+    by split counts (H2) and only those with a split, at most ``top_n_features``, are kept (H3).
     """
     filtered, kept = S.variance_filter(df, s.variance_threshold, s.target, s)
     kept = [c for c in kept if c not in exclude]
@@ -48,9 +51,8 @@ def model_matrix(df: DataFrame, s: Settings = DEFAULT, exclude: list[str] = (),
     mx = Matrix(m.where(~F.col("is_valid")).drop("is_valid"), m.where("is_valid").drop("is_valid"), kept)
     if not importance_select:
         return mx
-    model = gbt(s).fit(_weighted(mx.train, s))
-    imp = mx.train.sparkSession.createDataFrame(
-        list(zip(kept, [float(v) for v in model.featureImportances.toArray()])), "feature string, importance double")
+    _, imp = model_importance(mx, os.path.join(scratch_dir(df.sparkSession), f"importance-{uuid.uuid4().hex}"), s)
+    imp = imp.select("feature", F.col("splits").cast("double").alias("importance"))
     chosen = [r["feature"] for r in S.select_top_features(imp, s.top_n_features).collect()]  # <= column count
     chosen = [c for c in kept if c in set(chosen)]
     m = S.assemble(base, chosen, s.target, s.id_col).join(flags, s.id_col, "inner")
@@ -82,10 +84,12 @@ def gbt(s: Settings = DEFAULT, seed: int | None = None, **kw) -> GBTClassifier:
 
 def fit_eval(est, mx: Matrix, name: str, s: Settings = DEFAULT, weights: str = "balanced",
              train: DataFrame | None = None):
-    """Fit on the (weighted) training rows, score the validation rows; returns (model, scores, metrics)."""
+    """Fit on the (weighted) training rows, score the validation rows; returns (model, scores, metrics).
+
+    The score table is stored, so each row is scored once however many metrics read it."""
     tr = _weighted(mx.train if train is None else train, s, weights)
     model = est.fit(tr)
-    sc = score_table(model, mx.valid, name, s)
+    sc = cut_lineage(score_table(model, mx.valid, name, s), "scores")
     return model, sc, V.binary_metrics(sc, ["model"], s=s)
 
 
@@ -94,7 +98,7 @@ def logistic_baseline(mx: Matrix, s: Settings = DEFAULT):
     tr = SP.subsample_n(mx.train, s.logistic_max_rows, s.id_col, s.seed, s)
     n = max(tr.count(), 1)
     est = LogisticRegression(featuresCol="features", labelCol=s.target, weightCol="weight", maxIter=200,
-                             regParam=1.0 / n, elasticNetParam=0.0, standardization=True)
+                             regParam=1.0 / n, elasticNetParam=0.0, standardization=False)
     return fit_eval(est, mx, "LogisticRegression_baseline", s, train=tr)
 
 
@@ -116,8 +120,9 @@ def xgb_baseline(mx: Matrix, s: Settings = DEFAULT):
 
 
 def cat_baseline(mx: Matrix, s: Settings = DEFAULT):
-    """M6: depth-6 boosted trees with class weights {1, neg/pos} and their own seed."""
-    return fit_eval(gbt(s, seed=s.seed + 7, maxDepth=6), mx, "CAT_baseline", s, weights="scale_pos")
+    """M6: depth-6 boosted trees on all rows and columns, class weights {1, neg/pos}, the common seed."""
+    return fit_eval(gbt(s, maxDepth=6, subsamplingRate=1.0, featureSubsetStrategy="all"), mx, "CAT_baseline", s,
+                    weights="scale_pos")
 
 
 # Fixed values (reference): the tuning grid - 2 leaf sizes x 2 minimum child sizes (one row / column share).
@@ -145,57 +150,67 @@ def kfold_cv(df: DataFrame, names: list[str], s: Settings = DEFAULT) -> DataFram
     base = df.select(*dict.fromkeys([s.id_col, s.target, *names])).na.fill(0.0, subset=names)
     mx_all = S.assemble(base, names, s.target, s.id_col)
     folds = SP.stratified_kfold(df.select(s.id_col, s.target), s.n_folds, s.target, s.id_col, s.seed, s)
-    data = mx_all.join(folds.select(s.id_col, "fold"), s.id_col, "inner")
+    data = cut_lineage(mx_all.join(folds.select(s.id_col, "fold"), s.id_col, "inner"), "folds")
+    sizes = {r["fold"]: r["count"] for r in data.groupBy("fold").count().collect()}  # one row per fold
     rows = []
     for k in range(1, s.n_folds + 1):
         tr, va = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
         model = gbt(s, seed=s.seed + k).fit(_weighted(tr, s))
-        sc = score_table(model, va, f"fold{k}", s)
+        sc = cut_lineage(score_table(model, va, f"fold{k}", s), "scores")
         auc = V.roc_auc(sc, ["model"], s=s).first()["auc"]
-        rows.append((str(k), float(auc) if auc is not None else None, float(tr.count()), float(va.count())))
+        rows.append((str(k), float(auc) if auc is not None else None, float(sum(sizes.values()) - sizes.get(k, 0)),
+                     float(sizes.get(k, 0))))
     aucs = [r[1] for r in rows if r[1] is not None]
     rows.append(("mean", float(np.mean(aucs)) if aucs else None, float(np.mean([r[2] for r in rows])),
                  float(np.mean([r[3] for r in rows]))))
     return df.sparkSession.createDataFrame(rows, "fold string, auc double, n_train double, n_val double")
 
 
-def sample_params(rng: np.random.Generator) -> dict:
-    """One draw of the random search (the reference's nine ranges, mapped onto GBT parameters)."""
-    leaves = int(rng.integers(32, 128))
-    min_child = int(rng.integers(20, 200))
-    depth = int(rng.integers(4, 12))
-    subsample = float(rng.uniform(0.6, 1.0))
-    colsample = float(rng.uniform(0.6, 1.0))
-    reg_alpha = float(rng.uniform(0.0, 1.0))
-    reg_lambda = float(rng.uniform(0.0, 1.0))
-    min_gain = float(rng.uniform(0.0, 0.5))
-    trees = int(rng.integers(200, 600))
-    return dict(num_leaves=leaves, min_child_samples=min_child, max_depth=depth, subsample=subsample,
-                colsample_bytree=colsample, reg_alpha=reg_alpha, reg_lambda=reg_lambda, min_split_gain=min_gain,
-                n_estimators=trees)
-
-
-def random_search(mx: Matrix, s: Settings = DEFAULT, n_iter: int = 20, max_trees: int | None = None,
-                  max_depth: int | None = None):
-    """M7: ``n_iter`` draws (numpy generator seeded 42 + 123), each a GBT fit scored on the validation rows;
-    returns (log, best model, best row). ``max_trees`` / ``max_depth`` cap a draw (quick runs)."""
-    rng = np.random.default_rng(s.seed + 123)
-    logs, models = [], {}
-    for i in range(1, n_iter + 1):
-        p = sample_params(rng)
-        trees = p["n_estimators"] if max_trees is None else min(p["n_estimators"], max_trees)
-        depth = p["max_depth"] if max_depth is None else min(p["max_depth"], max_depth)
-        est = gbt(s, maxIter=trees, maxDepth=depth, minInstancesPerNode=p["min_child_samples"],
+# Fixed values (reference): parameter, kind and half-open range of the random search, in the order of the draws.
+SEARCH_SPACE = [
+    ("num_leaves", "int", 32, 128), ("min_child_samples", "int", 20, 200), ("max_depth", "int", 4, 12),
+    ("subsample", "float", 0.6, 1.0), ("colsample_bytree", "float", 0.6, 1.0), ("reg_alpha", "float", 0.0, 1.0),
+    ("reg_lambda", "float", 0.0, 1.0), ("min_split_gain", "float", 0.0, 0.5), ("n_estimators", "int", 200, 600),
+]
+#: What Spark's trees have no counterpart for; logged as drawn, not fitted.
+UNMAPPED = ("num_leaves", "reg_alpha", "reg_lambda")
+
+
+def draws(seed: int, n: int, space: list[tuple] = SEARCH_SPACE) -> list[dict]:
+    """``n`` draws from a space of (parameter, kind, low, high), by one numpy generator."""
+    rng = np.random.default_rng(seed)
+    pick = {"int": lambda lo, hi: int(rng.integers(lo, hi)), "float": lambda lo, hi: float(rng.uniform(lo, hi))}
+    return [{name: pick[kind](lo, hi) for name, kind, lo, hi in space} for _ in range(n)]
+
+
+def search_estimator(p: dict, weight_sum: float, s: Settings = DEFAULT) -> tuple[GBTClassifier, dict]:
+    """The estimator of a draw and the parameters it really gets.
+
+    The drawn gain is a sum over rows, Spark's ``minInfoGain`` a mean per weighted row, so it is divided by their sum.
+    """
+    fitted = dict(maxIter=p["n_estimators"], maxDepth=p["max_depth"], minInstancesPerNode=p["min_child_samples"],
                   subsamplingRate=p["subsample"], featureSubsetStrategy=str(round(p["colsample_bytree"], 4)),
-                  minInfoGain=p["min_split_gain"])
+                  minInfoGain=p["min_split_gain"] / max(weight_sum, 1.0))
+    return gbt(s, **fitted), fitted
+
+
+def random_search(mx: Matrix, s: Settings = DEFAULT, n_iter: int = 20, space: list[tuple] = SEARCH_SPACE):
+    """M7: ``n_iter`` draws from ``space`` (numpy generator seeded 42 + 123), each a GBT fit scored on the validation
+    rows; returns (log, best model, best row). ``params`` in the log are the parameters of the fit and, under
+    ``unmapped``, those drawn for which Spark's trees have no counterpart."""
+    weight_sum = float(_weighted(mx.train, s).agg(F.sum("weight")).first()[0] or 0.0)
+    logs, models = [], {}
+    for i, p in enumerate(draws(s.seed + 123, n_iter, space), 1):
+        est, fitted = search_estimator(p, weight_sum, s)
         model, sc, met = fit_eval(est, mx, f"draw{i}", s)
         cost = V.business_cost(sc, ["model"], s=s)
-        row = met.join(cost, "model").withColumn("iter", F.lit(i)).withColumn("params", F.lit(str(p)))
-        logs.append(row)
+        text = str({**fitted, "unmapped": {k: p[k] for k in UNMAPPED if k in p}})
+        logs.append(met.join(cost, "model").withColumn("iter", F.lit(i)).withColumn("params", F.lit(text)))
         models[i] = model
     log = logs[0]
     for r in logs[1:]:
         log = log.unionByName(r)
+    log = cut_lineage(log, "search")
     best = V.search_argbest(log)
     return log, models[best.first()["iter"]], best
 

@@ -19,6 +19,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskflow.functions.numeric import nan_to_null
+from riskflow.session import cut_lineage
 from riskflow.settings import DEFAULT, Settings
 
 
@@ -27,18 +29,23 @@ def _col(c: Column | str) -> Column:
 
 
 def bucket_count(n_rows: int, s: Settings = DEFAULT) -> int:
-    return int(min(max(math.ceil(n_rows / s.rows_per_bucket), s.min_buckets), s.max_buckets))
+    return max(math.ceil(n_rows / s.rows_per_bucket), s.min_buckets)
 
 
-def quantile_splits(df: DataFrame, key: Column, n_buckets: int) -> list[float]:
-    """Strictly increasing split points (with -inf/+inf ends) at approximate quantiles of ``key``."""
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    acc = max(10_000, 10 * n_buckets)
-    row = df.agg(F.percentile_approx(key.cast("double"), probs, acc).alias("q")).first()
-    qs = sorted({float(x) for x in (row["q"] or []) if x is not None and not math.isnan(x)})
-    if not qs:
-        qs = [0.0]
-    return [-math.inf, *qs, math.inf]
+def quantile_splits(df: DataFrame, key: Column, n_buckets: int | None, s: Settings = DEFAULT) -> list[float]:
+    """Strictly increasing split points (with -inf/+inf ends) at approximate quantiles of ``key``.
+
+    Without ``n_buckets`` the row count is taken in the same pass as a first grid of quantiles, which only a table of
+    more than ``rows_per_bucket`` rows per grid cell needs to refine.
+    """
+    grid = n_buckets or 4 * s.min_buckets
+    probs = [i / grid for i in range(1, grid)]
+    k = nan_to_null(key.cast("double"))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(k, probs, max(10_000, 10 * grid)).alias("q")).first()
+    if n_buckets is None and bucket_count(row["n"], s) > grid:
+        return quantile_splits(df, key, bucket_count(row["n"], s), s)
+    qs = sorted({float(x) for x in (row["q"] or [])})
+    return [-math.inf, *(qs or [0.0]), math.inf]
 
 
 def ordered_prefix(
@@ -49,27 +56,29 @@ def ordered_prefix(
     rank_col: str = "_rank",
     cum_prefix: str = "cum_",
     s: Settings = DEFAULT,
-    n_rows: int | None = None,
+    splits: list[float] | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` (1-based, within ``by``, ascending ``order``) and ``cum_<c>`` inclusive running sums.
 
-    ``order`` must be a total order (end it with a unique key) and its first item numeric;
-    ``by`` columns must be non-null (callers filter null keys first, as pandas' groupby does).
+    ``order`` must be a total order (end it with a unique key) and its first item numeric. Every row is kept: NULL order
+    keys come last (after NaN), NULL group keys are one group. ``splits`` (with infinite ends) replaces the quantile
+    pass where the first key's distribution is known. The ranked buckets are stored once; the totals are read from them.
     """
     by = list(by)
     order_cols = [_col(o) for o in order]
-    if n_rows is None:
-        n_rows = df.count()
-    n_b = bucket_count(n_rows, s)
-    splits = quantile_splits(df, order_cols[0], n_b)
-    d = df.withColumn("_okey", order_cols[0].cast("double"))
-    d = Bucketizer(splits=splits, inputCol="_okey", outputCol="_b", handleInvalid="keep").transform(d).drop("_okey")
+    if splits is None:
+        splits = quantile_splits(df, order_cols[0], None, s)
+    k = nan_to_null(order_cols[0].cast("double"))
+    d = df.withColumn("_okey", F.coalesce(k, F.lit(math.inf)))
+    d = Bucketizer(splits=splits, inputCol="_okey", outputCol="_b").transform(d)
+    d = d.withColumn("_b", F.when(k.isNull(), F.lit(float(len(splits)))).otherwise(F.col("_b"))).drop("_okey")
     part = [*by, "_b"]
-    w_rank = Window.partitionBy(*part).orderBy(*order_cols)
+    w_rank = Window.partitionBy(*part).orderBy(*[c.asc_nulls_last() for c in order_cols])
     w_run = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = d.withColumn("_lr", F.row_number().over(w_rank))
     for c in sums:
         d = d.withColumn(f"_lc_{c}", F.sum(c).over(w_run))
+    d = cut_lineage(d, "prefix")
     tot = d.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_bn"), *[F.sum(c).alias(f"_bs_{c}") for c in sums]
     )
@@ -79,7 +88,11 @@ def ordered_prefix(
         F.coalesce(F.sum("_bn").over(w_b), F.lit(0)).alias("_on"),
         *[F.coalesce(F.sum(f"_bs_{c}").over(w_b), F.lit(0)).alias(f"_os_{c}") for c in sums],
     )
-    out = d.join(off, part, "inner")
+    added = ["_on", *[f"_os_{c}" for c in sums]]
+    same = F.col("d._b") == F.col("o._b")
+    for c in by:
+        same = same & F.col(f"d.{c}").eqNullSafe(F.col(f"o.{c}"))
+    out = d.alias("d").join(off.alias("o"), same, "inner").select("d.*", *[f"o.{c}" for c in added])
     out = out.withColumn(rank_col, (F.col("_lr") + F.col("_on")).cast("bigint"))
     for c in sums:
         out = out.withColumn(f"{cum_prefix}{c}", F.col(f"_lc_{c}") + F.col(f"_os_{c}"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.functions.numeric import nan_to_null
 from riskflow.settings import DEFAULT, Settings
 
 _FLOATS = (T.DoubleType, T.FloatType)
@@ -74,21 +75,23 @@ def missing_top(df: DataFrame, n: int = 20, s: Settings = DEFAULT) -> DataFrame:
     return missing_rate(df, s).limit(n)
 
 
+# Fixed values (reference): the columns of the description.
 DESCRIBE_COLUMNS = ["TransactionAmt", "TransactionDT", "card1", "addr1"]
 
 
 def describe(df: DataFrame, cols: list[str] = DESCRIBE_COLUMNS, s: Settings = DEFAULT) -> DataFrame:
     """Count, mean, std (ddof 1), min, quartiles (linear interpolation), max of the columns present.
 
-    One aggregate pass for all columns; its single row becomes one row per column with ``inline``."""
+    NaN counts as missing, as in pandas. One aggregate pass for all columns; its single row becomes one row per
+    column with ``inline``. The quartiles are exact (``quantiles``)."""
+    from riskflow.operators.quantiles import exact_quantiles
+
     present = [c for c in cols if c in df.columns]
+    quartiles = exact_quantiles(df, present, [0.25, 0.5, 0.75], s)
     aggs, rows = [], []
     for i, c in enumerate(present):
-        x = F.col(c).cast("double")
-        if s.exact_quantiles:
-            q = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
-            q = F.percentile_approx(x, [0.25, 0.5, 0.75], s.quantile_accuracy).cast("array<double>")
+        x = nan_to_null(F.col(c).cast("double"))
+        q = F.max(F.array(*[F.lit(v).cast("double") for v in quartiles[c]]))
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
         rows.append(F.struct(
@@ -123,12 +126,12 @@ def _hist(df: DataFrame, x: Column, bins: int, rng: tuple | None = None) -> Data
 
 def hist_linear(df: DataFrame, col: str = "TransactionDT", bins: int = DEFAULT.hist_bins) -> DataFrame:
     """Equal-width bins between min and max; the max falls in the last bin."""
-    return _hist(df, F.col(col).cast("double"), bins)
+    return _hist(df, nan_to_null(F.col(col).cast("double")), bins)
 
 
 def hist_log(df: DataFrame, col: str = "TransactionAmt", bins: int = DEFAULT.hist_bins) -> DataFrame:
     """Equal-width bins of log10(x) over x > 0 (edges reported in log10 units)."""
-    x = F.col(col).cast("double")
+    x = nan_to_null(F.col(col).cast("double"))
     return _hist(df.where(x > 0), F.log10(x), bins)
 
 
@@ -138,7 +141,7 @@ def kde_curve(df: DataFrame, col: str = "TransactionDT", bins: int = DEFAULT.his
 
     Every bin is spread over the grid with a generator (bins x grid rows at most), then summed per point.
     """
-    x = F.col(col).cast("double")
+    x = nan_to_null(F.col(col).cast("double"))
     if log:
         df, x = df.where(x > 0), F.log10(x)
     rng = _range(df, x)

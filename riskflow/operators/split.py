@@ -9,11 +9,13 @@ Re-evaluating the function rebuilds the same split anywhere (I2).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.hashing import hash32
-from riskflow.operators.ordered import ordered_prefix
+from riskflow.operators.ordered import bucket_count, ordered_prefix
 from riskflow.settings import DEFAULT, Settings
 
 MAX_CLASSES = 10_000
@@ -38,16 +40,25 @@ def class_ranks(df: DataFrame, label: str = DEFAULT.target, id_col: str = DEFAUL
                 s: Settings = DEFAULT) -> DataFrame:
     """Rank (1-based) of every row inside its class under (hash32(id, seed), id)."""
     d = df.withColumn("_h", hash32(id_col, str(seed)))
-    return ordered_prefix(d, order=["_h", id_col], by=[label], s=s).drop("_h")
+    return ordered_prefix(d, order=["_h", id_col], by=[label], splits=hash_splits(df.count(), s), s=s).drop("_h")
+
+
+def hash_splits(n_rows: int, s: Settings = DEFAULT) -> list[float]:
+    """Equal ranges of the uniform 32-bit hash: no quantile pass is needed."""
+    n = bucket_count(n_rows, s)
+    return [-math.inf, *[i * 2.0**32 / n for i in range(1, n)], math.inf]
 
 
 def stratified_split(df: DataFrame, label: str = DEFAULT.target, id_col: str = DEFAULT.id_col,
                      valid_size: float = DEFAULT.valid_size, seed: int = DEFAULT.seed,
                      s: Settings = DEFAULT) -> DataFrame:
-    """Adds ``is_valid``; each class contributes round(valid_size * n_class) rows to validation."""
+    """Adds ``is_valid``; each class contributes round(valid_size * n_class) rows to validation.
+
+    All rows are kept; a NULL label is a class of its own. More than ``MAX_CLASSES`` classes raise.
+    """
     counts = _class_counts(df, label)
     k = {c: int((valid_size * n) + 0.5) for c, n in counts.items()}
-    r = class_ranks(df.where(F.col(label).isNotNull()), label, id_col, seed, s)
+    r = class_ranks(df, label, id_col, seed, s)
     return r.withColumn("is_valid", F.col("_rank") <= _class_map(k, label, 0)).drop("_rank")
 
 
@@ -72,7 +83,8 @@ def subsample_n(df: DataFrame, n: int, id_col: str = DEFAULT.id_col, seed: int =
     n rows per partition in one task does not scale for n in the hundreds of thousands.
     """
     d = df.withColumn("_h", hash32(id_col, str(seed)))
-    return ordered_prefix(d, order=["_h", id_col], s=s).where(F.col("_rank") <= n).drop("_h", "_rank")
+    d = ordered_prefix(d, order=["_h", id_col], splits=hash_splits(df.count(), s), s=s)
+    return d.where(F.col("_rank") <= n).drop("_h", "_rank")
 
 
 def balanced_weight(df: DataFrame, label: str = DEFAULT.target, out: str = "weight") -> DataFrame:

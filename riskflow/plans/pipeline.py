@@ -60,7 +60,7 @@ LEVELS = ["filled", "email", "behavior", "crossed"]
 
 def advance(st: Stages, until: str = "crossed", s: Settings = DEFAULT, checkpoint: bool = True) -> Stages:
     """Compute the stages of ``st`` up to ``until`` (``LEVELS``), continuing from the last one already there.
-    With ``checkpoint`` the merged, derived, behaviour and encoded stages are stored (lineage cut)."""
+    With ``checkpoint`` the merged, behaviour and encoded stages are stored (lineage cut)."""
     cut = cut_lineage if checkpoint else (lambda d: d)
     goal = LEVELS.index(until)
     if st.filled is None:
@@ -69,7 +69,7 @@ def advance(st: Stages, until: str = "crossed", s: Settings = DEFAULT, checkpoin
         st.timed = features.add_time_features(st.filled)
     if goal >= 1 and st.email is None:
         st.device = features.add_device_features(st.timed)
-        st.email = cut(features.add_email_features(st.device))
+        st.email = features.add_email_features(st.device)  # a projection: not stored
     if goal >= 2 and st.behavior is None:
         st.behavior = cut(behavior.behavior_features(st.email, s))
     if goal >= 3 and st.crossed is None:

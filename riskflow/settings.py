@@ -36,7 +36,6 @@ class Settings:
     hist_bins: int = 50
     kde_grid: int = 200
     logistic_max_rows: int = 200_000
-    booster_max_rows: int = 300_000
     shap_background: int = 5_000
     shap_explain: int = 2_000
     shap_top_local: int = 20
@@ -50,13 +49,8 @@ class Settings:
     # ordered_prefix: target rows per (group, bucket) window partition
     rows_per_bucket: int = 1_000_000
     min_buckets: int = 16
-    max_buckets: int = 100_000
-    # exact percentiles keep a value->count map per group; switch off for very large inputs
-    exact_quantiles: bool = True
-    quantile_accuracy: int = 100_000
-    # encoders: columns with at most this many distinct values are looked up in a literal map (no join);
-    # Spark's map lookup scans the keys, so the bound stays small
-    map_lookup_max: int = 256
+    # exact quantiles: a bracket of about 4 / accuracy of the rows is ranked exactly
+    bracket_accuracy: int = 10_000
     # width of the chunked wide aggregate (codegen method size)
     agg_chunk: int = 100
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.functions.numeric import nan_to_null
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -27,8 +29,14 @@ def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.S
     if fmt == "csv":
         if schema is None:
             raise ValueError("csv scans take an explicit schema")
-        return reader.option("header", header).option("nanValue", "NaN").csv(path)
-    return reader.format(fmt).load(path)
+        return _nan_free(reader.option("header", header).option("nanValue", "NaN").csv(path))
+    return _nan_free(reader.format(fmt).load(path))
+
+
+def _nan_free(df: DataFrame) -> DataFrame:
+    """NaN to NULL in the floating-point columns: NaN is pandas' missing marker."""
+    return df.select(*[nan_to_null(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, (T.FloatType, T.DoubleType))
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,18 +111,12 @@ def model_save(model, path: str):
 
 
 def model_load(path: str):
-    from pyspark.ml import PipelineModel
-
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # plain (non-pipeline) model: find its class from the metadata
-        import json
-
-        spark = SparkSession.getActiveSession()
-        text = spark.read.text(path + "/metadata").first()[0]
-        cls = json.loads(text)["class"]
-        module, name = cls.rsplit(".", 1)
-        py_module = module.replace("org.apache.spark.ml", "pyspark.ml")
-        import importlib
-
-        return getattr(importlib.import_module(py_module), name).load(path)
+    """The saved model, of the class that its metadata names."""
+    import importlib
+    import json
+
+    text = SparkSession.getActiveSession().read.text(path + "/metadata").first()[0]
+    module, name = json.loads(text)["class"].replace("org.apache.spark.ml", "pyspark.ml").rsplit(".", 1)
+    if name == "PipelineModel":
+        module = "pyspark.ml"
+    return getattr(importlib.import_module(module), name).load(path)

@@ -36,16 +36,12 @@ def scoring_stream(spark: SparkSession, source_dir: str, features: ManualFeature
 
 
 def score_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                 features: ManualFeaturesModel, clf, schema: T.StructType = RECORD_SCHEMA,
-                 available_now: bool = True) -> DataFrame:
-    """Run the stream into ``sink_dir`` (append, checkpointed); with ``available_now`` process what is there
-    and stop. Returns the sink read back as a table."""
+                 features: ManualFeaturesModel, clf, schema: T.StructType = RECORD_SCHEMA) -> DataFrame:
+    """Run the stream into ``sink_dir`` (append, checkpointed): process what is there and stop. Returns the sink read
+    back as a table. (A continuous run starts ``scoring_stream`` with its own trigger.)"""
     q = (scoring_stream(spark, source_dir, features, clf, schema)
          .writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True) if available_now else None)
-    if q is None:
-        raise ValueError("continuous runs are started by the caller with their own trigger")
-    handle = q.start(sink_dir)
-    handle.awaitTermination()
+         .trigger(availableNow=True))
+    q.start(sink_dir).awaitTermination()
     return spark.read.schema("TransactionID long, p double, label int, risk_level string").parquet(sink_dir)

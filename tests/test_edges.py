@@ -223,15 +223,65 @@ def test_csv_round_trip(spark, tmp_path):
         T.scan_table(spark, str(tmp_path / "stage_csv"), fmt="csv")
 
 
-def test_approximate_quantile_mode(spark):
-    """The cluster setting exact_quantiles=False runs the same operators through percentile_approx."""
-    approx = DEFAULT.with_(exact_quantiles=False)
-    vals = [float(i) for i in range(1, 101)]
-    df = spark.createDataFrame([(i, v, None if i % 10 == 0 else v) for i, v in enumerate(vals)],
-                               "id long, x double, y double")
-    d = {r["column"]: r for r in P.describe(df, ["x"], approx).collect()}["x"]
-    assert d["p50"] in (50.0, 51.0) and d["count"] == 100
-    st = C.column_stats(df, approx)
-    assert st["y"]["fill"] is not None and math.isclose(st["y"]["missing_rate"], 0.1)
-    edges = V.quantile_edges(df, "x", approx)
-    assert edges[0] == 1.0 and edges[-1] == 100.0 and len(edges) == 5
+def test_exact_quantiles_match_numpy(spark):
+    """Bracket and rank equal the interpolated order statistics, also with a coarse bracket, ties, NaN and NULL."""
+    import random
+
+    import numpy as np
+
+    from riskflow.operators.quantiles import exact_quantiles
+
+    rng = random.Random(5)
+    x = [rng.choice([None, float("nan"), 3.0, rng.gauss(0, 1), rng.gauss(0, 100)]) for _ in range(3000)]
+    y = [rng.randrange(4) if rng.random() < 0.9 else None for _ in x]
+    df = spark.createDataFrame([(a, b, None) for a, b in zip(x, y)], "x double, y int, z double")
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    for acc in (20, 10_000):
+        got = exact_quantiles(df, ["x", "y", "z"], probs, DEFAULT.with_(bracket_accuracy=acc, agg_chunk=2))
+        for c, v in (("x", [a for a in x if a is not None and not math.isnan(a)]), ("y", [b for b in y if b is not None])):
+            assert got[c] == pytest.approx([float(q) for q in np.quantile(v, probs)])
+        assert got["z"] == [None] * len(probs)
+    assert V.quantile_edges(spark.range(1, 101).selectExpr("double(id) x"), "x") == [1.0, 25.75, 50.5, 75.25, 100.0]
+
+
+def test_prefix_and_splits_keep_null_rows(spark):
+    from riskflow.operators.ordered import ordered_prefix
+
+    rows = [(i, None if i % 10 == 0 else float(i % 7), None if i % 5 == 0 else i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "TransactionID long, t double, isFraud int")
+    r = ordered_prefix(df, order=["t", "TransactionID"], by=["isFraud"], sums=["TransactionID"], s=TINY).collect()
+    assert len(r) == 100
+    for g in (None, 0, 1):
+        own = sorted((x for x in rows if x[2] == g), key=lambda x: (x[1] is None, x[1] or 0.0, x[0]))
+        got = sorted((x for x in r if x["isFraud"] == g), key=lambda x: x["_rank"])
+        assert [x["TransactionID"] for x in got] == [x[0] for x in own]
+        assert got[-1]["cum_TransactionID"] == sum(x[0] for x in own)
+    sp = SP.stratified_split(df, s=TINY)
+    assert sp.count() == 100 and sp.where("is_valid and isFraud is null").count() == 4
+    assert SP.stratified_kfold(df, s=TINY).where("fold is not null").count() == 100
+
+
+def test_row_without_time_comes_last(spark):
+    from riskflow.operators.behavior import card_sequence
+
+    df = spark.createDataFrame([(1, 7, 10, 1.0), (2, 7, None, 4.0), (3, 7, 30, 3.0)],
+                               "TransactionID long, card1 int, TransactionDT long, TransactionAmt double")
+    got = {r["TransactionID"]: r for r in card_sequence(df, TINY).collect()}
+    assert [got[i]["time_since_last_tx_card1"] for i in (1, 2, 3)] == [-1.0, -1.0, 20.0]
+    assert got[2]["card1_recent3_amt_mean"] == pytest.approx(8 / 3)
+
+
+def test_nan_is_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(1.0, "nan"), (nan, "2"), (3.0, "x"), (None, "NaN")], "x double, s string")
+    d = P.describe(df, ["x"]).first()
+    assert (d["count"], d["mean"], d["max"], d["p50"]) == (2, 2.0, 3.0, 2.0)
+    assert sum(r["n"] for r in P.hist_linear(df, "x").collect()) == 2
+    assert sum(r["n"] for r in P.hist_log(df, "x").collect()) == 2
+    assert [r["s"] for r in C.numeric_coerce(df, ["s"]).collect()] == [None, 2.0, None, None]
+
+
+def test_null_model_has_an_auc(spark):
+    df = spark.createDataFrame([(None, 1, 0.9), (None, 0, 0.1), ("m", 1, 0.2), ("m", 0, 0.7)], "model string, y int, p double")
+    got = {r["model"]: r["auc"] for r in V.binary_metrics(df, s=TINY).collect()}
+    assert got == {None: 1.0, "m": 0.0}

@@ -10,11 +10,11 @@ REG = load_all()
 
 
 def test_models_probabilities_and_auc(spark):
-    from riskflow.plans.queries_models import QUICK, matrix
+    from riskflow.plans.queries_models import CATALOG, matrix
     from riskflow.operators import models as M
 
     mx = matrix(spark, "/root/testdata/sf0.01")
-    _, sc, met = M.gbt_baseline(mx, QUICK)
+    _, sc, met = M.gbt_baseline(mx, CATALOG)
     assert sc.where((F.col("p") < 0) | (F.col("p") > 1)).count() == 0
     assert met.first()["auc"] > 0.6
 
@@ -35,15 +35,55 @@ def test_kfold_and_search_shapes(spark):
     assert log.select("iter").distinct().count() == log.count()
 
 
-def test_shapley_additivity_logistic(spark):
-    """On the logistic model the contributions of a row sum to f(x) - E_bg f (up to sampling of the background)."""
+def test_shapley_covers_all_rows(spark):
+    """Every validation row is explained, each with every feature."""
+    from riskflow.plans.queries_models import matrix
+
     sh = REG["shapley_values"].fn(spark, SMALL)
-    n = sh.select("TransactionID").distinct().count()
-    feats = sh.select("feature").distinct().count()
-    assert sh.count() == n * feats
+    n = matrix(spark, SMALL).valid.count()
+    assert sh.select("TransactionID").distinct().count() == n
+    assert sh.count() == n * sh.select("feature").distinct().count()
     assert sh.where(F.col("phi").isNull()).count() == 0
 
 
+def test_shapley_of_a_linear_score(spark):
+    """With one background row the contribution of a linear score is w_j (x_j - b_j), whatever the permutations."""
+    from pyspark.ml.linalg import Vectors, VectorUDT
+    from pyspark.sql import types as T
+
+    from riskflow.operators import explain as K
+
+    nf = 40
+    schema = T.StructType([T.StructField("TransactionID", T.LongType()), T.StructField("features", VectorUDT())])
+    rows = spark.createDataFrame([(i, Vectors.dense([float((i * j) % 11) for j in range(nf)])) for i in range(6)], schema)
+    bg = spark.createDataFrame([(99, Vectors.dense([1.0] * nf))], schema)
+
+    class Linear:
+        def transform(self, df):
+            from pyspark.ml.functions import array_to_vector, vector_to_array
+
+            x = vector_to_array("features")
+            f = F.aggregate(F.transform(x, lambda v, j: v * j), F.lit(0.0), lambda a, b: a + b)
+            return df.withColumn("probability", array_to_vector(F.array(1 - f, f)))
+
+    phi = K.shapley_values(Linear(), rows, bg, [f"f{j}" for j in range(nf)], n_perm=2)
+    for r in phi.collect():
+        j = int(r["feature"][1:])
+        assert abs(r["phi"] - j * (r["value"] - 1.0)) < 1e-6
+    assert phi.count() == 6 * nf
+
+
+def test_search_maps_parameters():
+    from riskflow.operators import models as M
+
+    d = M.draws(165, 3)
+    assert d == M.draws(165, 3) and all(32 <= p["num_leaves"] < 128 and 200 <= p["n_estimators"] < 600 for p in d)
+    for p in d:
+        est, fitted = M.search_estimator(p, 5000.0)
+        assert est.getMaxIter() == fitted["maxIter"] == p["n_estimators"]
+        assert est.getMinInfoGain() == p["min_split_gain"] / 5000.0
+
+
 def test_save_load_and_matrix(spark):
     reloaded = REG["model_save_load"].fn(spark, SMALL)
     assert reloaded.where(F.col("p").isNull()).count() == 0
