@@ -285,3 +285,17 @@ def test_null_model_has_an_auc(spark):
     df = spark.createDataFrame([(None, 1, 0.9), (None, 0, 0.1), ("m", 1, 0.2), ("m", 0, 0.7)], "model string, y int, p double")
     got = {r["model"]: r["auc"] for r in V.binary_metrics(df, s=TINY).collect()}
     assert got == {None: 1.0, "m": 0.0}
+
+
+def test_stage_tables_can_be_dropped(spark):
+    import os
+
+    from riskflow import session
+
+    path = session.cut_lineage(spark.range(5), "drop-me").inputFiles()[0].removeprefix("file://")
+    mine = {spark.sparkContext.applicationId: [os.path.dirname(path)]}
+    kept, session._STAGES = session._STAGES, mine
+    try:
+        assert os.path.exists(path) and session.drop_stages(spark) == 1 and not os.path.exists(path)
+    finally:
+        session._STAGES = kept
