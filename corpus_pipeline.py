@@ -10,30 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.llm import lang_id, minhash_join, mix, packing, secret_scan
 from riskflow.llm.common import read, stage
+from riskflow.session import ship_package
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents in which the rank-order profiles find no language."""
+    ship_package(spark)
     return lang_id.keep_known(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the first document of each near-duplicate component (five-word shingles, similarity 0.8)."""
+    ship_package(spark)
     return minhash_join.keep_first(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a mark; all documents stay."""
+    ship_package(spark)
     return secret_scan.redact(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats, cuts or leaves out documents so that each source takes its target."""
+    ship_package(spark)
     return mix.mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents with their places in sequences of at most 1024 tokens."""
+    ship_package(spark)
     return packing.pack(docs)
 
 

@@ -6,16 +6,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskflow.session import cut_lineage
+from riskflow.session import cut_lineage, ship_package
 
 #: Java form of the word pattern: maximal runs without the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -68,12 +69,14 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def word_spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of the words of all rows, and the row of each; words never cross rows."""
+def word_spans(data: np.ndarray, off: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of the words of all rows, and the row of each; words never cross rows.
+
+    ``breaks`` marks the bytes that are in no word."""
     if not len(data):
         z = np.zeros(0, np.int64)
         return z, z, z
-    ink = ~_SPACE[data]
+    ink = ~breaks[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[off] = True
     first = ink.copy()
@@ -138,9 +141,8 @@ def sorted_counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(id, component_id) for every node of ``edges`` (a, b), by alternating large-star and small-star rounds.
 
-    component_id is the smallest id reachable. Every round is two aggregates (minimum neighbour, combined before
-    the shuffle) and a join that adaptive execution can split, so a node with a third of all edges is no
-    bottleneck. Rounds are stored in the shared folder; empty edges give an empty result.
+    component_id is the smallest id reachable. The large star is an aggregate (minimum neighbour, combined before the
+    shuffle) and a join that adaptive execution can split, so a node with a third of all edges is no bottleneck. Rounds are stored in the shared folder; empty edges give an empty result.
     """
     e = stage(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(),
               "edges")
@@ -149,11 +151,12 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "low")
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stage(large, "large")
-        low = stage(large.groupBy("u").agg(F.min("v").alias("m")), "low")
-        small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).filter("u != v").distinct())
-        e = stage(small, "small")
+        # a node's smaller neighbours are few after the large star, so a window may hold them
+        m = F.min("v").over(Window.partitionBy("u"))
+        ends = F.array(F.struct("v", "m"), F.struct(F.col("u").alias("v"), "m"))
+        small_ = large.withColumn("m", m).select(F.explode(ends).alias("x")).select(
+            F.col("x.v").alias("u"), F.col("x.m").alias("v")).filter("u != v").distinct()
+        e = stage(small_, "small")
         now = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first()
         if before == (now["n"], now["h"]):
             return (e.select(F.col("u").alias("id"), F.col("v").alias("component_id"))

@@ -1,10 +1,11 @@
 """Quality and toxicity by hierarchical empirical Bayes.
 
-Evidence: words and word shapes (letters, digits and marks as classes, runs as one) are hashed to ``2**BITS`` features.
-Over all labelled documents Spark counts in how many documents of each class a feature occurs; a feature's weight is its
-log odds between the classes with a prior of the pooled rates, kept only where it is ``Z`` standard errors from 0. A
-document's evidence is the sum over its distinct features, and a logistic curve, fitted on the labelled documents'
-histogram of evidence, turns it into a likelihood ratio.
+Evidence: words, the stems of longer ones (their first bytes), word shapes (letters, digits and marks as classes, runs as
+one) and two measures of repetition in steps (the share of words that repeat the one before, and the share of distinct
+words by length) are hashed to ``2**BITS`` features. Over all labelled documents Spark counts in how many documents of each
+class a feature occurs; up to ``KEPT`` features are kept, those with the largest likelihood ratio statistics above ``Z``
+squared. A ridge logistic regression on them, fitted on at most ``FIT_ROWS`` labelled documents (those with the smallest
+hashes of their id), gives every document a log likelihood ratio.
 
 Levels: with m the global rate, a host's rate is (sum of its documents' probabilities + a m) / (documents + a) and a path's
 rate shrinks alike towards its host's, so sparse sites stay near the level above. a is estimated from the spread of the
@@ -26,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import WordHash, row_slices, small, stage, utf8, word_spans
+from riskflow.llm.common import WordHash, mix64, row_slices, small, stage, utf8, word_spans
 
 BITS = 18
-Z = 4.0
-PRIOR = 20.0     # pseudo-documents of the pooled rate in a feature's log odds
-LIMIT = 30.0     # evidence is binned within +-LIMIT for the curve; the ends hold what is beyond
+Z = 4.5
+KEPT = 400
+FIT_ROWS = 10_000  # labelled documents of the regression, a bound; the features are chosen over all of them
+STEMS = (4, 5, 6, 7)
+LIMIT = 30.0       # bound of a log likelihood ratio
 _HASH = WordHash(6)
 
 
@@ -45,8 +48,24 @@ def _shape_table() -> np.ndarray:
 
 
 _SHAPE = _shape_table()
-_TRIM = np.zeros(256, bool)
-_TRIM[[ord(c) for c in ".,;:!?\"'()"]] = True
+_MARKS = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])  # what is in no word
+
+
+def _repetition(words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and hashed steps of both measures of repetition, two for each row with words."""
+    if not len(row):
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    n = np.bincount(row)
+    have = np.flatnonzero(n)
+    again = np.bincount(row[1:][(words[1:] == words[:-1]) & (row[1:] == row[:-1])], minlength=len(n))
+    order = np.lexsort((words, row))
+    w, r = words[order], row[order]
+    distinct = np.bincount(r[np.r_[True, (w[1:] != w[:-1]) | (r[1:] != r[:-1])]], minlength=len(n))
+    adjacent = np.ceil(10 * again[have] / n[have]).astype(np.uint64)
+    share = np.floor(10 * distinct[have] / n[have]).astype(np.uint64)
+    length = np.minimum(np.log2(n[have]).astype(np.uint64), np.uint64(15))
+    keys = [mix64(np.uint64(1000) + adjacent), mix64(np.uint64(2000) + np.uint64(16) * length + share)]
+    return np.r_[have, have], np.concatenate(keys)
 
 
 def features(batch: pa.RecordBatch, text: str):
@@ -62,12 +81,17 @@ def features(batch: pa.RecordBatch, text: str):
             kept = np.cumsum(new)  # positions among the shortened bytes
             short = shape[new]
             shapes = shape_hash(short, kept[starts] - 1, kept[ends - 1])
-            trimmed = ends - ((ends - starts > 1) & _TRIM[data[ends - 1]])
-            words = _HASH(data, starts, trimmed)
-            keys = np.concatenate([words, shapes]) >> np.uint64(64 - BITS)
+            w_starts, w_ends, w_row = word_spans(data, off, _MARKS)
+            stems = [np.flatnonzero(w_ends - w_starts > n) for n in STEMS]
+            spans = _HASH(data, np.concatenate([w_starts, *[w_starts[i] for i in stems]]),
+                          np.concatenate([w_ends, *[w_starts[i] + n for i, n in zip(stems, STEMS)]]))
+            own, measures = _repetition(spans[: len(w_row)], w_row)
+            spans[len(w_row):] = mix64(spans[len(w_row):])  # a stem is not the word of the same letters
+            keys = np.concatenate([spans, shapes, measures]) >> np.uint64(64 - BITS)
+            row = np.concatenate([w_row, *[w_row[i] for i in stems], row, own])
         else:
             keys = np.zeros(0, np.uint64)
-        packed = np.sort((np.concatenate([row, row]).astype(np.uint64) << np.uint64(BITS)) | keys)
+        packed = np.sort((row.astype(np.uint64) << np.uint64(BITS)) | keys)
         packed = packed[np.r_[True, packed[1:] != packed[:-1]]] if len(packed) else packed
         at = np.searchsorted(packed >> np.uint64(BITS), np.arange(part.num_rows + 1))
         own = (packed & np.uint64((1 << BITS) - 1)).astype(np.int64)
@@ -75,8 +99,8 @@ def features(batch: pa.RecordBatch, text: str):
             yield own[at[r]: at[r + 1]]
 
 
-def weights(labelled: DataFrame, targets: list[str]) -> np.ndarray:
-    """(targets, 2**BITS) weights from the documents (text, one 0/1 column per target)."""
+def selected(labelled: DataFrame, targets: list[str]) -> list[np.ndarray]:
+    """Per target the kept features, ascending; none where the labels have one class only."""
     def run(batches):
         for b in batches:
             marks = [np.array([-1 if v is None else int(v) for v in b.column(t).to_pylist()]) for t in targets]
@@ -94,55 +118,88 @@ def weights(labelled: DataFrame, targets: list[str]) -> np.ndarray:
               .groupBy("c", "f").agg(F.sum("n").alias("n"))).toPandas()  # at most 2 * targets * (2**BITS + 1) rows
     dense = np.zeros((2 * len(targets), (1 << BITS) + 1))
     dense[counts["c"], counts["f"]] = counts["n"]
-    out = np.zeros((len(targets), 1 << BITS))
+    out = []
     for k in range(len(targets)):
         (no, yes), (n0, n1) = dense[2 * k: 2 * k + 2, :-1], dense[2 * k: 2 * k + 2, -1]
-        if n0 and n1:
-            rate = (no + yes) / (n0 + n1)
-            a0, a1 = no + PRIOR * rate + 1e-9, yes + PRIOR * rate + 1e-9
-            odds = np.log(a1 / (n1 + PRIOR)) - np.log(a0 / (n0 + PRIOR))
-            error = np.sqrt(1 / np.maximum(a0, 0.5) + 1 / np.maximum(a1, 0.5))
-            out[k] = np.where((no + yes > 0) & (np.abs(odds) > Z * error), odds, 0)
+        if not n0 or not n1:
+            out.append(np.zeros(0, np.int64))
+            continue
+        share = np.maximum(no + yes, 1e-9) / (n0 + n1)
+        ratio = 2 * sum(x * np.log(np.maximum(x, 1e-9) / (share * n)) for x, n in ((no, n0), (yes, n1)))
+        best = np.argsort(-ratio, kind="stable")[:KEPT]
+        out.append(np.sort(best[ratio[best] > Z * Z]))
     return out
 
 
-def evidence(docs: DataFrame, w: np.ndarray, *more: Column) -> DataFrame:
-    """The columns ``more`` with e0, e1, ...: the evidence for each target."""
+def ridge(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+    """Logistic regression by Newton steps; the last column of x is the constant, which is not penalised."""
+    w, free = np.zeros(x.shape[1]), np.full(x.shape[1], penalty)
+    free[-1] = 1e-6
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -LIMIT, LIMIT)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(free), x.T @ (y - p) - free * w)
+        w = w + np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-5:
+            break
+    return w
+
+
+def _logit(rate: float) -> float:
+    rate = min(max(rate, 1e-6), 1 - 1e-6)
+    return math.log(rate / (1 - rate))
+
+
+def fitted(labelled: DataFrame, targets: list[str]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """Per target the kept features, their weights and the constant of the log likelihood ratio."""
+    kept = selected(labelled, targets)
+    every = np.unique(np.concatenate(kept))
+    n = labelled.count()
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, FIT_ROWS / max(n, 1)))
+
+    def run(batches):
+        for b in batches:
+            own = [np.flatnonzero(np.isin(every, f, assume_unique=True)).tolist() for f in features(b, "text")]
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(own, pa.list_(pa.int32()))], [*targets, "own"])
+
+    rows = (labelled.filter(part).select("text", *[F.col(t).cast("int").alias(t) for t in targets])
+            .mapInArrow(run, ", ".join([*[f"{t} int" for t in targets], "own array<int>"])).limit(2 * FIT_ROWS).toPandas())
+    out = []
+    for t, f in zip(targets, kept):
+        have = rows[rows[t].notna()]
+        y = have[t].to_numpy(dtype=np.float64)
+        if not len(f) or not 0 < y.sum() < len(y):
+            out.append((f[:0], np.zeros(0), 0.0))
+            continue
+        place = np.full(len(every) + 1, -1)
+        place[np.searchsorted(every, f)] = np.arange(len(f))
+        x = np.zeros((len(have), len(f) + 1))
+        x[:, -1] = 1
+        for r, own in enumerate(have["own"]):
+            at = place[np.asarray(own, np.int64)]
+            x[r, at[at >= 0]] = 1
+        w = ridge(x, y)
+        out.append((f, w[:-1], float(w[-1] - _logit(y.mean()))))
+    return out
+
+
+def evidence(docs: DataFrame, model: list[tuple[np.ndarray, np.ndarray, float]], *more: Column) -> DataFrame:
+    """The columns ``more`` with e0, e1, ...: the log likelihood ratio for each target; 0 for a text without features."""
     names = [f"c{i}" for i in range(len(more))]
     sent = docs.select("text", *[c.alias(n) for c, n in zip(more, names)])
     kinds = [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, sent.schema.fields[1:])]
-    used = np.flatnonzero(np.abs(w).sum(axis=0))
-    values = w[:, used]
 
     def run(batches):
-        table = np.zeros((len(w), 1 << BITS), np.float64)
-        table[:, used] = values
+        table = np.zeros((len(model), 1 << BITS))
+        for k, (f, w, _) in enumerate(model):
+            table[k, f] = w
+        constant = np.array([c for _, _, c in model])
         for b in batches:
-            got = [table[:, f].sum(axis=1) for f in features(b, "text")]
-            got = np.array(got).reshape(b.num_rows, len(w))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], *[pa.array(got[:, k]) for k in range(len(w))]],
-                                             [*names, *[f"e{k}" for k in range(len(w))]])
-
-    return sent.mapInArrow(run, ", ".join([*kinds, *[f"e{k} double" for k in range(len(w))]]))
-
-
-def curve(histogram: list[tuple[int, int, int]], rate: float) -> tuple[float, float]:
-    """(a, b) of logit P = a + b * evidence, by Newton steps on (bin, label, count) with a small ridge on b."""
-    if not histogram or rate in (0.0, 1.0):
-        return 0.0, 0.0
-    x = np.array([h[0] for h in histogram], float) / 4
-    y, n = np.array([h[1] for h in histogram], float), np.array([h[2] for h in histogram], float)
-    a, b = math.log(rate / (1 - rate)), 1.0
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
-        g = np.array([(n * (y - p)).sum(), (n * (y - p) * x).sum() - 0.1 * b])
-        v = n * p * (1 - p)
-        h = np.array([[v.sum() + 1e-6, (v * x).sum()], [(v * x).sum(), (v * x * x).sum() + 0.1]])
-        step = np.clip(np.linalg.solve(h, g), -2, 2)
-        a, b = a + step[0], b + step[1]
-        if np.abs(step).max() < 1e-9:
-            break
-    return float(a), float(b)
+            got = [table[:, f].sum(axis=1) + constant if len(f) else np.zeros(len(model)) for f in features(b, "text")]
+            got = np.clip(np.array(got).reshape(b.num_rows, len(model)), -LIMIT, LIMIT)
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], *[pa.array(got[:, k]) for k in range(len(model))]],
+                                             [*names, *[f"e{k}" for k in range(len(model))]])
+
+    return sent.mapInArrow(run, ", ".join([*kinds, *[f"e{k} double" for k in range(len(model))]]))
 
 
 def strength(level: DataFrame, rate: str, size: str) -> float:
@@ -165,21 +222,10 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
     labelled = docs.select("doc_id", "text").join(small(marks), "doc_id")
     rates = marks.agg(*[F.avg(t).alias(t) for t in targets]).first()
     rates = [0.5 if rates[t] is None else float(rates[t]) for t in targets]
-    w = weights(labelled, targets)
-    e = stage(evidence(docs, w, F.col("doc_id"), host, path).withColumnRenamed("c0", "doc_id"), "evidence")
-    known = e.join(small(marks), "doc_id")
-    d = e
-    for k, t in enumerate(targets):
-        at = F.round(F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.col(f"e{k}"))) * 4).cast("int")
-        rows = known.filter(F.col(t).isNotNull()).groupBy(at.alias("x"), F.col(t).cast("int").alias("y")).agg(
-            F.count(F.lit(1)).alias("n")).collect()  # at most 2 * (8 * LIMIT + 1) rows
-        a, b = curve([(r["x"], r["y"], r["n"]) for r in rows], rates[k])
-        rate = min(max(rates[k], 1e-6), 1 - 1e-6)
-        prior = math.log(rate / (1 - rate))
-        a = a if b else prior
-        bound = F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), F.col(f"e{k}")))
-        d = d.withColumn(f"l{k}", F.lit(a - prior) + F.lit(b) * bound)  # log likelihood ratio
-        d = d.withColumn(f"p{k}", 1 / (1 + F.exp(-(F.col(f"l{k}") + prior))))
+    model = fitted(labelled, targets)
+    d = stage(evidence(docs, model, F.col("doc_id"), host, path).withColumnRenamed("c0", "doc_id"), "evidence")
+    for k in range(len(targets)):
+        d = d.withColumn(f"p{k}", 1 / (1 + F.exp(-(F.col(f"e{k}") + _logit(rates[k])))))
     paths = stage(d.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"p{k}").alias(f"s{k}") for k in (0, 1)]),
                   "paths")
     hosts = paths.groupBy("c1").agg(F.sum("n").alias("hn"), *[F.sum(f"s{k}").alias(f"h{k}") for k in (0, 1)])
@@ -195,5 +241,5 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
     d = d.alias("d").join(small(level).alias("v"), F.expr("d.c1 <=> v.c1 and d.c2 <=> v.c2"))
     for k, t in enumerate(targets):
         m = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col(f"m{k}")))
-        d = d.withColumn(f"p_{t}", 1 / (1 + F.exp(-(F.col(f"l{k}") + F.log(m / (1 - m))))))
+        d = d.withColumn(f"p_{t}", 1 / (1 + F.exp(-(F.col(f"e{k}") + F.log(m / (1 - m))))))
     return d.select("doc_id", "p_quality", "p_toxic", F.expr("p_quality >= 0.5 and p_toxic < 0.5").alias("kept"))
