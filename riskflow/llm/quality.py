@@ -114,20 +114,22 @@ def selected(labelled: DataFrame, targets: list[str]) -> list[np.ndarray]:
                             [pa.array([2 * k + label] * len(f), pa.int32()), pa.array(f, pa.int32()),
                              pa.array(n, pa.int64())], ["c", "f", "n"])
 
-    counts = (labelled.select("text", *targets).mapInArrow(run, "c int, f int, n long")
-              .groupBy("c", "f").agg(F.sum("n").alias("n"))).toPandas()  # at most 2 * targets * (2**BITS + 1) rows
-    dense = np.zeros((2 * len(targets), (1 << BITS) + 1))
-    dense[counts["c"], counts["f"]] = counts["n"]
+    counts = stage(labelled.select("text", *targets).mapInArrow(run, "c int, f int, n long")
+                   .groupBy("c", "f").agg(F.sum("n").alias("n")), "feature-counts")
+    total = {r["c"]: r["n"] for r in counts.filter(F.col("f") == 1 << BITS).collect()}  # one row per target and class
     out = []
     for k in range(len(targets)):
-        (no, yes), (n0, n1) = dense[2 * k: 2 * k + 2, :-1], dense[2 * k: 2 * k + 2, -1]
+        n0, n1 = total.get(2 * k, 0), total.get(2 * k + 1, 0)
         if not n0 or not n1:
             out.append(np.zeros(0, np.int64))
             continue
-        share = np.maximum(no + yes, 1e-9) / (n0 + n1)
-        ratio = 2 * sum(x * np.log(np.maximum(x, 1e-9) / (share * n)) for x, n in ((no, n0), (yes, n1)))
-        best = np.argsort(-ratio, kind="stable")[:KEPT]
-        out.append(np.sort(best[ratio[best] > Z * Z]))
+        by = counts.filter((F.col("f") < 1 << BITS) & (F.floor(F.col("c") / 2) == k)).groupBy("f").agg(
+            *[F.coalesce(F.sum(F.when(F.col("c") % 2 == y, F.col("n"))), F.lit(0)).alias(f"n{y}") for y in (0, 1)])
+        share = (F.col("n0") + F.col("n1")) / (n0 + n1)
+        ratio = sum(F.when(F.col(c) > 0, F.col(c) * F.log(F.col(c) / (share * n))).otherwise(0.0)
+                    for c, n in (("n0", n0), ("n1", n1))) * 2
+        best = by.select("f", ratio.alias("ratio")).filter(F.col("ratio") > Z * Z).orderBy(F.desc("ratio"), "f").limit(KEPT)
+        out.append(np.array(sorted(r["f"] for r in best.collect()), np.int64))
     return out
 
 
@@ -137,7 +139,8 @@ def ridge(x: np.ndarray, y: np.ndarray, penalty: float = 1.0) -> np.ndarray:
     free[-1] = 1e-6
     for _ in range(40):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -LIMIT, LIMIT)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(free), x.T @ (y - p) - free * w)
+        curved = (x * (p * (1 - p))[:, None].astype(x.dtype)).T @ x
+        step = np.linalg.solve(curved + np.diag(free), x.T @ (y - p) - free * w)
         w = w + np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-5:
             break
@@ -162,21 +165,21 @@ def fitted(labelled: DataFrame, targets: list[str]) -> list[tuple[np.ndarray, np
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(own, pa.list_(pa.int32()))], [*targets, "own"])
 
     rows = (labelled.filter(part).select("text", *[F.col(t).cast("int").alias(t) for t in targets])
-            .mapInArrow(run, ", ".join([*[f"{t} int" for t in targets], "own array<int>"])).limit(2 * FIT_ROWS).toPandas())
+            .mapInArrow(run, ", ".join([*[f"{t} int" for t in targets], "own array<int>"])).limit(2 * FIT_ROWS).collect())
     out = []
     for t, f in zip(targets, kept):
-        have = rows[rows[t].notna()]
-        y = have[t].to_numpy(dtype=np.float64)
+        have = [r for r in rows if r[t] is not None]
+        y = np.array([r[t] for r in have], np.float64)
         if not len(f) or not 0 < y.sum() < len(y):
             out.append((f[:0], np.zeros(0), 0.0))
             continue
         place = np.full(len(every) + 1, -1)
         place[np.searchsorted(every, f)] = np.arange(len(f))
-        x = np.zeros((len(have), len(f) + 1))
+        x = np.zeros((len(have), len(f) + 1), np.float32)
         x[:, -1] = 1
-        for r, own in enumerate(have["own"]):
-            at = place[np.asarray(own, np.int64)]
-            x[r, at[at >= 0]] = 1
+        for k, r in enumerate(have):
+            at = place[np.array(r["own"], np.int64)]
+            x[k, at[at >= 0]] = 1
         w = ridge(x, y)
         out.append((f, w[:-1], float(w[-1] - _logit(y.mean()))))
     return out
