@@ -2,10 +2,9 @@
 
 Units of comparison are the lines of a file (a header or notice stands on its own line) and, for licence files, also the
 whole text. A unit is the set of its terms with weight idf; idf counts the documents of the whole input that hold a term,
-and terms outside the templates, which are not counted, have the weight of a term in one document, the largest one. By
-the Cauchy-Schwarz inequality a unit's cosine is at most the root of its share of weight inside the template vocabulary,
-which its numbers of terms bound; units that cannot reach the threshold are left out exactly. The others are joined with
-the templates' terms (a fixed table) and summed.
+inside the templates or not. Two bounds that hold for every idf leave out, exactly, what cannot reach the threshold: a
+document whose terms in common with a template weigh too little, and a unit that would fail even if its other terms had the
+least idf, 1. Documents are counted for the terms of the units that are left, and those get their full norm.
 
 A file takes its own best match; else the licence of the nearest directory above it (its own included) that holds a
 licence file with a match. Directories, not files, are joined with their ancestors, one row per path component.
@@ -60,57 +59,69 @@ def terms(text: Column) -> Column:
 
 
 def template_terms(spark, templates=None) -> DataFrame:
-    """(t, licence, term, size): a row per template and term; as many as the templates have words."""
+    """(t, licence, term): a row per template and term; as many as the templates have words."""
     rows = [(i, n, x) for i, (n, x) in enumerate(templates or TEMPLATES)]
     d = spark.createDataFrame(rows, "t int, licence string, text string").select("t", "licence", terms(F.col("text")).alias("x"))
     return d.select("t", "licence", F.explode("x").alias("term"))
 
 
-def weighted(files: DataFrame, templates: DataFrame) -> tuple[DataFrame, float]:
-    """(t, licence, term, idf, length of the template's vector) and the idf of terms outside the templates."""
-    words = sorted(r["term"] for r in templates.select("term").distinct().collect())
-    vocabulary = F.array(*[F.lit(w) for w in words])
-    held = files.select(F.explode(F.array_intersect(terms(F.col("text")), vocabulary)).alias("term"))
-    counts = held.groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    total = files.count()
-    idf = lambda n: F.log((F.lit(float(total)) + 1) / (n + 1)) + 1
-    t = templates.join(F.broadcast(counts), "term", "left").withColumn(
-        "idf", F.greatest(F.lit(1.0), F.least(idf(F.lit(1.0)), idf(F.coalesce("n", F.lit(0))))))
+def idf_of(total: int, n: Column) -> Column:
+    return F.log((F.lit(float(total)) + 1) / (n + 1)) + 1
+
+
+def document_counts(held: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(term, n): how many documents hold each wanted term; ``held`` has a row per document and distinct term."""
+    return held.join(wanted, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def weighted(held: DataFrame, total: int, templates: DataFrame) -> DataFrame:
+    """(t, licence, term, idf, length of the template's vector)."""
+    counts = document_counts(held, F.broadcast(templates.select("term").distinct()))
+    t = templates.join(counts, "term", "left").withColumn("idf", F.greatest(F.lit(1.0), F.least(
+        idf_of(total, F.lit(1.0)), idf_of(total, F.coalesce("n", F.lit(0))))))
     length = t.groupBy("t").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("length"))
-    t = stage(t.join(length, "t").select("t", "licence", "term", "idf", "length"), "licence-terms")
-    other = t.sparkSession.range(1).select(F.greatest(F.lit(1.0), idf(F.lit(1.0))).alias("x")).first()["x"]
-    return t, other
+    return stage(t.join(length, "t").select("t", "licence", "term", "idf", "length"), "licence-terms")
 
 
 def matches(files: DataFrame, templates: list | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(row, unit, licence, score): the best template of every unit at ``threshold`` or more.
 
-    files: row (any unique number), path, text.
+    files: row (any unique number), path, text. Unit 0 is the whole text, the lines follow.
     """
-    spark = files.sparkSession
-    t, other = weighted(files, template_terms(spark, templates))
-    words = sorted(r["term"] for r in t.select("term").distinct().collect())
-    vocabulary = F.array(*[F.lit(w) for w in words])
-    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
+    least = threshold - 1e-9
+    files = files.filter("text is not null").select("row", F.xxhash64("path", "text").alias("h"), "path", "text")
+    held = files.select("row", "h", F.explode(terms(F.col("text"))).alias("term"))
+    total = files.count()
+    t = weighted(held, total, template_terms(files.sparkSession, templates))
+    # a unit shares no more with a template than its whole text does, and its cosine is at most sqrt(shared) / length
+    pairs = held.join(F.broadcast(t.select("t", "term", "idf", "length")), "term").groupBy("row", "h", "t").agg(
+        F.sum(F.col("idf") * F.col("idf")).alias("shared"), F.max("length").alias("length"))
+    pairs = stage(pairs.filter(F.sqrt("shared") >= least * F.col("length")).select("row", "h", "t"), "licence-pairs")
+    about = t.groupBy("t", "licence", "length").agg(
+        F.collect_list("term").alias("tt"), F.collect_list(F.col("idf") * F.col("idf")).alias("tw"))
+    d = files.join(small(pairs), ["row", "h"]).join(F.broadcast(about), "t")
     is_licence = F.coalesce(F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE), F.lit(False))
-    units = F.concat(F.transform(lines, lambda x, i: F.struct((i + 1).alias("unit"), x.alias("x"))),
-                     F.when(is_licence, F.array(F.struct(F.lit(0).alias("unit"), F.col("text").alias("x")))).otherwise(
+    lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
+    units = F.concat(F.transform(lines, lambda x, i: F.struct((i + 1).alias("unit"), terms(x).alias("x"))),
+                     F.when(is_licence, F.array(F.struct(F.lit(0).alias("unit"), terms(F.col("text")).alias("x")))).otherwise(
                          F.array()))
-    u = files.filter("text is not null").select("row", F.explode(units).alias("u"))
-    u = u.select("row", "u.unit", terms(F.col("u.x")).alias("x"))
-    u = u.withColumn("hits", F.array_intersect("x", vocabulary)).select("row", "unit", F.size("x").alias("n"), "hits")
-    # cosine^2 <= |hits| / |terms|, as no term weighs more than one outside the templates
-    u = u.filter(F.size("hits") >= F.lit(threshold * threshold) * F.col("n")).filter(F.size("hits") > 0)
-    u = u.select("row", "unit", (F.col("n") - F.size("hits")).alias("others"), F.explode("hits").alias("term"))
-    idf = t.select("term", "idf").distinct()
-    norm = u.join(F.broadcast(idf), "term").groupBy("row", "unit").agg(
-        F.sqrt(F.sum(F.col("idf") * F.col("idf")) + F.max("others") * other * other).alias("norm"),
-        F.collect_list("term").alias("hits"))
-    dot = norm.select("row", "unit", "norm", F.explode("hits").alias("term")).join(F.broadcast(t), "term")
-    dot = dot.groupBy("row", "unit", "t").agg(
-        (F.sum(F.col("idf") * F.col("idf")) / (F.max("norm") * F.max("length"))).alias("score"),
-        F.max("licence").alias("licence")).filter(F.col("score") >= threshold - 1e-9)
-    best = dot.groupBy("row", "unit").agg(F.min(F.struct((-F.round("score", 9)).alias("s"), "licence")).alias("b"))
+    u = d.select("row", "h", "t", "licence", "length", "tt", "tw", F.explode(units).alias("u"))
+    u = u.withColumn("x", F.col("u.x")).withColumn("hits", F.array_intersect("x", "tt"))
+    u = u.withColumn("dot", F.aggregate("hits", F.lit(0.0), lambda s, w: s + F.get(
+        F.col("tw"), (F.array_position(F.col("tt"), w) - 1).cast("int"))))
+    # no idf is below 1, so every term outside the template adds at least 1 to the squared norm
+    bound = least * F.col("length") * F.sqrt(F.col("dot") + F.size("x") - F.size("hits"))
+    u = u.filter((F.col("dot") > 0) & (F.col("dot") >= bound))
+    u = u.select("row", "h", "u.unit", "t", "licence", "length", "dot", "x").dropDuplicates(["row", "h", "unit", "t"])
+    u = stage(u, "licence-units")
+    words = u.select("row", "h", "unit", "t", F.explode("x").alias("term"))
+    wanted = stage(words.select("term").distinct(), "licence-wanted")
+    idf = stage(document_counts(held, small(wanted)).select("term", idf_of(total, F.col("n")).alias("idf")), "licence-idf")
+    key = ["row", "h", "unit", "t"]
+    norm = words.join(small(idf), "term").groupBy(*key).agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
+    dot = u.drop("x").join(norm, key).withColumn("score", F.col("dot") / (F.col("norm") * F.col("length")))
+    best = dot.filter(F.col("score") >= least).groupBy("row", "unit").agg(
+        F.min(F.struct((-F.round("score", 9)).alias("s"), "licence")).alias("b"))
     return best.select("row", "unit", "b.licence", (-F.col("b.s")).alias("score"))
 
 

@@ -1,5 +1,6 @@
 """Defined results for nulls, empty and long texts, ties, repeated rows, empty tables and extra columns."""
 
+import math
 import random
 from collections import Counter
 
@@ -289,6 +290,18 @@ def test_licences(spark):
     assert licences.scan(spark.createDataFrame([], "row long, path string, text string")).count() == 0
 
 
+def test_licence_idf_counts_every_term(spark):
+    """A notice with two everyday words keeps its cosine: they weigh what their document frequency says."""
+    notice = "Licensed under the Apache License, Version 2.0. see file"
+    rows = [(i, f"d/{i}.txt", notice if i % 100 == 0 else f"see file number{i}") for i in range(1000)]
+    got = {r.row: r for r in licences.scan(spark.createDataFrame(rows, "row long, path string, text string")).collect()}
+    idf = lambda n: math.log(1001 / (n + 1)) + 1
+    own, extra = 7 * idf(10) ** 2, 2 * idf(1000) ** 2
+    assert got[100].licence == "Apache-2.0"
+    assert got[100].score == pytest.approx(math.sqrt(own / (own + extra)), abs=1e-6) and got[100].score > 0.9
+    assert got[101].licence is None
+
+
 def test_quality(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (4, 0, None), (99, 1, 1), (None, 0, 0)], "doc_id long, quality int, toxic int")
     got = quality.judge(odd, labels, F.col("source"), F.col("lang")).collect()
