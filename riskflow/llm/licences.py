@@ -1,7 +1,8 @@
 """Licence scan: sparse TF-IDF cosine to templates, then inheritance from the nearest ancestor directory.
 
-Units of comparison are the lines of a file (a header or notice stands on its own line) and, for licence files, also the
-whole text. A unit is the set of its terms with weight idf; idf counts the documents of the whole input that hold a term,
+Units of comparison are the lines of a file, every run of words as long as the template that begins with a word of it
+(so a header is compared as a whole, wrapped over lines or inside a long one), and, for licence files, also the whole text.
+Full licence texts are templates for whole licence files. A unit is the set of its terms with weight idf; idf counts the documents of the whole input that hold a term,
 inside the templates or not. Two bounds that hold for every idf leave out, exactly, what cannot reach the threshold: a
 document whose terms in common with a template weigh too little, and a unit that would fail even if its other terms had the
 least idf, 1. Documents are counted for the terms of the units that are left, and those get their full norm.
@@ -16,6 +17,8 @@ repeated rows are judged each on their own; an empty table gives an empty result
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,17 +55,62 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+_GNU = ("This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1} as published by "
+        "the Free Software Foundation, either version {2} of the License, or (at your option) any later version.")
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
+        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
+        "with the distribution. ")
+_BSD3 = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+         "products derived from this software without specific prior written permission. ")
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
+
+#: Standard headers of several lines, and the titles that tell like full texts apart.
+HEADERS = [
+    ("AGPL-3.0", _GNU.format("program", "Affero General Public License", 3)),
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + _BSD3 + _BSD_END),
+    ("GPL-2.0", _GNU.format("program", "General Public License", 2)),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-3.0", _GNU.format("program", "General Public License", 3)),
+    ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-2.1", _GNU.format("library", "Lesser General Public License", 2.1)),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
+    ("LGPL-3.0", _GNU.format("library", "Lesser General Public License", 3)),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+]
+
+
+def sequence(text: Column) -> Column:
+    """Lower-case terms in order: letters and digits, with dots, dashes and pluses inside."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"), F.lit(0))
+
 
 def terms(text: Column) -> Column:
-    """Distinct lower-case terms: letters and digits, with dots, dashes and pluses inside."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9]+(?:[.+-][a-z0-9]+)*"), F.lit(0)))
+    """Distinct terms."""
+    return F.array_distinct(sequence(text))
+
+
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the files in licence_texts, which the driver alone reads."""
+    return [(f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
 
 
 def template_terms(spark, templates=None) -> DataFrame:
-    """(t, licence, term): a row per template and term; as many as the templates have words."""
-    rows = [(i, n, x) for i, (n, x) in enumerate(templates or TEMPLATES)]
-    d = spark.createDataFrame(rows, "t int, licence string, text string").select("t", "licence", terms(F.col("text")).alias("x"))
-    return d.select("t", "licence", F.explode("x").alias("term"))
+    """(t, licence, whole, m, term): a row per template and term; as many as the templates have words.
+
+    m counts the words with repeats. Full licence texts are ``whole``: only whole licence files are compared with them.
+    """
+    rows = [(n, x, False) for n, x in templates or [*TEMPLATES, *HEADERS]]
+    rows += [(n, x, True) for n, x in ([] if templates else full_texts())]
+    d = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "t int, licence string, text string, whole boolean")
+    d = d.select("t", "licence", "whole", F.size(sequence(F.col("text"))).alias("m"), terms(F.col("text")).alias("x"))
+    return d.select("t", "licence", "whole", "m", F.explode("x").alias("term"))
 
 
 def idf_of(total: int, n: Column) -> Column:
@@ -75,18 +123,18 @@ def document_counts(held: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def weighted(held: DataFrame, total: int, templates: DataFrame) -> DataFrame:
-    """(t, licence, term, idf, length of the template's vector)."""
+    """(t, licence, whole, m, term, idf, length of the template's vector)."""
     counts = document_counts(held, F.broadcast(templates.select("term").distinct()))
     t = templates.join(counts, "term", "left").withColumn("idf", F.greatest(F.lit(1.0), F.least(
         idf_of(total, F.lit(1.0)), idf_of(total, F.coalesce("n", F.lit(0))))))
     length = t.groupBy("t").agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("length"))
-    return stage(t.join(length, "t").select("t", "licence", "term", "idf", "length"), "licence-terms")
+    return stage(t.join(length, "t").select("t", "licence", "whole", "m", "term", "idf", "length"), "licence-terms")
 
 
 def matches(files: DataFrame, templates: list | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """(row, unit, licence, score): the best template of every unit at ``threshold`` or more.
 
-    files: row (any unique number), path, text. Unit 0 is the whole text, the lines follow.
+    files: row (any unique number), path, text. Unit 0 is the whole text; the lines and the windows follow.
     """
     least = threshold - 1e-9
     files = files.filter("text is not null").select("row", F.xxhash64("path", "text").alias("h"), "path", "text")
@@ -97,14 +145,22 @@ def matches(files: DataFrame, templates: list | None = None, threshold: float =
     pairs = held.join(F.broadcast(t.select("t", "term", "idf", "length")), "term").groupBy("row", "h", "t").agg(
         F.sum(F.col("idf") * F.col("idf")).alias("shared"), F.max("length").alias("length"))
     pairs = stage(pairs.filter(F.sqrt("shared") >= least * F.col("length")).select("row", "h", "t"), "licence-pairs")
-    about = t.groupBy("t", "licence", "length").agg(
+    about = t.groupBy("t", "licence", "whole", "m", "length").agg(
         F.collect_list("term").alias("tt"), F.collect_list(F.col("idf") * F.col("idf")).alias("tw"))
     d = files.join(small(pairs), ["row", "h"]).join(F.broadcast(about), "t")
     is_licence = F.coalesce(F.element_at(F.split("path", "/"), -1).rlike(LICENCE_FILE), F.lit(False))
+    d = d.withColumn("is_licence", is_licence).filter("is_licence or not whole")
+    d = d.withColumn("seq", sequence(F.col("text")))
+    none = F.array().cast("array<struct<unit: int, x: array<string>>>")
+    whole = F.when(F.col("is_licence"), F.array(F.struct(F.lit(0).alias("unit"), F.array_distinct("seq").alias("x")))).otherwise(
+        none)
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
-    units = F.concat(F.transform(lines, lambda x, i: F.struct((i + 1).alias("unit"), terms(x).alias("x"))),
-                     F.when(is_licence, F.array(F.struct(F.lit(0).alias("unit"), terms(F.col("text")).alias("x")))).otherwise(
-                         F.array()))
+    by_line = F.transform(lines, lambda x, i: F.struct((i + 1).alias("unit"), terms(x).alias("x")))
+    # the first word of a window belongs to the template; without one the window from the next word is no worse
+    starts = F.filter(F.transform("seq", lambda w, i: F.when(F.array_contains("tt", w), i + 1)), lambda i: i.isNotNull())
+    windows = F.transform(starts, lambda i: F.struct((F.size(F.split("text", "\n")) + i).alias("unit"), F.array_distinct(
+        F.slice("seq", i, F.col("m"))).alias("x")))
+    units = F.when(F.col("whole"), whole).otherwise(F.concat(whole, by_line, windows))
     u = d.select("row", "h", "t", "licence", "length", "tt", "tw", F.explode(units).alias("u"))
     u = u.withColumn("x", F.col("u.x")).withColumn("hits", F.array_intersect("x", "tt"))
     u = u.withColumn("dot", F.aggregate("hits", F.lit(0.0), lambda s, w: s + F.get(

@@ -292,7 +292,7 @@ def test_licences(spark):
 
 def test_licence_idf_counts_every_term(spark):
     """A notice with two everyday words keeps its cosine: they weigh what their document frequency says."""
-    notice = "Licensed under the Apache License, Version 2.0. see file"
+    notice = "Licensed see under the Apache file License, Version 2.0."
     rows = [(i, f"d/{i}.txt", notice if i % 100 == 0 else f"see file number{i}") for i in range(1000)]
     got = {r.row: r for r in licences.scan(spark.createDataFrame(rows, "row long, path string, text string")).collect()}
     idf = lambda n: math.log(1001 / (n + 1)) + 1
@@ -302,6 +302,27 @@ def test_licence_idf_counts_every_term(spark):
     assert got[101].licence is None
 
 
+def test_licence_blocks_and_full_texts(spark):
+    """Wrapped headers keep their version, notices are found inside long lines, licence files match full texts."""
+    wrapped = "# This work is licensed under the GNU General\n# Public License, version {}.\nimport x"
+    gnu = ("// This program is free software: you can redistribute it and/or modify\n// it under the terms of the GNU General "
+           "Public License as published by\n// the Free Software Foundation, either version {} of the License, or\n"
+           "// (at your option) any later version.\n")
+    filler = " ".join(f"w{i}" for i in range(300))
+    full = dict(licences.full_texts())
+    rows = [(2, "a/two.py", wrapped.format(2)), (3, "b/three.py", wrapped.format(3)),
+            (4, "c/long.txt", f"{filler} Licensed under the Apache License, Version 2.0. {filler}"),
+            (5, "d/g.c", gnu.format(3)), (6, "e/g.c", gnu.format(2)), (7, "f/none.txt", filler),
+            (8, "g/LICENSE", full["GPL-3.0"]), (9, "h/LICENSE", full["Apache-2.0"][400:9000]),
+            (10, "i/COPYING", full["GPL-2.0"]), (11, "j/LICENSE", full["LGPL-2.1"]), (12, "g/x.py", filler)]
+    rows += [(100 + i, f"n/{i}.txt", f"the work is a free {filler}") for i in range(100)]
+    got = {r.row: r for r in licences.scan(spark.createDataFrame(rows, "row long, path string, text string")).collect()}
+    assert [got[i].licence for i in range(2, 13)] == [
+        "GPL-2.0", "GPL-3.0", "Apache-2.0", "GPL-3.0", "GPL-2.0", None, "GPL-3.0", "Apache-2.0", "GPL-2.0", "LGPL-2.1", "GPL-3.0"]
+    assert got[2].score == got[4].score == pytest.approx(1) and got[9].origin == "file"
+    assert all(got[100 + i].licence is None for i in range(100))
+
+
 def test_quality(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (4, 0, None), (99, 1, 1), (None, 0, 0)], "doc_id long, quality int, toxic int")
     got = quality.judge(odd, labels, F.col("source"), F.col("lang")).collect()
