@@ -1,6 +1,7 @@
 """Secret scan: fixed patterns, and a randomness test battery under false-discovery control.
 
-Candidates are maximal runs of 16 or more of [A-Za-z0-9+/=_-]. A candidate's encoding is the smallest of hex, base 32,
+Runs of 16 or more of [A-Za-z0-9+/=_-] are cut after inner '=' and, where no alphabet holds a piece, into maximal parts of
+each alphabet; the parts of 16 or more characters are the candidates. Decoys are cut alike. A candidate's encoding is the smallest of hex, base 32,
 base 36, base 62 and base 64 whose alphabet holds it. Four tests ask how well it agrees with independent uniform symbols
 of that alphabet: chi-squared over symbols (with the exact mean and variance, as the counts are sparse), chi-squared over
 character classes, runs above and below the middle of the alphabet, and lag-1 serial correlation. Fisher's method joins
@@ -71,6 +72,28 @@ def encoding(s: str) -> tuple[str, dict] | None:
     return None
 
 
+_AT_EQUALS = re.compile(r"[^=]+=*")            # padding stays with the part before it
+_PLAIN = re.compile(r"[A-Za-z0-9]+=*")
+_WIDE = (re.compile(r"[A-Za-z0-9+/]+=*"), re.compile(r"[A-Za-z0-9_-]+=*"))
+
+
+def parts(run: str) -> list[tuple[int, int]]:
+    """(start, end) of the tested parts of a run, 16 or more characters each.
+
+    A run is cut after inner '='. Where no alphabet holds a piece, as '/' or '+' stands beside '-' or '_', its maximal
+    parts in each of the two base 64 alphabets are tested, and those of letters and digits; parts may overlap.
+    """
+    out: set[tuple[int, int]] = set()
+    for piece in _AT_EQUALS.finditer(run):
+        at, s = piece.start(), piece[0]
+        if encoding(s.rstrip("=")):
+            out.add(piece.span())
+        else:
+            for form in (*_WIDE, _PLAIN):
+                out |= {(at + m.start(), at + m.end()) for m in form.finditer(s)}
+    return sorted(x for x in out if x[1] - x[0] >= 16)
+
+
 def _upper(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
@@ -150,17 +173,20 @@ def _decoy(text: str, start: int, end: int, n: int) -> str | None:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
-    """(start, end, length class, p bin, the decoy's p bin or -1) of the runs that touch no base span."""
+    """(start, end, length class, p bin, the decoy's p bin or -1) of the runs' parts that touch no base span."""
     out, k, reach = [], 0, 0  # reach: the furthest end of the base spans that begin before the run's end
     for run in LONG.finditer(text):
-        s = run[0]
+        first, touching = k, reach
         while k < len(base) and base[k][0] < run.end():
             reach, k = max(reach, base[k][2]), k + 1
-        if s.isdigit() or reach > run.start():
-            continue
-        decoy = _decoy(text, run.start(), run.end(), len(s))
-        out.append((run.start(), run.end(), length_class(len(s)), p_bin(randomness(s)),
-                    -1 if decoy is None else p_bin(randomness(decoy))))
+        near = base[first:k]
+        for start, end in parts(run[0]):
+            s, start, end = run[0][start:end], run.start() + start, run.start() + end
+            if s.rstrip("=").isdigit() or touching > start or any(b < end and e > start for b, _, e in near):
+                continue
+            decoy = _decoy(text, run.start(), run.end(), len(s))
+            out.append((start, end, length_class(len(s)), p_bin(randomness(s)),
+                        -1 if decoy is None else max(p_bin(randomness(decoy[x:y])) for x, y in parts(decoy) or [(0, len(s))])))
     return out
 
 

@@ -242,6 +242,23 @@ def test_secrets(spark, odd):
     assert out.count() == d.count() and secret_scan.find(d.limit(0)).count() == 0
 
 
+def test_secrets_in_names_and_paths(spark):
+    """Keys behind NAME=, in query strings and in URL paths are found; the name stays."""
+    rng = random.Random(8)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    forms = ["AWS_ACCESS_KEY={}", "https://x.org/a?sig={}", "session={}", "https://x.org/some-path/{}/a_b"]
+    rows = []
+    for i in range(120):
+        k = "".join(rng.choice(letters) for _ in range(40))
+        rows.append((i, f"the word of it and that was here {forms[i % 4].format(k)} with it for as had you not be", k))
+    d = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r.spans.split(",") for r in secret_scan.find(d).collect()}
+    for f in range(4):
+        found = [f"random:{t.index(k)}:{t.index(k) + 40}" in got[i] for i, t, k in rows if i % 4 == f]
+        assert sum(found) > 20, forms[f]
+    assert secret_scan.parts("name-of/some_thing=" + "x" * 5) == []
+
+
 def test_fingerprints(spark, odd):
     got = {}
     for r in syncmers.fingerprints(odd).collect():
