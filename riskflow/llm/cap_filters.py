@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import components, small, stage
+from riskflow.llm.common import components, small, stage, with_node
 
 COSINE = 0.98
 LIST = 256       # owners per direction to aim at
@@ -110,10 +110,11 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
                 "forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and "
                 "exists(embedding, x -> x != 0)")
     d = rows.select("vec_id", "label", F.when(ok, F.col("embedding")).alias("vec"))
-    nodes = d.filter("vec is not null").groupBy("label", "vec").agg(F.min("vec_id").alias("rep"),
+    nodes = d.filter("vec is not null").groupBy("label", "vec").agg(F.min("vec_id").alias("low"),
                                                                      F.count(F.lit(1)).alias("n"))
-    nodes = stage(nodes.groupBy("rep").agg(F.min(F.struct("label", "vec", "n")).alias("x"))
-                  .select("rep", "x.label", F.size("x.vec").alias("dim"), "x.vec", "x.n"), "vectors")
+    named = stage(with_node(stage(nodes, "classes"), "label", "vec").select(
+        "rep", "low", "label", F.size("vec").alias("dim"), "vec", "n"), "vectors")
+    nodes = named.drop("low")
     most = nodes.groupBy("label").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
     words = max(2, math.ceil(math.sqrt(most / LIST)))
 
@@ -167,12 +168,15 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     found = (left.select(*cols).unionByName(right.select(*cols)).groupBy(*key, "i", "j")
              .applyInArrow(lambda x: _linked(x, cosine), "rep long, links long, root long"))
     found = stage(found, "links")
-    comp = components(found.filter("rep != root").select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    low = named.select("rep", "low")
+    ends = found.filter("rep != root").select("rep", "root").join(low, "rep").join(
+        low.select(F.col("rep").alias("root"), F.col("low").alias("low_root")), "root")
+    comp = components(ends.select(F.col("low").alias("a"), F.col("low_root").alias("b")))
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    per_node = stage(nodes.select("rep", "label", "vec", "n").join(links, "rep", "left").join(
-        comp.select(F.col("id").alias("rep"), "component_id"), "rep", "left").select(
+    per_node = stage(named.select("rep", "low", "label", "vec", "n").join(links, "rep", "left").join(
+        comp.select(F.col("id").alias("low"), "component_id"), "low", "left").select(
         "label", "vec", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-        F.coalesce("component_id", "rep").alias("component_id")), "nodes")
+        F.coalesce("component_id", "low").alias("component_id")), "nodes")
     out = d.join(per_node, ["label", "vec"], "left")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
                       F.coalesce("component_id", "vec_id").alias("component_id"),

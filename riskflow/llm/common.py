@@ -136,6 +136,14 @@ def sorted_counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[at], np.diff(np.r_[at, len(x)])
 
 
+def with_node(classes: DataFrame, *key: str) -> DataFrame:
+    """The columns of ``classes`` with rep, a number of its own: the smallest id ``low`` or, where several classes have the
+    same one, a hash of ``key``."""
+    shared = classes.groupBy("low").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("low", F.lit(True).alias("_s"))
+    d = classes.join(small(stage(shared, "shared-ids")), "low", "left")
+    return d.withColumn("rep", F.when(F.col("_s"), F.xxhash64(*key)).otherwise(F.col("low"))).drop("_s")
+
+
 # ---- connected components -------------------------------------------------------------------------------------------
 
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:

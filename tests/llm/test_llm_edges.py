@@ -123,6 +123,24 @@ def test_repeated_rows_keep_one(spark):
     assert Counter(r.doc_id for r in minhash_join.keep_first(d).collect()) == Counter([1, 2])
 
 
+def test_repeated_id_keeps_its_classes(spark):
+    """An id with two texts, or two vectors, unlinks neither group of copies and loses no text."""
+    one, two = "a b c d e f g h i j k", "p q r s t u v w x y z"
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, one, "en", "a"), (5, two, "en", "a"), (6, one, "en", "a"), (7, one, "en", "a"), (8, two, "en", "a"),
+            (9, two, "en", "a"), (10, near, "en", "a"), (11, near + " more", "en", "a"), (12, one, "en", "a"), (12, "only here it is told so", "en", "a")]
+    d = frame(spark, rows)
+    got = minhash_join.near_duplicates(d, words=2).collect()
+    assert {r.doc_id: r.component_id for r in got if r.doc_id < 10} == {5: 5, 6: 5, 7: 5, 8: 5, 9: 5}
+    assert sorted((r.doc_id, r.component_id) for r in got if r.doc_id > 9) == [(10, 10), (11, 10), (12, 5), (12, 12)]
+    kept = minhash_join.keep_first(d, words=2).collect()
+    assert Counter((r.doc_id, r.text) for r in kept) == Counter([(5, one), (5, two), (10, near), (12, "only here it is told so")])
+    v = spark.createDataFrame([(5, [1.0, 0.0], 1), (5, [0.0, 1.0], 1), (9, [0.0, 1.0], 1), (8, [1.0, 0.0], 1), (7, [1.0, 0.01], 1)],
+                              "vec_id long, embedding array<float>, label int")
+    out = {r.vec_id: r for r in cap_filters.near_vectors(v).collect()}
+    assert [(out[i].n_links, out[i].component_id, out[i].kept) for i in (9, 8, 7)] == [(1, 5, False), (2, 5, False), (2, 5, False)]
+
+
 def test_chain_across_components(spark, monkeypatch):
     """Texts that only link to their neighbours form one component, also in blocks of two."""
     monkeypatch.setattr(minhash_join, "BLOCK", 2)
