@@ -143,11 +143,24 @@ def predict(docs: DataFrame, known: dict[str, np.ndarray], *more: Column, size:
 
 
 def keep_known(docs: DataFrame, min_score: float = 0.0, train: Column | None = None) -> DataFrame:
-    """All columns of the documents whose text has a language: not ``und`` and a score of ``min_score`` or more.
+    """All columns of the documents whose text has a language: not ``und``, a score above 0 (some n-gram in common with the
+    profile) and of ``min_score`` or more.
 
-    The profiles are learned from the given documents with a language name.
+    The profiles are learned from the given documents with a language name. Without any, all documents with a letter stay.
     """
     known = profiles(docs, F.lit(True) if train is None else train)
+    if not known:
+        return _lettered(docs)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = predict(docs, known, row).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    judged = predict(docs, known, row).filter(
+        (F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0) & (F.col("score") >= min_score))
     return judged.select("c0.*")
+
+
+def _lettered(docs: DataFrame) -> DataFrame:
+    def run(batches):
+        table = _letters()
+        for b in batches:
+            yield b.filter(pa.array([len(grams(t.as_py(), table)[0]) > 0 for t in b.column("text")], pa.bool_()))
+
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, docs.schema)
