@@ -97,14 +97,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class WordHash:
-    """64-bit hashes of byte spans, A-Z folded to a-z, from one running sum over the bytes.
+    """64-bit hashes of byte spans, A-Z folded to a-z unless ``fold`` is off, from one running sum over the bytes.
 
     A span's hash is sum(T[byte] * p^(i - start)) mod 2^64, with random T, then mixed with its length.
     """
 
-    def __init__(self, seed: int = 20240607):
+    def __init__(self, seed: int = 20240607, fold: bool = True):
         t = np.random.default_rng(seed).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        t[65:91] = t[97:123]
+        if fold:
+            t[65:91] = t[97:123]
         self.table, self.p = t, 0x9E3779B97F4A7C15
         self.inv, self.size = pow(self.p, -1, 2**64), 0
 
@@ -127,6 +128,38 @@ class WordHash:
         return mix64(h ^ ((ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+class WindowHash:
+    """64-bit hashes of windows of consecutive values, from one running sum; ``values`` are 64-bit hashes already."""
+
+    def __init__(self, values: np.ndarray, factor: int = 0xD1342543DE82EF95):
+        n = len(values) + 1
+        powers, self.inverse = np.full(n, factor, np.uint64), np.full(n, pow(factor, -1, 2**64), np.uint64)
+        powers[0] = self.inverse[0] = 1
+        powers = np.multiply.accumulate(powers)
+        self.inverse = np.multiply.accumulate(self.inverse)
+        self.total = np.zeros(n, np.uint64)
+        np.cumsum(values * powers[:-1], out=self.total[1:])
+
+    def __call__(self, at: np.ndarray, size: int) -> np.ndarray:
+        return mix64((self.total[at + size] - self.total[at]) * self.inverse[at])
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, rows: np.ndarray, n: int) -> pa.Array:
+    """The words of each of ``n`` rows joined by one blank, as strings; ``rows`` ascends, a row without words is empty."""
+    size = ends - starts
+    to = np.cumsum(size + 1) - size - 1  # where a word begins in the output
+    out = np.full(int(size.sum() + len(size)), 0x20, np.uint8)
+    word = np.repeat(np.arange(len(size)), size)
+    step = np.arange(len(word)) - (to - np.arange(len(size)))[word]
+    out[to[word] + step] = data[starts[word] + step]
+    count = np.bincount(rows, minlength=n)
+    off = np.zeros(n + 1, np.int64)
+    np.cumsum(np.bincount(rows, weights=size + 1, minlength=n).astype(np.int64) - (count > 0), out=off[1:])
+    keep = np.ones(len(out), bool)
+    keep[(to + size)[np.cumsum(count)[count > 0] - 1]] = False  # no blank after a row's last word
+    return pa.LargeStringArray.from_buffers(n, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(out[keep])))
+
+
 def sorted_counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values in ascending order and their counts."""
     if not len(x):

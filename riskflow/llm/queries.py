@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm import (cap_filters, lang_id, licences, minhash_join, mix, ngram_lm, packing, quality, secret_scan,
-                          syncmers)
-from riskflow.llm.common import crc_mod, read
+from riskflow.llm import (cap_filters, lang_id, licences, minhash_join, mix, ngram_lm, packing, periodic_runs, quality,
+                          secret_scan, syncmers)
+from riskflow.llm.common import WORD, crc_mod, read
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -161,3 +161,59 @@ def op9_kneser_ney_scores(spark, sf_dir) -> DataFrame:
 def op10_secret_spans(spark, sf_dir) -> DataFrame:
     """Spans of secrets in every document."""
     return secret_scan.find(read(spark, sf_dir, "documents"))
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the contract's repeats: in a tenth of the documents the words from a on repeat with period p."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), h.alias("h"), F.floor(h / 10).alias("g"))
+    w = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
+    repeats = F.expr("""array_join(transform(sequence(0L, n - 1), i ->
+        element_at(w, cast(if(i < a, i, a + (i - a) % p) as int) + 1)), ' ')""")
+    d = d.withColumn("w", F.when(h % 10 == 0, w)).withColumn("n", F.size("w").cast("long"))
+    d = d.withColumn("a", F.when(F.col("n") > 0, F.expr("g % n")))
+    d = d.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    return d.select("doc_id", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), repeats).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark, sf_dir) -> DataFrame:
+    """Every document's periodic runs, its longest one and the text without their repeats."""
+    d = periodic_runs.collapse(planted_periods(read(spark, sf_dir, "documents")), F.col("doc_id"))
+    best = F.expr("""aggregate(runs, cast(null as struct<start:bigint,length:bigint,period:bigint>), (x, y) ->
+        if(x is null or y.length > x.length, y, x))""")
+    said = F.expr("array_join(transform(runs, x -> concat(x.start, ',', x.length, ',', x.period, '\\n')), '')")
+    d = d.withColumn("best", best)
+    return d.select(F.col("c0").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+                    "best.period", F.expr("best.length * 1000 div best.period").alias("exponent_milli"),
+                    F.sha2(said.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+SQL["op12_periodic_runs"] = r"""
+WITH d0 AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+t AS (SELECT range AS b, list_reduce(list_prepend(range, range(8)), lambda c, k: CASE WHEN c % 2 = 1
+        THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v FROM range(256)),
+tab AS (SELECT list(v ORDER BY b) AS v FROM t),
+d1 AS (SELECT rid, doc_id, w, len(w) AS n, xor(list_reduce(list_prepend(4294967295::BIGINT,
+        list_transform(split(coalesce(CAST(doc_id AS VARCHAR), ''), ''), lambda c: ascii(c)::BIGINT)),
+        lambda c, x: xor(c // 256, tab.v[xor(c % 256, x) + 1])), 4294967295) AS h FROM d0, tab),
+d2 AS (SELECT *, h // 10 AS g FROM d1),
+d3 AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM d2),
+d4 AS (SELECT *, 1 + (n - a) // (3 + g % 8) AS p FROM d3),
+d AS (SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+        THEN list_transform(range(n), lambda i: w[(CASE WHEN i < a THEN i ELSE a + (i - a) % p END) + 1]) ELSE w END AS w FROM d4),
+x AS (SELECT rid, n, unnest(range(n)) AS i, unnest(w) AS w FROM d),
+pairs AS (SELECT a.rid, b.i - a.i AS q, a.i FROM x a JOIN x b ON a.rid = b.rid AND a.w = b.w AND b.i > a.i AND 4 * (b.i - a.i) <= a.n),
+islands AS (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS k FROM pairs),
+st AS (SELECT rid, q, min(i) AS s, max(i) + 1 + q AS e FROM islands GROUP BY rid, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT rid, s, e, min(q) AS q FROM st GROUP BY rid, s, e),
+said AS (SELECT rid, count(*) AS n_runs, sha256(string_agg(s || ',' || (e - s) || ',' || q || chr(10), '' ORDER BY s, q)) AS runs_sha256,
+  arg_min({'s': s, 'l': e - s, 'q': q}, (s - e, s, q)) AS best FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(s + q, e)) AS i FROM runs),
+kept AS (SELECT x.rid, string_agg(x.w, ' ' ORDER BY x.i) AS t FROM x LEFT JOIN gone USING (rid, i) WHERE gone.i IS NULL GROUP BY x.rid)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.q AS period,
+  best.l * 1000 // best.q AS exponent_milli, coalesce(runs_sha256, sha256('')) AS runs_sha256,
+  sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN said USING (rid) LEFT JOIN kept USING (rid)
+"""
