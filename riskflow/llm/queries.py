@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm import (cap_filters, lang_id, licences, minhash_join, mix, ngram_lm, packing, periodic_runs, quality,
-                          secret_scan, syncmers)
+from riskflow.llm import (cap_filters, collocations, lang_id, licences, minhash_join, mix, ngram_lm, packing, periodic_runs,
+                          quality, secret_scan, substring_dedup, syncmers)
 from riskflow.llm.common import WORD, crc_mod, read
 
 QUERIES: dict = {}
@@ -163,6 +163,28 @@ def op10_secret_spans(spark, sf_dir) -> DataFrame:
     return secret_scan.find(read(spark, sf_dir, "documents"))
 
 
+@query
+def op11_substring_dedup(spark, sf_dir) -> DataFrame:
+    """Words left in every document when windows of 35 words that occur elsewhere are cut."""
+    d = substring_dedup.remove_repeats(read(spark, sf_dir, "documents"), F.col("doc_id"), window=35)
+    return d.select(F.col("c0").alias("doc_id"), "n_words", "n_removed",
+                    F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op11_substring_dedup"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+h AS (SELECT rid, unnest(range(len(w) - 34)) AS s,
+        unnest(list_transform(range(len(w) - 34), lambda i: md5(array_to_string(w[i + 1:i + 35], ' ')))) AS h FROM d),
+r AS (SELECT rid, s FROM h WHERE h IN (SELECT h FROM h GROUP BY h HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT rid, unnest(range(s, s + 35)) AS i FROM r),
+x AS (SELECT rid, unnest(range(len(w))) AS i, unnest(w) AS w FROM d),
+k AS (SELECT x.rid, count(*) AS n, string_agg(x.w, ' ' ORDER BY x.i) AS t FROM x LEFT JOIN gone USING (rid, i)
+      WHERE gone.i IS NULL GROUP BY x.rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(k.t, '')) AS kept_sha256 FROM d LEFT JOIN k USING (rid)
+"""
+
+
 def planted_periods(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with the contract's repeats: in a tenth of the documents the words from a on repeat with period p."""
     h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -217,3 +239,32 @@ SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS lengt
   sha256(coalesce(kept.t, '')) AS collapsed_sha256
 FROM d LEFT JOIN said USING (rid) LEFT JOIN kept USING (rid)
 """
+
+
+@query
+def op13_phrase_collocations(spark, sf_dir) -> DataFrame:
+    """Every language's first 2000 phrases."""
+    return collocations.collocations(read(spark, sf_dir, "documents"), min_count=30, share=80, top=2000)
+
+
+SQL["op13_phrase_collocations"] = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(len(w) - k + 1), lambda i: w[i + 1:i + k])) AS g
+      FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, g, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT c.lang, c.g, c.a, t AS cut, x.a AS l, y.a AS r, 2000000::HUGEINT * c.a // (x.a + y.a) AS score
+      FROM (SELECT *, unnest(range(1, k)) AS t FROM f WHERE k > 1) c
+      JOIN f x ON x.lang = c.lang AND x.g = c.g[:t] JOIN f y ON y.lang = c.lang AND y.g = c.g[t + 1:]),
+b AS (SELECT lang, g, a, unnest(arg_min({'l': l, 'r': r, 'score': score}, (score, cut))) FROM c GROUP BY lang, g, a),
+i AS (SELECT lang, a, g[s + 1:s + m] AS g FROM (SELECT *, unnest(range(k - m + 1)) AS s FROM
+        (SELECT *, unnest(range(2, k)) AS m FROM f WHERE k > 2))),
+o AS (SELECT lang, g, max(a) AS most FROM i GROUP BY lang, g),
+z AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM b LEFT JOIN o ON o.lang = b.lang AND o.g = b.g
+      WHERE o.most IS NULL OR 100 * o.most::HUGEINT < 80 * b.a::HUGEINT)
+SELECT z.lang, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n.n,
+  CAST(score AS BIGINT) AS score FROM z JOIN n ON n.lang = z.lang
+QUALIFY rank <= 2000
+"""
