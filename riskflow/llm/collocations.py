@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from riskflow.llm.common import WordHash, mix64, row_slices, stage, utf8, word_spans
 
-SLICE = 4 << 20
-FLUSH = 1_500_000  # positions a task counts before it sends their stripes
+SLICE = 1 << 20
+FLUSH = 1_000_000  # positions a task counts before it sends their stripes
 SHARDS = 64
 MAX_PAIRS = 4_000_000
 MAX_WORDS = 4_000_000
@@ -127,7 +127,7 @@ def _packed(held, names):
 
 
 def _stripes(words: DataFrame, min_count: int) -> DataFrame:
-    """(w1, shard, total, more): of each prefix word and shard all occurrences and the frequent extensions (w2, n)."""
+    """(w1, shard, w2, n): of each prefix word and shard the frequent extensions and (w2 is 0) the sum of the others."""
     def find(w):
         after = np.zeros_like(w.ids)
         after[:-1] = np.where(w.more[:-1], w.ids[1:], 0)
@@ -140,8 +140,8 @@ def _stripes(words: DataFrame, min_count: int) -> DataFrame:
     posts = words.mapInArrow(lambda b: _flushed(b, find, ["w1", "w2"]), "w1 long, w2 long, n long")
     posts = posts.withColumn("shard", F.col("w2").bitwiseAND(F.lit(SHARDS - 1)).cast("int")).repartition("w1", "shard")
     merged = posts.groupBy("w1", "shard", "w2").agg(F.sum("n").alias("n"))
-    often = F.when((F.col("n") >= min_count) & (F.col("w2") != 0), F.struct("w2", "n"))
-    return merged.groupBy("w1", "shard").agg(F.sum("n").alias("total"), F.collect_list(often).alias("more"))
+    often = F.when(F.col("n") >= min_count, F.col("w2")).otherwise(0)
+    return merged.groupBy("w1", "shard", often.alias("w2")).agg(F.sum("n").alias("n"))
 
 
 def _longer(words: DataFrame, known: np.ndarray | None, min_count: int) -> DataFrame:
@@ -209,8 +209,8 @@ def collocations(docs: DataFrame, min_count: int = 30, share: int = 80, top: int
     words = docs.select(F.coalesce("text", F.lit("")).alias("text"),
                         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
     stripes = stage(_stripes(words, min_count), "stripes")
-    totals = stage(stripes.groupBy("w1").agg(F.sum("total").alias("f")).filter(F.col("f") >= min_count), "stripe-totals")
-    pairs = stage(stripes.select("w1", F.explode("more").alias("x")).select("w1", "x.w2", F.col("x.n").alias("a")), "pairs")
+    totals = stage(stripes.groupBy("w1").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count), "stripe-totals")
+    pairs = stage(stripes.filter("w2 != 0").select("w1", "w2", F.col("n").alias("a")), "pairs")
     known = _sorted_values(pairs.select(F.expr(_PAIR).alias("h")), max_pairs, np.uint64)
     longer = stage(_longer(words, known, min_count), "longer")
 
