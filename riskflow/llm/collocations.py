@@ -32,6 +32,7 @@ from riskflow.llm.common import WordHash, mix64, row_slices, stage, utf8, word_s
 SLICE = 1 << 20
 FLUSH = 1_000_000  # positions a task counts before it sends their stripes
 SHARDS = 64
+PARTS = 256  # of a language, for the ranking
 MAX_PAIRS = 4_000_000
 MAX_WORDS = 4_000_000
 UNKNOWN = "und"
@@ -127,21 +128,22 @@ def _packed(held, names):
 
 
 def _stripes(words: DataFrame, min_count: int) -> DataFrame:
-    """(w1, shard, w2, n): of each prefix word and shard the frequent extensions and (w2 is 0) the sum of the others."""
+    """(lang, w1, shard, w2, n): of each prefix word and shard the frequent extensions and (w2 is 0) the sum of the others;
+    a language is named by the id of its empty prefix."""
     def find(w):
         after = np.zeros_like(w.ids)
         after[:-1] = np.where(w.more[:-1], w.ids[1:], 0)
         # all words follow the empty prefix, too, of which only the total is of use
         empty = np.array([_empty(x) for x in w.names], np.int64)
         n = np.bincount(w.lang, minlength=len(empty))
-        return (np.concatenate([w.ids, empty]), np.concatenate([after, np.zeros_like(empty)]),
-                np.concatenate([np.ones_like(w.ids), n]))
+        return (np.concatenate([empty[w.lang], empty]), np.concatenate([w.ids, empty]),
+                np.concatenate([after, np.zeros_like(empty)]), np.concatenate([np.ones_like(w.ids), n]))
 
-    posts = words.mapInArrow(lambda b: _flushed(b, find, ["w1", "w2"]), "w1 long, w2 long, n long")
+    posts = words.mapInArrow(lambda b: _flushed(b, find, ["lang", "w1", "w2"]), "lang long, w1 long, w2 long, n long")
     posts = posts.withColumn("shard", F.col("w2").bitwiseAND(F.lit(SHARDS - 1)).cast("int")).repartition("w1", "shard")
-    merged = posts.groupBy("w1", "shard", "w2").agg(F.sum("n").alias("n"))
+    merged = posts.groupBy("lang", "w1", "shard", "w2").agg(F.sum("n").alias("n"))
     often = F.when(F.col("n") >= min_count, F.col("w2")).otherwise(0)
-    return merged.groupBy("w1", "shard", often.alias("w2")).agg(F.sum("n").alias("n"))
+    return merged.groupBy("lang", "w1", "shard", often.alias("w2")).agg(F.sum("n").alias("n"))
 
 
 def _longer(words: DataFrame, known: np.ndarray | None, min_count: int) -> DataFrame:
@@ -209,19 +211,21 @@ def collocations(docs: DataFrame, min_count: int = 30, share: int = 80, top: int
     words = docs.select(F.coalesce("text", F.lit("")).alias("text"),
                         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
     stripes = stage(_stripes(words, min_count), "stripes")
-    totals = stage(stripes.groupBy("w1").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count), "stripe-totals")
+    totals = stage(stripes.groupBy("lang", "w1").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count), "stripe-totals")
     pairs = stage(stripes.filter("w2 != 0").select("w1", "w2", F.col("n").alias("a")), "pairs")
     known = _sorted_values(pairs.select(F.expr(_PAIR).alias("h")), max_pairs, np.uint64)
     longer = stage(_longer(words, known, min_count), "longer")
 
     found = pairs.select(F.array("w1", "w2").alias("w"), "a").unionByName(longer)
-    often = found.select("w", F.col("a").alias("f")).unionByName(totals.select(F.array("w1").alias("w"), "f"))
+    often = totals.select(F.array("w1").alias("w"), "f", "lang").unionByName(
+        found.select("w", F.col("a").alias("f"), F.lit(None).cast("long").alias("lang")))
     cuts = found.select("w", "a", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("k"))
     cuts = cuts.withColumn("first", F.expr("slice(w, 1, k)")).withColumn("rest", F.expr("slice(w, k + 1, size(w) - k)"))
-    cuts = cuts.join(often.select(F.col("w").alias("first"), F.col("f").alias("l")), "first").join(
+    cuts = cuts.join(often.select(F.col("w").alias("first"), F.col("f").alias("l"), "lang"), "first").join(
         often.select(F.col("w").alias("rest"), F.col("f").alias("r")), "rest")
     score = F.expr("(cast(2000000 as decimal(7, 0)) * cast(a as decimal(20, 0))) div cast(l + r as decimal(20, 0))")
-    best = cuts.groupBy("w", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("x"))
+    best = cuts.groupBy("w", "a").agg(F.min(F.struct(score.alias("score"), "k", "l", "r")).alias("x"),
+                                      F.max("lang").alias("lang"))  # the first word's
 
     # every phrase of two or more words inside a longer one, and the most occurrences of such a longer one
     inner = F.expr("""flatten(transform(sequence(2, size(w) - 1), m ->
@@ -229,21 +233,23 @@ def collocations(docs: DataFrame, min_count: int = 30, share: int = 80, top: int
     around = longer.select(F.explode(inner).alias("w"), "a").groupBy("w").agg(F.max("a").alias("most"))
     left = best.join(around, "w", "left").filter(
         F.col("most").isNull() | (F.col("most").cast("decimal(20,0)") * 100 < F.col("a").cast("decimal(20,0)") * share))
-    left = stage(left.select("w", "a", "x.score", "x.l", "x.r"), "phrases")
+    left = left.select("lang", "w", "a", "x.score", "x.l", "x.r")
+    order = [F.desc("score"), F.desc("a")]
+    if top is not None:  # what ties with the last rank stays; first within parts, so that no task sorts a whole language
+        for part in ([F.pmod(F.xxhash64("w"), F.lit(PARTS))], []):
+            left = left.withColumn("_rank", F.rank().over(Window.partitionBy("lang", *part).orderBy(*order)))
+            left = left.filter(F.col("_rank") <= top).drop("_rank")
+    left = stage(left, "phrases")
 
     each = left.select("w", F.posexplode("w").alias("p", "id"))
     names = stage(_dictionary(words, _sorted_values(each.select("id").distinct(), max_words, np.int64)), "words")
-    spelt = each.join(names, "id").groupBy("w").agg(
-        F.min("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("p", "word"))).alias("x"))
-    spelt = spelt.select("w", "lang", F.array_join("x.word", " ").alias("phrase"))
-    langs = names.filter("word is null").join(totals, names["id"] == totals["w1"]).select("lang", F.col("f").alias("n"))
+    spelt = each.join(names.select("id", "word"), "id").groupBy("w").agg(F.array_sort(F.collect_list(F.struct("p", "word"))).alias("x"))
+    spelt = spelt.select("w", F.array_join("x.word", " ").alias("phrase"))
+    langs = names.filter("word is null").select(F.col("id").alias("lang"), F.col("lang").alias("name"))
+    langs = langs.join(totals.filter("w1 = lang").select("lang", F.col("f").alias("n")), "lang")
     d = left.join(spelt, "w").join(langs, "lang")
-    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    if top is not None:  # first within parts of a language, so that no task sorts all its phrases
-        d = d.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(1024)))
-        d = d.withColumn("_rank", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order)))
-        d = d.filter(F.col("_rank") <= top)
-    d = d.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(*order, "phrase"))
+    d = d.withColumn("rank", rank.cast("long"))
     if top is not None:
         d = d.filter(F.col("rank") <= top)
-    return d.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return d.select(F.col("name").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score")
