@@ -149,18 +149,29 @@ def keep_known(docs: DataFrame, min_score: float = 0.0, train: Column | None = N
     The profiles are learned from the given documents with a language name. Without any, all documents with a letter stay.
     """
     known = profiles(docs, F.lit(True) if train is None else train)
-    if not known:
-        return _lettered(docs)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = predict(docs, known, row).filter(
-        (F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0) & (F.col("score") >= min_score))
-    return judged.select("c0.*")
 
+    def lettered():
+        table = _letters()
+        return lambda text: len(grams(text, table)[0]) > 0
+
+    def named():
+        judge = Judge(known)
+
+        def good(text):
+            lang, score = judge(text)
+            return lang != UNKNOWN and score > 0 and score >= min_score
+
+        return good
 
-def _lettered(docs: DataFrame) -> DataFrame:
+    return _where(docs, named if known else lettered)
+
+
+def _where(docs: DataFrame, make) -> DataFrame:
+    """The rows whose text passes the test that ``make`` gives to each task; a batch is filtered as it came, with no copy of
+    its texts beside it."""
     def run(batches):
-        table = _letters()
+        test = make()
         for b in batches:
-            yield b.filter(pa.array([len(grams(t.as_py(), table)[0]) > 0 for t in b.column("text")], pa.bool_()))
+            yield b.filter(pa.array([test(t.as_py()) for t in b.column("text")], pa.bool_()))
 
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns]).mapInArrow(run, docs.schema)
