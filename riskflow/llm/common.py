@@ -20,6 +20,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession, size: str = "8m", default: str = "67108864b") -> None:
+    """Batches of about ``size`` bytes between Spark and its Python workers, unless the session has a size of its own: a batch is held
+    several times on its way, in both processes and once for each running task."""
+    if spark.conf.get(_BATCH) == default:
+        spark.conf.set(_BATCH, size)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared checkpoint folder and read back, so that later steps survive a lost executor."""
     return cut_lineage(df, f"llm-{name}")
