@@ -23,7 +23,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def bounded_batches(spark: SparkSession, size: str = "8m", default: str = "67108864b") -> None:
+def bounded_batches(spark: SparkSession, size: str = "2m", default: str = "67108864b") -> None:
     """Batches of about ``size`` bytes between Spark and its Python workers, unless the session has a size of its own: a batch is held
     several times on its way, in both processes and once for each running task."""
     if spark.conf.get(_BATCH) == default:

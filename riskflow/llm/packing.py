@@ -37,6 +37,7 @@ def encoder(vocabulary: str = VOCABULARY):
     that contains a special token's string goes through the ``tokenizers`` file itself.
     """
     import base64
+    import json
 
     import public_tokenizers
     import tiktoken
@@ -45,12 +46,16 @@ def encoder(vocabulary: str = VOCABULARY):
     with open(public_tokenizers.path(f"{vocabulary}.tiktoken"), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    slow = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
-    special = [t.content for t in slow.get_added_tokens_decoder().values()]
+    path = public_tokenizers.path(f"{vocabulary}.json")
+    with open(path, encoding="utf-8") as f:
+        special = [t["content"] for t in json.load(f)["added_tokens"]]
+    slow = []  # made for the first text that needs it
 
     def ids(text: str) -> list[int]:
         if any(s in text for s in special):
-            return slow.encode(text, add_special_tokens=False).ids
+            if not slow:
+                slow.append(Tokenizer.from_file(path))
+            return slow[0].encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     return ids
