@@ -56,16 +56,18 @@ def card_sequence(df: DataFrame, s: Settings = DEFAULT) -> DataFrame:
 
 
 def behavior_features(df: DataFrame, s: Settings = DEFAULT, user: bool = True, interval: bool = True,
-                      fraud_rate: bool = True, order_by_id: bool = False) -> DataFrame:
+                      fraud_rate: bool = True, order_by_id: bool = False, fit_df: DataFrame | None = None) -> DataFrame:
     """F1-F9 added to ``df`` (F10: rows keep no order unless ``order_by_id``).
 
     user (F1-F4) needs amount, time and card; interval (F5-F7) time and card; fraud_rate (F8, F9) the label.
-    A step whose inputs are absent passes the table through, as the reference scripts do.
+    A step whose inputs are absent passes the table through, as the reference scripts do. The fraud rates are fitted on
+    ``df`` itself, or on ``fit_df`` (the training rows, say), whose groups alone then have a rate; others get NULL.
     """
     card, dt, amt, idc, y = s.card_col, s.time_col, s.amount_col, s.id_col, s.target
     user = user and _has(df, amt, dt, card)
     interval = interval and _has(df, dt, card)
-    fraud_rate = fraud_rate and _has(df, y)
+    fit = df if fit_df is None else fit_df
+    fraud_rate = fraud_rate and _has(fit, y)
     if not (user or interval or fraud_rate):
         return df
 
@@ -106,10 +108,15 @@ def behavior_features(df: DataFrame, s: Settings = DEFAULT, user: bool = True, i
         aggs = []
         if user:
             aggs += [F.count(amt).cast("int").alias("card1_addr1_txn_cnt"), F.avg(amt).alias("card1_addr1_amt_mean")]
-        if fraud_rate:
-            aggs += [F.avg(y).alias("_fr_ca")]
-        per_key = n_key.groupBy("card1_addr1_key").agg(*aggs)
-        feats = feats.withColumn("card1_addr1_key", key).join(per_key, "card1_addr1_key", "left")
+        rate = F.avg(y).alias("_fr_ca")
+        if fraud_rate and fit_df is None:
+            aggs += [rate]
+        feats = feats.withColumn("card1_addr1_key", key)
+        if aggs:
+            feats = feats.join(n_key.groupBy("card1_addr1_key").agg(*aggs), "card1_addr1_key", "left")
+        if fraud_rate and fit_df is not None:
+            known = fit.select(y, card, "addr1").withColumn("card1_addr1_key", key).groupBy("card1_addr1_key").agg(rate)
+            feats = feats.join(known, "card1_addr1_key", "left")
         if user:
             cols += ["card1_addr1_key", "card1_addr1_txn_cnt", "card1_addr1_amt_mean"]
         if fraud_rate:
@@ -121,7 +128,7 @@ def behavior_features(df: DataFrame, s: Settings = DEFAULT, user: bool = True, i
     # fraud rate per (card, payer e-mail provider)
     if fraud_rate and _has(df, card, "P_emaildomain_provider"):
         pk = [card, "P_emaildomain_provider"]
-        per_prov = (n.where(F.col(card).isNotNull() & F.col("P_emaildomain_provider").isNotNull())
+        per_prov = (fit.where(F.col(card).isNotNull() & F.col("P_emaildomain_provider").isNotNull())
                     .groupBy(*pk).agg(F.avg(y).alias("fr_card1_Pemailprov")))
         feats = feats.join(per_prov, pk, "left")
         cols += ["fr_card1_Pemailprov"]

@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from riskflow.functions.numeric import nan_to_null
 from riskflow.operators.profile import _FLOATS, missing_rate, wide_stat
 from riskflow.operators.quantiles import exact_quantiles
+from riskflow.session import stage_path
 from riskflow.settings import DEFAULT, Settings
+from riskflow.sources.footers import table_stats
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _SIMPLE = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -24,13 +26,18 @@ def column_stats(df: DataFrame, s: Settings = DEFAULT, strategy: str = "median")
     """D1 + D2 + D3 statistics of every column, one aggregate pass per chunk of columns (medians: ``quantiles``):
     missing share (NULL or NaN), whether it has at most one distinct non-null value, the fill value
     (exact median or mean) of numeric columns and their NULL count. Returns {column: {stat: value}}
-    (bounded by the column count)."""
+    (bounded by the column count). A stored stage gives all but the fill values from its file footers where they tell."""
     out: dict[str, dict] = {}
     fields = df.schema.fields
     step = max(10, s.agg_chunk // 4)
     medians = {}
     if strategy != "mean":
         medians = {c: v[0] for c, v in exact_quantiles(df, numeric_columns(df), [0.5], s).items()}
+        if stage_path(df):
+            known = table_stats(df.sparkSession, stage_path(df), spark_written=True, s=s)
+            return {f.name: {"missing_rate": 1 - x.present / x.rows if x.rows else None, "nulls": x.nulls, "is_constant": x.constant,
+                             "fill": medians.get(f.name), "numeric": isinstance(f.dataType, T.NumericType)}
+                    for f, x in ((f, known[f.name]) for f in fields)}
     for i in range(0, len(fields), step):
         chunk = fields[i: i + step]
         aggs = []

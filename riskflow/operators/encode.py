@@ -3,7 +3,10 @@
 Every fitted encoder is a *state DataFrame* ``(col, key, value)`` (A4 format),
 joined back to the rows (C2, a map lookup = left join + default). One exploded
 aggregate builds the count and label mean of every value of every string column
-in a single shuffle; small states are broadcast by AQE from their runtime size.
+in a single shuffle. ``encode`` looks all columns up at once: the rows are stored with a
+number, their (number, column, value) triples meet one state table - its frequent values by
+broadcast, the rest by one join - and the codes come back as one array per row, so the
+number of exchanges does not depend on the number of columns.
 By default the states are fitted on the rows they encode (as the reference does);
 pass ``fit_df`` for a train-only fit.
 """
@@ -51,16 +54,50 @@ def freq_state(df: DataFrame, cols: list[str] | None = None, stats: DataFrame |
     return stats.select("col", "key", (F.col("n") / F.lit(float(n))).alias("value"))
 
 
+def encode(df: DataFrame, freq_cols: list[str], te_cols: list[str], freq: DataFrame | None, te: DataFrame | None,
+           default: float | None = None, s: Settings = DEFAULT) -> DataFrame:
+    """``<c>__freq`` for ``freq_cols`` and ``<c>__te`` for ``te_cols`` beside the columns of ``df``, from states (col, key, value).
+
+    A value with a frequency of f takes f of its column's rows, so at most ``s.hot_values`` values have a share of
+    len(cols) / hot_values or more. These, and the target states of gated columns (``max_te_card`` values each), are sent to all
+    tasks, which leaves no value with a large share of the rows for the shuffled join of the others. NULL and unseen values
+    get NULL frequencies and ``default`` as their target code. Rows are numbered in storage, so no column has to be unique.
+    """
+    cols = list(dict.fromkeys([*freq_cols, *te_cols]))
+    if not cols:
+        return df
+    null = F.lit(None).cast("double")
+    parts = [d.select("col", "key", *[(F.col("value") if i == k else null).alias(x) for i, x in enumerate(["freq", "te"])])
+             for k, d in enumerate([freq, te]) if d is not None]
+    table = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    table = table.groupBy("col", "key").agg(F.max("freq").alias("freq"), F.max("te").alias("te"))
+    number = F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (c, i)])
+    table = cut_lineage(table.where(F.col("col").isin(cols)).withColumn("ci", number[F.col("col")]).drop("col"), "encoder")
+    bound = s.hot_values + s.max_te_card * len(te_cols)
+    share = F.coalesce(F.col("freq") >= len(cols) / s.hot_values, F.lit(False))
+    hot = next((h for h in (F.lit(True), share | F.col("te").isNotNull()) if table.where(h).count() <= bound), share)
+    rare = table.where(~hot)
+    src = cut_lineage(df.withColumn("_row", F.monotonically_increasing_id()), "encoder-rows")
+    long = src.select("_row", F.posexplode(F.array(*[F.col(c).cast("string") for c in cols])).alias("ci", "key"))
+    met = long.join(F.broadcast(table.where(hot).withColumn("hit", F.lit(True))), ["ci", "key"], "left")
+    if not rare.isEmpty():
+        open_ = F.col("hit").isNull() & F.col("key").isNotNull()
+        far = met.where(open_).select("_row", "ci", "key").join(rare, ["ci", "key"], "left")
+        met = met.where(~open_).select("_row", "ci", "freq", "te").unionByName(far.select("_row", "ci", "freq", "te"))
+    codes = met.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("ci", "freq", "te"))).alias("_codes"))
+    at = {c: F.get("_codes", F.lit(i)) for i, c in enumerate(cols)}  # every column has its place in every row's array
+    return src.join(codes, "_row").select(
+        *[F.col(f"`{c}`") for c in df.columns], *[at[c]["freq"].alias(f"{c}__freq") for c in freq_cols],
+        *[F.coalesce(at[c]["te"], F.lit(default).cast("double")).alias(f"{c}__te") for c in te_cols])
+
+
 def freq_encode(df: DataFrame, cols: list[str] | None = None, state: DataFrame | None = None,
-                fit_df: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                fit_df: DataFrame | None = None, s: Settings = DEFAULT) -> tuple[DataFrame, DataFrame]:
     """G1: ``<c>__freq`` for each string column; NULL maps to NULL."""
     cols = string_columns(df) if cols is None else cols
     if state is None:
         state = freq_state(fit_df if fit_df is not None else df, cols)
-    out = df
-    for c in cols:
-        out = map_lookup(out, state, c, f"{c}__freq")
-    return out, state
+    return encode(df, cols, [], state, None, s=s), state
 
 
 def cardinality_gate(stats: DataFrame, cols: list[str], lo: int = 2, hi: int = DEFAULT.max_te_card) -> DataFrame:
@@ -88,10 +125,7 @@ def target_encode(df: DataFrame, target: str = DEFAULT.target, cols: list[str] |
                   ) -> tuple[DataFrame, DataFrame, float]:
     """``<c>__te`` = label mean per value, the global mean for unseen or NULL values."""
     state, g, gated = target_state(fit_df if fit_df is not None else df, target, cols, s)
-    out = df
-    for c in gated:
-        out = map_lookup(out, state, c, f"{c}__te", default=g)
-    return out, state, g
+    return encode(df, [], gated, None, state, g, s), state, g
 
 
 @dataclass
@@ -107,16 +141,13 @@ def encode_all(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | No
                fit_df: DataFrame | None = None) -> Encoded:
     """G1 + G2 from one shared exploded aggregate: ``<c>__freq`` for every text column, then ``<c>__te`` for the
     gated ones. Same result as ``freq_encode`` followed by ``target_encode`` (the frequency columns are numbers,
-    so the text columns seen by the target encoder are the same).
-
-    The stored states are joined to the rows; adaptive execution broadcasts those that turn out small at run time.
-    """
+    so the text columns seen by the target encoder are the same)."""
     cols = string_columns(df) if cols is None else cols
     fit = fit_df if fit_df is not None else df
     if not cols:  # no text column: nothing to encode
         empty = df.sparkSession.createDataFrame([], "col string, key string, value double")
         return Encoded(df, empty, empty, fit.agg(F.avg(F.col(target).cast("double"))).first()[0], [])
-    stats = category_stats(fit, cols, target)
+    stats = cut_lineage(category_stats(fit, cols, target), "category-stats")
     tot = fit.agg(F.count(F.lit(1)), F.avg(F.col(target).cast("double"))).first()
     n, g = tot[0], tot[1]
     fstate = stats.select("col", "key", (F.col("n") / F.lit(float(n))).alias("value"))
@@ -124,12 +155,7 @@ def encode_all(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | No
     gated = [c for c in cols if gate[c]["gated"]]
     tstate = stats.where(F.col("col").isin(gated)).select("col", "key", F.col("mean_y").alias("value"))
     fstate, tstate = cut_lineage(fstate, "freq-state"), cut_lineage(tstate, "te-state")
-    out = df
-    for c in cols:
-        out = map_lookup(out, fstate, c, f"{c}__freq")
-    for c in gated:
-        out = map_lookup(out, tstate, c, f"{c}__te", default=g)
-    return Encoded(out, fstate, tstate, g, gated)
+    return Encoded(encode(df, cols, gated, fstate, tstate, g, s), fstate, tstate, g, gated)
 
 
 # Fixed values (reference): the token of a missing category.

@@ -1,21 +1,21 @@
 """Explanation (K1-K4): per-row feature contributions and their summaries.
 
-``shapley_values`` estimates contributions by permutation sampling against a background sample
-(Strumbelj & Kononenko): every explained row, permutation and prefix length becomes one row to
-score, the model scores them all in one ``transform``, and contributions are averaged per
-(row, feature) with a ``groupBy``. The summaries (K2-K4) work on any long table
-``(id, y, feature, value, phi)``.
+``shapley_values`` gives the exact Shapley values of a tree ensemble's margin against a background table, from
+root-to-leaf paths and counts of the background rows by which path conditions they meet; nothing is sampled. The
+summaries (K2-K4) work on any long table ``(id, y, feature, value, phi)``.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from math import comb
+
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.functions.hashing import hash32
+from riskflow.operators.trees import leaf_masks, tree_tables
 from riskflow.session import cut_lineage
-from riskflow.settings import DEFAULT, Settings
+from riskflow.settings import DEFAULT
 
 # Fixed values (reference): bar colours of positive / negative contributions in the local explanation.
 POS_COLOR = "#e74c3c"
@@ -54,61 +54,49 @@ def shap_local(phi: DataFrame, top: int = DEFAULT.shap_top_local, id_col: str =
     )
 
 
-def shapley_values(model, rows: DataFrame, background: DataFrame, names: list[str], features_col: str = "features",
-                   id_col: str = "TransactionID", n_perm: int = 8, prob_col: str = "probability",
-                   s: Settings = DEFAULT) -> DataFrame:
-    """K1: Monte-Carlo Shapley values of ``model``'s fraud probability.
+def shapley_values(nodes: DataFrame, rows: DataFrame, background: DataFrame, names: list[str], features_col: str = "features",
+                   id_col: str = "TransactionID") -> DataFrame:
+    """K1: exact Shapley values (id, feature, value, phi) of the ensemble's margin for every row, against ``background``.
+
+    The value of a coalition is the mean margin over the background rows whose features outside of it are their own. With
+    x and b the sets of a leaf's conditions that the row and a background row meet, a hybrid reaches the leaf if every
+    condition is met by one of them and it takes the a = |x \\ b| features from the row and the c = |b \\ x| ones from the
+    background row. So the leaf adds (a-1)! c! / (a+c)! of its value to each of the former and subtracts a! (c-1)! / (a+c)!
+    from each of the latter. Both only depend on the two masks: background rows are counted by (leaf, mask) first, the
+    terms are summed for every mask that a row has, and a row looks its masks up. Work grows with rows x leaves, not with
+    rows x background. Contributions of a row sum to its margin less the background's mean margin.
 
-    For each explained row r and permutation k (k < n_perm) a background row b = background[h(r, k) mod B]
-    is chosen by an equi-join on its index, and the F + 1 hybrids x^(j) (the first j features of the
-    permutation taken from r, the rest from b) are scored. The contribution of feature perm[j] is
-    f(x^(j+1)) - f(x^(j)); averaging over k gives phi. Rows: explained x n_perm x (F + 1), each scored once in one
-    ``transform``: its score counts for the feature that it has just taken and against the next one, so a grouped sum
-    replaces a join of neighbours. Every row given is explained; the background (with its row key) is a fitted input
-    whose size the caller states. No cross join, no per-row Python.
+    The tables by tree and leaf are as large as the model; Spark broadcasts them while they are small. ``id_col`` is unique.
     """
-    nf = len(names)
-    bg = cut_lineage(_index_rows(background.select(id_col, F.col(features_col).alias("_bx")), "_bx", id_col, s), "background")
-    n_bg = bg.count()
-    ex = rows.select(id_col, vector_to_array(features_col).alias("_x"))
-    ex = ex.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))))
-    ex = ex.withColumn("_bi", (hash32(F.concat_ws(":", F.col(id_col).cast("string"), F.col("_k").cast("string")), "bg")
-                               % F.lit(n_bg)).cast("bigint"))
-    ex = ex.join(bg.withColumn("_bx", vector_to_array("_bx")), "_bi", "inner")
-    # permutation of feature indexes: sort by a per-(row, k, feature) hash
-    idx = F.sequence(F.lit(0), F.lit(nf - 1))
-    key = F.concat_ws(":", F.col(id_col).cast("string"), F.col("_k").cast("string"))
-    perm = F.transform(
-        F.array_sort(F.transform(idx, lambda i: F.struct(hash32(F.concat(key, F.lit(":"), i.cast("string")), "perm")
-                                                          .alias("h"), i.alias("i")))),
-        lambda t: t["i"])
-    ex = ex.withColumn("_perm", perm)
-    # position of each feature in the permutation, once per (row, permutation): the inverse permutation
-    place = F.transform(
-        F.array_sort(F.transform(F.col("_perm"), lambda f, j: F.struct(f.alias("f"), j.alias("j")))), lambda t: t["j"])
-    ex = ex.withColumn("_pos", place)
-    ex = ex.withColumn("_j", F.explode(F.sequence(F.lit(0), F.lit(nf))))
-    # feature f comes from the row when its position is below j, else from the background
-    hybrid = F.transform(F.col("_pos"), lambda p, f: F.when(p < F.col("_j"), F.col("_x")[f]).otherwise(F.col("_bx")[f]))
-    ex = ex.withColumn(features_col, array_to_vector(hybrid))
-    scored = model.transform(ex.select(id_col, "_j", "_perm", features_col))
-    f = vector_to_array(prob_col)[1]
-    sc = scored.select(id_col, "_j", "_perm", f.alias("_f"))
-    ends = F.array(F.struct(F.get("_perm", F.col("_j") - 1).alias("i"), F.col("_f").alias("d")),
-                   F.struct(F.get("_perm", F.col("_j")).alias("i"), (-F.col("_f")).alias("d")))
-    d = sc.select(id_col, F.explode(ends).alias("e")).where(F.col("e.i").isNotNull())
-    d = d.select(id_col, F.col("e.i").alias("_fi"), F.col("e.d").alias("_d"))
-    out = d.groupBy(id_col, "_fi").agg((F.sum("_d") / n_perm).alias("phi"))
-    name_arr = F.array(*[F.lit(n) for n in names])
-    vals = rows.select(id_col, vector_to_array(features_col).alias("_x"))
-    out = out.join(vals, id_col, "inner")
-    return out.select(id_col, F.get(name_arr, F.col("_fi")).alias("feature"), F.col("_x")[F.col("_fi")].alias("value"),
-                      "phi")
-
-
-def _index_rows(df: DataFrame, col: str, id_col: str, s: Settings) -> DataFrame:
-    from riskflow.operators.ordered import ordered_prefix
-
-    d = df.withColumn("_hh", hash32(id_col, "bgidx"))
-    r = ordered_prefix(d, order=["_hh", id_col], s=s)
-    return r.select(col, (F.col("_rank") - 1).alias("_bi"))
+    by_tree, by_leaf, n_trees, widest = tree_tables(nodes)
+    x = rows.select(id_col, vector_to_array(features_col).alias("_x"))
+    n_bg = background.count()
+    met = leaf_masks(background.select(vector_to_array(features_col).alias("_x")), by_tree, n_trees)
+    met = met.groupBy("leaf", F.col("mask").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    own = cut_lineage(leaf_masks(x, by_tree, n_trees), "leaf-masks")
+
+    full = F.expr("shiftleft(1L, size(features)) - 1")
+    d = own.select("leaf", F.col("mask").alias("x")).distinct().join(met, "leaf").join(by_leaf, "leaf")
+    d = d.where(F.col("x").bitwiseOR(F.col("b")) == full)
+    a, c = (F.bit_count(F.col(p).bitwiseAND(F.bitwise_not(F.col(q)))) for p, q in (("x", "b"), ("b", "x")))
+    d = d.withColumn("a", a).withColumn("c", c).where("a + c > 0")
+    # (a-1)! c! / (a+c)! = 1 / ((a+c) C(a+c-1, c)) for a > 0, by position a * (widest + 1) + c
+    share = [0.0 if p == 0 else 1.0 / ((p + q) * comb(p + q - 1, q)) for p in range(widest + 1) for q in range(widest + 1)]
+    table = F.array(*[F.lit(v) for v in share])
+    plus = F.get(table, F.col("a") * (widest + 1) + F.col("c"))
+    minus = F.get(table, F.col("c") * (widest + 1) + F.col("a"))
+    d = d.withColumn("w", F.col("v") * F.col("n") / n_bg)
+    d = d.select("leaf", "x", "b", (F.col("w") * plus).alias("plus"), (F.col("w") * minus).alias("minus"),
+                 F.posexplode("features").alias("i", "f"))
+    bit = F.expr("shiftleft(1L, i)")
+    d = d.withColumn("in_x", F.col("x").bitwiseAND(bit) != 0).withColumn("in_b", F.col("b").bitwiseAND(bit) != 0)
+    d = d.where("in_x != in_b").select("leaf", "x", "f", F.when(F.col("in_x"), F.col("plus")).otherwise(-F.col("minus")).alias("t"))
+    terms = d.groupBy("leaf", "x", "f").agg(F.sum("t").alias("t")).groupBy("leaf", F.col("x").alias("mask")).agg(
+        F.collect_list(F.struct("f", "t")).alias("terms"))  # at most one per condition
+
+    phi = own.join(terms, ["leaf", "mask"]).select(id_col, F.explode("terms").alias("e"))
+    phi = phi.groupBy(id_col, F.col("e.f").alias("f")).agg(F.sum("e.t").alias("phi"))
+    phi = phi.groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("f", "phi"))).alias("_phi"))
+    out = x.join(phi, id_col, "left").select(id_col, "_phi", F.posexplode("_x").alias("f", "value"))
+    return out.select(id_col, F.get(F.array(*[F.lit(n) for n in names]), F.col("f")).alias("feature"), "value",
+                      F.coalesce(F.try_element_at("_phi", F.col("f")), F.lit(0.0)).alias("phi"))

@@ -13,8 +13,11 @@ from __future__ import annotations
 import os
 import uuid
 from dataclasses import dataclass
+from functools import partial
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from riskflow.operators import evaluate as V
 from riskflow.operators import select as S
 from riskflow.operators import split as SP
+from riskflow.operators.trees import model_nodes, prefix_margins
 from riskflow.session import cut_lineage, scratch_dir
 from riskflow.settings import DEFAULT, Settings
 
@@ -130,14 +134,43 @@ TUNE_DEPTHS = [5, 6]          # ~32 and ~64 leaves
 TUNE_MIN_CHILD = [20, 60]
 
 
+def together(jobs: list, parallel: int) -> list:
+    """The results of the calls ``jobs``, in order, at most ``parallel`` at a time. A fit is many small Spark jobs with the driver's
+    work between them; fits submitted at once fill each other's gaps."""
+    if parallel <= 1 or len(jobs) <= 1:
+        return [job() for job in jobs]
+    with ThreadPool(min(parallel, len(jobs))) as pool:
+        return pool.map(lambda run: run(), [inheritable_thread_target(job) for job in jobs])
+
+
+def prefix_metrics(model, mx: Matrix, sizes: list[int], s: Settings = DEFAULT) -> DataFrame:
+    """Metrics and cost on the validation rows of the first ``size`` trees of one boosted fit, for all ``sizes``.
+
+    A boosted model of n trees begins with the model of any smaller size (same draws, same seed), so sizes need no fits of
+    their own: the fit's node table scores all prefixes in one pass (``trees.prefix_margins``)."""
+    spark = mx.valid.sparkSession
+    path = os.path.join(scratch_dir(spark), f"prefix-{uuid.uuid4().hex}")
+    model.write().overwrite().save(path)
+    d = prefix_margins(model_nodes(spark, path), mx.valid, sizes, [s.target], id_col=s.id_col)
+    sc = cut_lineage(d.select(s.id_col, F.concat(F.lit("trees_"), F.col("size").cast("string")).alias("model"),
+                              F.col(s.target).cast("int").alias("y"), (1 / (1 + F.exp(-F.col("margin")))).alias("p")), "prefixes")
+    out = V.binary_metrics(sc, ["model"], s=s).join(V.business_cost(sc, ["model"], s=s), "model")
+    return out.withColumn("size", F.substring_index("model", "_", -1).cast("int"))
+
+
+def best_size(prefixes: DataFrame) -> int:
+    """The early stop: the least cost, ties to the higher AUC, then to the smaller size."""
+    return prefixes.orderBy("cost", F.desc_nulls_last("auc"), "size").first()["size"]
+
+
 def gbt_tuned(mx: Matrix, s: Settings = DEFAULT):
     """M3: 2 x 2 grid (``ParamGridBuilder``) fitted on the fixed I1 split, best validation AUC, the first on ties.
     (``TrainValidationSplit`` would draw its own random split, so the grid is walked here.)"""
     est = gbt(s)
     grid = ParamGridBuilder().addGrid(est.maxDepth, TUNE_DEPTHS).addGrid(est.minInstancesPerNode, TUNE_MIN_CHILD).build()
     best = None
-    for params in grid:
-        model, sc, met = fit_eval(est.copy(params), mx, "GBT_tuned", s)
+    fits = together([partial(fit_eval, est.copy(params), mx, "GBT_tuned", s) for params in grid], s.parallel_fits)
+    for params, (model, sc, met) in zip(grid, fits):
         auc = met.first()["auc"]
         if best is None or (auc is not None and auc > best[0]):
             text = ", ".join(f"{p.name}={v}" for p, v in params.items())
@@ -145,21 +178,35 @@ def gbt_tuned(mx: Matrix, s: Settings = DEFAULT):
     return best[1], best[2], best[3]
 
 
+def fold_sizes(folds: DataFrame, n_folds: int = DEFAULT.n_folds) -> DataFrame:
+    """M4's (fold, n_train, n_val), an empty fold included."""
+    every = folds.sparkSession.range(1, n_folds + 1).select(F.col("id").cast("int").alias("fold"))
+    own = every.join(folds.groupBy("fold").agg(F.count(F.lit(1)).alias("n_val")), "fold", "left").select(
+        "fold", F.coalesce("n_val", F.lit(0)).alias("n_val"))
+    total = own.agg(F.sum("n_val")).first()[0]  # one row per fold
+    return own.select(F.col("fold").cast("string").alias("fold"), (F.lit(total) - F.col("n_val")).cast("double").alias("n_train"),
+                      F.col("n_val").cast("double").alias("n_val"))
+
+
 def kfold_cv(df: DataFrame, names: list[str], s: Settings = DEFAULT) -> DataFrame:
     """M4: per fold AUC, n_train, n_val on the I3 folds, plus a 'mean' row."""
     base = df.select(*dict.fromkeys([s.id_col, s.target, *names])).na.fill(0.0, subset=names)
     mx_all = S.assemble(base, names, s.target, s.id_col)
     folds = SP.stratified_kfold(df.select(s.id_col, s.target), s.n_folds, s.target, s.id_col, s.seed, s)
     data = cut_lineage(mx_all.join(folds.select(s.id_col, "fold"), s.id_col, "inner"), "folds")
-    sizes = {r["fold"]: r["count"] for r in data.groupBy("fold").count().collect()}  # one row per fold
+    sizes = {int(r["fold"]): r for r in fold_sizes(data, s.n_folds).collect()}  # one row per fold
     rows = []
-    for k in range(1, s.n_folds + 1):
+
+    def one(k: int):
         tr, va = data.where(F.col("fold") != k), data.where(F.col("fold") == k)
         model = gbt(s, seed=s.seed + k).fit(_weighted(tr, s))
         sc = cut_lineage(score_table(model, va, f"fold{k}", s), "scores")
-        auc = V.roc_auc(sc, ["model"], s=s).first()["auc"]
-        rows.append((str(k), float(auc) if auc is not None else None, float(sum(sizes.values()) - sizes.get(k, 0)),
-                     float(sizes.get(k, 0))))
+        got = V.roc_auc(sc, ["model"], s=s).first()  # none for a fold without rows
+        return got["auc"] if got else None
+
+    aucs = together([partial(one, k) for k in range(1, s.n_folds + 1)], s.parallel_fits)
+    for k, auc in enumerate(aucs, 1):
+        rows.append((str(k), float(auc) if auc is not None else None, sizes[k]["n_train"], sizes[k]["n_val"]))
     aucs = [r[1] for r in rows if r[1] is not None]
     rows.append(("mean", float(np.mean(aucs)) if aucs else None, float(np.mean([r[2] for r in rows])),
                  float(np.mean([r[3] for r in rows]))))
@@ -200,9 +247,9 @@ def random_search(mx: Matrix, s: Settings = DEFAULT, n_iter: int = 20, space: li
     ``unmapped``, those drawn for which Spark's trees have no counterpart."""
     weight_sum = float(_weighted(mx.train, s).agg(F.sum("weight")).first()[0] or 0.0)
     logs, models = [], {}
-    for i, p in enumerate(draws(s.seed + 123, n_iter, space), 1):
-        est, fitted = search_estimator(p, weight_sum, s)
-        model, sc, met = fit_eval(est, mx, f"draw{i}", s)
+    drawn = [(i, p, *search_estimator(p, weight_sum, s)) for i, p in enumerate(draws(s.seed + 123, n_iter, space), 1)]
+    fits = together([partial(fit_eval, est, mx, f"draw{i}", s) for i, _, est, _ in drawn], s.parallel_fits)
+    for (i, p, _, fitted), (model, sc, met) in zip(drawn, fits):
         cost = V.business_cost(sc, ["model"], s=s)
         text = str({**fitted, "unmapped": {k: p[k] for k in UNMAPPED if k in p}})
         logs.append(met.join(cost, "model").withColumn("iter", F.lit(i)).withColumn("params", F.lit(text)))

@@ -10,9 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from riskflow.operators import behavior, clean, encode, features
+from riskflow.operators import evaluate as V
+from riskflow.operators import models as M
 from riskflow.session import cut_lineage
 from riskflow.settings import DEFAULT, Settings
 from riskflow.sources import fixtures
@@ -95,3 +98,29 @@ def stages(spark: SparkSession, sf_dir: str, s: Settings = DEFAULT, until: str =
     if key not in _MEMO:
         _MEMO[key] = Stages(merged=merged(spark, sf_dir))
     return advance(_MEMO[key], until, s)
+
+
+def train_report(mx: M.Matrix, context: DataFrame, s: Settings = DEFAULT) -> dict[str, DataFrame]:
+    """The training run on one matrix: baselines (M1, M2), the tuned fit (M3) and the other boosters (M5, M6), their average (M10),
+    the metric tables stacked in source order (J10), the latest line per model (J11) and the average's segments (J16).
+
+    ``context`` has the business columns of the rows by row key. Every fit's score table is stored once and all tables
+    are aggregates of these."""
+    fits = {"baseline": [M.logistic_baseline, M.gbt_baseline], "tuned": [M.gbt_tuned], "more_models": [M.xgb_baseline, M.cat_baseline]}
+    scores = {k: [fn(mx, s)[1] for fn in fns] for k, fns in fits.items()}
+    stacked = None
+    for t in (t for ts in scores.values() for t in ts):
+        stacked = t if stacked is None else stacked.unionByName(t)
+    stacked = cut_lineage(stacked, "all-scores")
+    ensemble = cut_lineage(V.ensemble_avg(stacked), "ensemble")
+    tables = {}
+    for k, ts in {**scores, "ensemble": [stacked, ensemble]}.items():
+        every = ts[0]
+        for t in ts[1:]:
+            every = every.unionByName(t)
+        # one row per model of the file: a global window over a handful of rows
+        tables[k] = V.binary_metrics(every, ["model"], s=s).withColumn("row_order", F.dense_rank().over(Window.orderBy("model")) - 1)
+    metrics = cut_lineage(V.metrics_union(tables), "metrics")
+    rows = ensemble.join(context.select(s.id_col, "TransactionAmt", "DT_week", "DeviceType_norm"), s.id_col)
+    return {"scores": stacked, "ensemble": ensemble, "metrics": metrics, "latest": V.metrics_latest(metrics),
+            "segments": cut_lineage(V.segment_all(cut_lineage(rows, "scored"), s), "segments")}

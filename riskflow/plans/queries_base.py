@@ -13,11 +13,15 @@ from riskflow.operators import behavior as B
 from riskflow.operators import clean as C
 from riskflow.operators import features as FE
 from riskflow.operators import profile as P
+from riskflow.operators import states as ST
 from riskflow.plans import oracle as O
 from riskflow.plans.catalog import query
+from riskflow.plans.pipeline import merge_identity as merge_identity_op
 from riskflow.plans.pipeline import merged, stages
-from riskflow.session import scratch_dir
+from riskflow.session import cut_lineage, scratch_dir, stage_path
 from riskflow.sources import fixtures as fx
+from riskflow.sources import footers
+from riskflow.sources import layout as L
 from riskflow.sources import tables as T
 from riskflow.settings import DEFAULT
 
@@ -49,6 +53,36 @@ def scan_table(spark, sf):
     return fx.tx(spark, sf)
 
 
+@query("scan_csv", w("""
+SELECT TransactionID, CAST(isFraud AS BIGINT) AS isFraud, TransactionDT, TransactionAmt, ProductCD, CAST(card1 AS BIGINT) AS card1,
+       card4, addr1, P_emaildomain, R_emaildomain, V1 FROM tx""", "tx"))
+def scan_csv(spark, sf):
+    """A1: the transactions as CSV files, read back without a schema: every type inferred from the values."""
+    path = _scratch(spark, "csv")
+    (fx.tx(spark, sf).write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return T.scan_table(spark, path, fmt="csv")
+
+
+_STATE_COLS = ["ProductCD", "card4", "P_emaildomain", "card1"]
+_STATE_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS col, CAST({c} AS VARCHAR) AS key, count(*) AS n, count(isFraud) AS n_y, "
+    f"coalesce(sum(CAST(isFraud AS DOUBLE)), 0.0) AS sum_y, count(TransactionAmt) AS n_v, "
+    f"coalesce(sum(TransactionAmt), 0.0) AS sum_v, min(TransactionID) AS first, {ST.VERSION} AS version FROM tx GROUP BY {c}"
+    for c in _STATE_COLS)
+
+
+@query("state_merge", w(_STATE_SQL, "tx"))
+def state_merge(spark, sf):
+    """A4: value states of two batches of the transactions, stored, loaded and merged into the state of all."""
+    t = fx.tx(spark, sf)
+    batches = [F.col("TransactionID") % 2 == 0, F.col("TransactionID") % 2 != 0]
+    paths = [_scratch(spark, "value-state") for _ in batches]
+    for b, path in zip(batches, paths):
+        ST.save_value_state(ST.value_state(t.where(b), _STATE_COLS), path)
+    return ST.merge_states(*[ST.load_value_state(spark, path) for path in paths])
+
+
 @query("sink_stage", w("SELECT * FROM merged", "merged"))
 def sink_stage(spark, sf):
     """A2: the merged stage written as Parquet and read back."""
@@ -166,16 +200,39 @@ SELECT grid_i, x, raw / (s.n * s.bw * sqrt(2 * pi())) AS density,
 FROM k, s"""
 
 
-@query("kde_curve", w(_kde_sql(), "merged"))
-def kde_curve(spark, sf):
-    """Gaussian density of the transaction time on 200 points, from the 50-bin histogram (Scott bandwidth);
+@query("kde_binned", w(_kde_sql(), "merged"))
+def kde_binned(spark, sf):
+    """B8, light form: Gaussian density of the transaction time on 200 points, from the 50-bin histogram (Scott bandwidth);
     ``count_scale`` is the density in rows per bin, as drawn over the histogram."""
     m = merged(spark, sf)
-    k = P.kde_curve(m)
+    k = P.kde_binned(m)
     lo, hi, n, _ = P._range(m, F.col("TransactionDT").cast("double"))
     return k.withColumn("count_scale", F.col("density") * F.lit(n * ((hi - lo) / DEFAULT.hist_bins)))
 
 
+def _kde_rows_sql(x: str, where: str) -> str:
+    grid = DEFAULT.kde_grid
+    return f"""
+WITH v AS (SELECT {x} AS v FROM merged WHERE {where}),
+s AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS bw FROM v),
+g AS (SELECT CAST(unnest(range(0, {grid})) AS INTEGER) AS grid_i)
+SELECT grid_i, any_value(lo + grid_i * ((hi - lo) / {grid - 1})) AS x,
+       sum(exp(-0.5 * pow((lo + grid_i * ((hi - lo) / {grid - 1}) - v) / bw, 2))) / any_value(n * bw * sqrt(2 * pi())) AS density
+FROM g, s, v GROUP BY grid_i"""
+
+
+@query("kde_curve", w(_kde_rows_sql("CAST(TransactionDT AS DOUBLE)", "TransactionDT IS NOT NULL"), "merged"))
+def kde_curve(spark, sf):
+    """Gaussian density of the transaction times themselves on 200 points (Scott bandwidth)."""
+    return P.kde_curve(merged(spark, sf))
+
+
+@query("kde_log", w(_kde_rows_sql("log10(TransactionAmt)", "TransactionAmt > 0"), "merged"))
+def kde_log(spark, sf):
+    """B8 on the logarithm of the amounts, as the amount is drawn."""
+    return P.kde_curve(merged(spark, sf), "TransactionAmt", log=True)
+
+
 def _vc_sql(src: str, col: str, top: int | None = None) -> str:
     lim = f" ORDER BY count DESC, value LIMIT {top}" if top else ""
     return (f"(SELECT '{col}' AS section, CAST({col} AS VARCHAR) AS value, count(*) AS count FROM {src} "
@@ -202,16 +259,34 @@ LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quan
 LINEITEM_DOUBLES = {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}
 
 
-@query("lineitem_profile", " UNION ALL ".join(
+O_LINEITEM_PROFILE = " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", avg(CASE WHEN {c} IS NULL {'OR isnan(' + c + ')' if c in LINEITEM_DOUBLES else ''} "
     f"THEN 1.0 ELSE 0.0 END) AS missing_rate, (min({c}) IS NOT DISTINCT FROM max({c})) AS is_constant FROM lineitem"
-    for c in LINEITEM_COLS))
+    for c in LINEITEM_COLS)
+
+
+@query("lineitem_profile", O_LINEITEM_PROFILE)
 def lineitem_profile(spark, sf):
     """B3 + D2 on another given table (600k rows at sf0.1): missing share and constancy of every column."""
     li = T.read_table(spark, sf, "lineitem")
     return P.missing_rate(li).join(C.constant_columns(li), "column", "inner")
 
 
+@query("footer_profile", O_LINEITEM_PROFILE)
+def footer_profile(spark, sf):
+    """B3 + D2 of ``lineitem`` from its file footers, the columns read that footers cannot answer."""
+    return footers.stats_table(spark, footers.table_stats(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
+
+
+@query("stage_profile", w(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate, "
+    f"(min({c}) IS NOT DISTINCT FROM max({c})) AS is_constant FROM merged" for c in MERGED_COLS), "merged"))
+def stage_profile(spark, sf):
+    """B3 + D2 of the merged stage: stored, then counts and extremes of the numbers from its footers."""
+    st = cut_lineage(merged(spark, sf), "profile")
+    return footers.stats_table(spark, footers.table_stats(spark, stage_path(st), spark_written=True))
+
+
 # ---- C1, D: join and cleaning ------------------------------------------------------------------
 
 
@@ -221,6 +296,12 @@ def merge_identity(spark, sf):
     return merged(spark, sf)
 
 
+@query("merge_stored", w("SELECT * FROM merged", "merged"))
+def merge_stored(spark, sf):
+    """C1 on stored stages: both tables bucketed and sorted by TransactionID, joined without a shuffle."""
+    return merge_identity_op(L.store_bucketed(fx.tx(spark, sf), name="tx"), L.store_bucketed(fx.identity(spark, sf), name="identity"))
+
+
 @query("drop_high_missing", w("SELECT * FROM miss WHERE missing_rate > 0.9", "miss"))
 def drop_high_missing(spark, sf):
     """The columns whose missing share is above 0.9 (dropped by the pipeline)."""

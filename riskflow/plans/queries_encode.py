@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from riskflow.functions.hashing import hash32_sql
+from riskflow.functions.numeric import nan_to_null
+from riskflow.operators import behavior as B
 from riskflow.operators import encode as E
 from riskflow.operators import select as S
 from riskflow.operators import split as SP
 from riskflow.plans import oracle as O
 from riskflow.plans.catalog import query
 from riskflow.plans.pipeline import merged, stages
-from riskflow.plans.queries_base import _m_brand_sql, _m_email_sql, _m_type_sql, _sql_list
+from riskflow.plans.queries_base import _m_brand_sql, _m_email_sql, _m_type_sql, _scratch, _sql_list
 from riskflow.settings import DEFAULT
 from riskflow.sources import fixtures as fx
+from riskflow.sources import layout as L
+from riskflow.sources import tables as T
 
 w = O.with_ctes
 
@@ -40,6 +45,14 @@ _te = ", ".join(f"coalesce(avg(CAST(isFraud AS DOUBLE)) OVER (PARTITION BY {c}),
 O.cte("encoded", ["freq"], f"SELECT *, {_te} FROM freq")
 
 
+_H42 = hash32_sql("TransactionID", "'42'")
+O.cte("ranked", ["tx"], f"""
+SELECT TransactionID, isFraud, row_number() OVER (PARTITION BY isFraud ORDER BY {_H42}, TransactionID) AS rk,
+       count(*) OVER (PARTITION BY isFraud) AS n_class
+FROM tx""")
+O.cte("train_ids", ["ranked"], "SELECT TransactionID FROM ranked WHERE rk > floor(0.2 * n_class + 0.5)")
+
+
 @query("freq_encode", w(f"SELECT TransactionID, {_sql_list(FREQ_COLS)} FROM freq", "freq"))
 def freq_encode(spark, sf):
     """G1: count / rows of every value of every text column (one exploded aggregate, joined back)."""
@@ -135,12 +148,49 @@ def context_join(spark, sf):
     return fx.scores(spark, sf).join(b, "TransactionID", "inner")
 
 
+@query("context_join_stored", w("""
+SELECT s.TransactionID, s.model, s.y, s.p, b.TransactionAmt, b.DT_week, b.DeviceType_norm, b.card1
+FROM scores s JOIN behavior b ON s.TransactionID = b.TransactionID""", "scores", "behavior"))
+def context_join_stored(spark, sf):
+    """C3 on stored stages: scores and business columns bucketed by TransactionID, joined without a shuffle."""
+    b = stages(spark, sf, until="behavior").behavior.select("TransactionID", "TransactionAmt", "DT_week", "DeviceType_norm", "card1")
+    return L.store_bucketed(fx.scores(spark, sf), name="scores").join(L.store_bucketed(b, name="context"), "TransactionID", "inner")
+
+
 @query("assemble")
 def assemble(spark, sf):
     """H0: all numeric features of the encoded table in one vector column, id and label beside it."""
     return S.assemble(stages(spark, sf).crossed)
 
 
+@query("matrix_rows", w(" UNION ALL ".join(
+    f"SELECT TransactionID, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM encoded" for c in NUM_FEATS), "encoded"))
+def matrix_rows(spark, sf):
+    """H0 + A5: the assembled matrix, stored and read back, as (id, feature, value) rows by the stored names; NaN is NULL."""
+    path = _scratch(spark, "matrix-rows")
+    m = T.sink_matrix(S.assemble(stages(spark, sf).crossed), path)
+    names = [r["feature"] for r in spark.read.parquet(path + "_names").orderBy("idx").collect()]  # one row per column
+    d = m.select("TransactionID", F.posexplode(vector_to_array("features")).alias("i", "value"))
+    return d.select("TransactionID", F.get(F.array(*[F.lit(c) for c in names]), F.col("i")).alias("feature"),
+                    nan_to_null(F.col("value")).alias("value"))
+
+
+@query("fraud_rates_train_only", w("""
+SELECT e.TransactionID, CASE WHEN e.card1 IS NOT NULL AND e.addr1 IS NOT NULL THEN a.r END AS fr_card1_addr1, p.r AS fr_card1_Pemailprov
+FROM email e
+LEFT JOIN (SELECT card1, addr1, avg(CAST(isFraud AS DOUBLE)) AS r FROM email JOIN train_ids USING (TransactionID) GROUP BY card1, addr1) a
+  ON a.card1 = e.card1 AND a.addr1 = e.addr1
+LEFT JOIN (SELECT card1, P_emaildomain_provider AS pr, avg(CAST(isFraud AS DOUBLE)) AS r FROM email JOIN train_ids USING (TransactionID)
+           GROUP BY ALL) p ON p.card1 = e.card1 AND p.pr = e.P_emaildomain_provider""", "email", "train_ids"))
+def fraud_rates_train_only(spark, sf):
+    """F8 + F9 fitted on the training rows of the split and applied to all rows."""
+    e = stages(spark, sf, until="email").email
+    split = SP.stratified_split(e.select("TransactionID", "isFraud")).where(~F.col("is_valid"))
+    train = e.join(split.select("TransactionID"), "TransactionID", "left_semi")
+    out = B.behavior_features(e, user=False, interval=False, fit_df=train)
+    return out.select("TransactionID", "fr_card1_addr1", "fr_card1_Pemailprov")
+
+
 @query("variance_filter", w(" UNION ALL ".join(
     f"SELECT '{c}' AS feature, var_pop(CAST({c} AS DOUBLE)) AS variance, "
     f"coalesce(var_pop(CAST({c} AS DOUBLE)) > {DEFAULT.variance_threshold}, false) AS kept FROM encoded"
@@ -186,13 +236,6 @@ def leakage_suspicious(spark, sf):
 
 # ---- I: splits, samples, weights ----------------------------------------------------------------
 
-_H42 = hash32_sql("TransactionID", "'42'")
-O.cte("ranked", ["tx"], f"""
-SELECT TransactionID, isFraud, row_number() OVER (PARTITION BY isFraud ORDER BY {_H42}, TransactionID) AS rk,
-       count(*) OVER (PARTITION BY isFraud) AS n_class
-FROM tx""")
-
-
 @query("stratified_split", w("SELECT TransactionID, isFraud, rk <= floor(0.2 * n_class + 0.5) AS is_valid FROM ranked",
                              "ranked"))
 def stratified_split(spark, sf):

@@ -80,13 +80,20 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Cut the lineage by writing ``df`` as a Parquet table in the shared checkpoint folder and reading it back.
 
     Like a reliable ``checkpoint()`` it survives executor loss (no recomputation from the sources), and in
-    addition later stages read only the columns they use and push filters into the scan.
+    addition later stages read only the columns they use and push filters into the scan. ``stage_path`` tells the path.
     """
     spark = df.sparkSession
     path = os.path.join(scratch_dir(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     _STAGES.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out.stage_path = path  # of this very table; what is derived from it has none
+    return out
+
+
+def stage_path(df: DataFrame) -> str | None:
+    """The path of a stored stage as ``cut_lineage`` returned it; None for any other table."""
+    return df.__dict__.get("stage_path")
 
 
 def drop_stages(spark: SparkSession) -> int:

@@ -45,12 +45,16 @@ class Settings:
     gbt_step: float = 0.05
     gbt_subsample: float = 0.8
     gbt_feature_share: str = "0.8"
+    parallel_fits: int = 4  # fits submitted at once by grids, folds and searches
     # --- cluster knobs --------------------------------------------------------------------------
     # ordered_prefix: target rows per (group, bucket) window partition
     rows_per_bucket: int = 1_000_000
     min_buckets: int = 16
-    # exact quantiles: a bracket of about 4 / accuracy of the rows is ranked exactly
+    # exact quantiles: a round keeps about 4 / accuracy of the rows, until at most max_ranked distinct values are left
     bracket_accuracy: int = 10_000
+    max_ranked: int = 1_000_000
+    # encoders: at most this many frequent (column, value) pairs are sent to every task
+    hot_values: int = 10_000
     # width of the chunked wide aggregate (codegen method size)
     agg_chunk: int = 100
 

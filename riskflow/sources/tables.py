@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.functions.numeric import nan_to_null
+from riskflow.sources.infer import scan_csv
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -22,13 +23,14 @@ TABLES = [
 
 def scan_table(spark: SparkSession, path: str, fmt: str = "parquet", schema: T.StructType | str | None = None,
                header: bool = True) -> DataFrame:
-    """A1: full read of a table. CSV needs an explicit schema (no per-stage re-inference)."""
+    """A1: full read of a table. CSV without a schema is typed from its values (``infer``; its quarantined records are
+    ``infer.scan_csv``'s to report); a stage that is read again takes the schema it was written with."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
         if schema is None:
-            raise ValueError("csv scans take an explicit schema")
+            return scan_csv(spark, path).rows
         return _nan_free(reader.option("header", header).option("nanValue", "NaN").csv(path))
     return _nan_free(reader.format(fmt).load(path))
 

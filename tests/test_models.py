@@ -46,33 +46,6 @@ def test_shapley_covers_all_rows(spark):
     assert sh.where(F.col("phi").isNull()).count() == 0
 
 
-def test_shapley_of_a_linear_score(spark):
-    """With one background row the contribution of a linear score is w_j (x_j - b_j), whatever the permutations."""
-    from pyspark.ml.linalg import Vectors, VectorUDT
-    from pyspark.sql import types as T
-
-    from riskflow.operators import explain as K
-
-    nf = 40
-    schema = T.StructType([T.StructField("TransactionID", T.LongType()), T.StructField("features", VectorUDT())])
-    rows = spark.createDataFrame([(i, Vectors.dense([float((i * j) % 11) for j in range(nf)])) for i in range(6)], schema)
-    bg = spark.createDataFrame([(99, Vectors.dense([1.0] * nf))], schema)
-
-    class Linear:
-        def transform(self, df):
-            from pyspark.ml.functions import array_to_vector, vector_to_array
-
-            x = vector_to_array("features")
-            f = F.aggregate(F.transform(x, lambda v, j: v * j), F.lit(0.0), lambda a, b: a + b)
-            return df.withColumn("probability", array_to_vector(F.array(1 - f, f)))
-
-    phi = K.shapley_values(Linear(), rows, bg, [f"f{j}" for j in range(nf)], n_perm=2)
-    for r in phi.collect():
-        j = int(r["feature"][1:])
-        assert abs(r["phi"] - j * (r["value"] - 1.0)) < 1e-6
-    assert phi.count() == 6 * nf
-
-
 def test_search_maps_parameters():
     from riskflow.operators import models as M
 
@@ -93,29 +66,6 @@ def test_save_load_and_matrix(spark):
     assert imp.where("importance < 0 or splits < 0").count() == 0
 
 
-def test_shapley_shape_and_bounds(spark):
-    """Every (row, feature) gets a contribution, and a row's contributions sum to a difference of two
-    probabilities (per permutation they telescope to f(x) - f(background row)), so the sum lies in [-1, 1]."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.linalg import Vectors, VectorUDT
-    from pyspark.sql import types as T
-
-    from riskflow.operators import explain as K
-    from riskflow.settings import DEFAULT
-
-    rows = [(i, i % 2, Vectors.dense([float(i % 5), float((i * 3) % 7), float(i % 2)])) for i in range(60)]
-    schema = T.StructType([T.StructField("TransactionID", T.LongType()), T.StructField("isFraud", T.IntegerType()),
-                           T.StructField("features", VectorUDT())])
-    df = spark.createDataFrame(rows, schema)
-    lr = LogisticRegression(labelCol="isFraud", maxIter=20).fit(df)
-    s = DEFAULT.with_(rows_per_bucket=5, min_buckets=4)
-    phi = K.shapley_values(lr, df.limit(5), df, ["a", "b", "c"], n_perm=3, s=s)
-    sums = {r["TransactionID"]: r["s"] for r in phi.groupBy("TransactionID").agg(F.sum("phi").alias("s")).collect()}
-    assert len(sums) == 5 and phi.count() == 15
-    for v in sums.values():
-        assert -1.0 <= v <= 1.0
-
-
 def test_stream_resumes_from_checkpoint(spark, tmp_path):
     """A second availableNow run with the same checkpoint scores only the files that arrived since."""
     from riskflow.plans.queries_models import _manual
