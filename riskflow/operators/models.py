@@ -21,7 +21,7 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators import evaluate as V
@@ -139,8 +139,9 @@ def together(jobs: list, parallel: int) -> list:
     work between them; fits submitted at once fill each other's gaps."""
     if parallel <= 1 or len(jobs) <= 1:
         return [job() for job in jobs]
+    inherit = inheritable_thread_target(SparkSession.getActiveSession())
     with ThreadPool(min(parallel, len(jobs))) as pool:
-        return pool.map(lambda run: run(), [inheritable_thread_target(job) for job in jobs])
+        return pool.map(lambda run: run(), [inherit(job) for job in jobs])
 
 
 def prefix_metrics(model, mx: Matrix, sizes: list[int], s: Settings = DEFAULT) -> DataFrame:
