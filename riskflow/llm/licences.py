@@ -132,9 +132,10 @@ def weighted(held: DataFrame, total: int, templates: DataFrame) -> DataFrame:
 
 
 def matches(files: DataFrame, templates: list | None = None, threshold: float = THRESHOLD) -> DataFrame:
-    """(row, unit, licence, score): the best template of every unit at ``threshold`` or more.
+    """(row, h, unit, licence, score): the best template of every unit at ``threshold`` or more.
 
-    files: row (any unique number), path, text. Unit 0 is the whole text; the lines and the windows follow.
+    files: row (any number but null), path, text; h is a hash of path and text, so rows that share a number are told apart. Unit 0 is
+    the whole text; the lines and the windows follow.
     """
     least = threshold - 1e-9
     files = files.filter("text is not null").select("row", F.xxhash64("path", "text").alias("h"), "path", "text")
@@ -154,14 +155,30 @@ def matches(files: DataFrame, templates: list | None = None, threshold: float =
     none = F.array().cast("array<struct<unit: int, x: array<string>>>")
     whole = F.when(F.col("is_licence"), F.array(F.struct(F.lit(0).alias("unit"), F.array_distinct("seq").alias("x")))).otherwise(
         none)
+    n_lines = F.size(F.split("text", "\n"))
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(x) > 0)
     by_line = F.transform(lines, lambda x, i: F.struct((i + 1).alias("unit"), terms(x).alias("x")))
-    # the first word of a window belongs to the template; without one the window from the next word is no worse
-    starts = F.filter(F.transform("seq", lambda w, i: F.when(F.array_contains("tt", w), i + 1)), lambda i: i.isNotNull())
-    windows = F.transform(starts, lambda i: F.struct((F.size(F.split("text", "\n")) + i).alias("unit"), F.array_distinct(
-        F.slice("seq", i, F.col("m"))).alias("x")))
-    units = F.when(F.col("whole"), whole).otherwise(F.concat(whole, by_line, windows))
-    u = d.select("row", "h", "t", "licence", "length", "tt", "tw", F.explode(units).alias("u"))
+    units = F.when(F.col("whole"), whole).otherwise(F.concat(whole, by_line))
+    keep = ["row", "h", "t", "licence", "length", "tt", "tw"]
+    u = d.select(*keep, F.explode(units).alias("u"))
+    # windows begin with a word of the template: without one the window from the next word is no worse. The words of a text are
+    # rows here, met with the templates by term, so that no row holds a window for each of its words; a window's template words,
+    # each once, give its dot product, and its words are gathered only if that alone could reach the threshold
+    words = files.join(small(stage(pairs.select("row", "h").distinct(), "licence-rows")), ["row", "h"]).select(
+        "row", "h", F.posexplode(sequence(F.col("text"))).alias("i", "term"))
+    part = t.filter("not whole").select("t", "m", "length", "term", (F.col("idf") * F.col("idf")).alias("x"))
+    p = words.join(F.broadcast(part), "term").join(small(pairs), ["row", "h", "t"]).withColumn("k", F.col("i") / F.col("m"))
+    near = F.expr("""collect_list(struct(term, x)) over (partition by row, h, t order by k
+        range between current row and 0.99999D following)""")
+    p = p.withColumn("sum", F.aggregate(F.array_distinct(near), F.lit(0.0), lambda s, e: s + e["x"]))
+    enough = F.lit(least * least * (1 - 1e-9)) * F.col("length") * F.col("length")
+    w = stage(p.filter(F.col("sum") >= enough).select("row", "h", "t", "m", "i"), "licence-windows")
+    w = w.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("m") - 1))).join(
+        words.withColumnRenamed("i", "j"), ["row", "h", "j"])
+    w = w.groupBy("row", "h", "t", "i").agg(F.collect_set("term").alias("x"))
+    at = d.select("row", "h", n_lines.alias("lines")).distinct()
+    w = w.join(at, ["row", "h"]).join(F.broadcast(about), "t")
+    u = u.unionByName(w.select(*keep, F.struct((F.col("lines") + F.col("i") + 1).alias("unit"), "x").alias("u")))
     u = u.withColumn("x", F.col("u.x")).withColumn("hits", F.array_intersect("x", "tt"))
     u = u.withColumn("dot", F.aggregate("hits", F.lit(0.0), lambda s, w: s + F.get(
         F.col("tw"), (F.array_position(F.col("tt"), w) - 1).cast("int"))))
@@ -170,30 +187,31 @@ def matches(files: DataFrame, templates: list | None = None, threshold: float =
     u = u.filter((F.col("dot") > 0) & (F.col("dot") >= bound))
     u = u.select("row", "h", "u.unit", "t", "licence", "length", "dot", "x").dropDuplicates(["row", "h", "unit", "t"])
     u = stage(u, "licence-units")
-    words = u.select("row", "h", "unit", "t", F.explode("x").alias("term"))
-    wanted = stage(words.select("term").distinct(), "licence-wanted")
+    held_by = u.select("row", "h", "unit", "t", F.explode("x").alias("term"))
+    wanted = stage(held_by.select("term").distinct(), "licence-wanted")
     idf = stage(document_counts(held, small(wanted)).select("term", idf_of(total, F.col("n")).alias("idf")), "licence-idf")
     key = ["row", "h", "unit", "t"]
-    norm = words.join(small(idf), "term").groupBy(*key).agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
+    norm = held_by.join(small(idf), "term").groupBy(*key).agg(F.sqrt(F.sum(F.col("idf") * F.col("idf"))).alias("norm"))
     dot = u.drop("x").join(norm, key).withColumn("score", F.col("dot") / (F.col("norm") * F.col("length")))
-    best = dot.filter(F.col("score") >= least).groupBy("row", "unit").agg(
+    best = dot.filter(F.col("score") >= least).groupBy("row", "h", "unit").agg(
         F.min(F.struct((-F.round("score", 9)).alias("s"), "licence")).alias("b"))
-    return best.select("row", "unit", "b.licence", (-F.col("b.s")).alias("score"))
+    return best.select("row", "h", "unit", "b.licence", (-F.col("b.s")).alias("score"))
 
 
 def scan(files: DataFrame, templates: list | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """row, licence, score, origin (line, file, directory or null) and from_dir of every file.
 
-    files: row (any unique number), path with / between its parts, text.
+    files: row (any number; rows may share one), path with / between its parts, text.
     """
-    found = matches(files, templates, threshold).groupBy("row").agg(
+    key = F.xxhash64("row")  # of a null number, too
+    found = matches(files.select(key.alias("row"), "path", "text"), templates, threshold).groupBy("row", "h").agg(
         F.min(F.struct((-F.col("score")).alias("s"), "licence", "unit")).alias("b"))
-    found = stage(found.select("row", "b.licence", (-F.col("b.s")).alias("score"), "b.unit"), "licence-found")
+    found = stage(found.select(F.col("row").alias("key"), "h", "b.licence", (-F.col("b.s")).alias("score"), "b.unit"), "licence-found")
     parts = F.split("path", "/")
-    d = files.select("row", "path", F.when(F.size(parts) > 1, F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/"))
+    d = files.select("row", key.alias("key"), F.xxhash64("path", "text").alias("h"), "path", F.when(F.size(parts) > 1, F.array_join(F.slice(parts, F.lit(1), F.size(parts) - 1), "/"))
                      .when(F.col("path").isNotNull(), F.lit("")).alias("dir"),
                      F.coalesce(F.element_at(parts, -1).rlike(LICENCE_FILE), F.lit(False)).alias("is_licence"))
-    d = d.join(small(found), "row", "left")
+    d = d.join(small(found), ["key", "h"], "left")
     given = d.filter("is_licence and licence is not null and dir is not null").groupBy("dir").agg(
         F.min(F.struct((-F.col("score")).alias("s"), "licence")).alias("b"))
     given = stage(given.select(F.col("dir").alias("above"), F.col("b.licence").alias("above_licence"),

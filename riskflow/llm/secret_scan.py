@@ -7,11 +7,12 @@ of that alphabet: chi-squared over symbols (with the exact mean and variance, as
 character classes, runs above and below the middle of the alphabet, and lag-1 serial correlation. Fisher's method joins
 them to one p-value: ordinary words fail, random keys do not.
 
-Short runs can pass by chance, so the share that must pass is set from the data, by length: every candidate brings a decoy of its
-own length, made of the text beside it without other candidates, white space and digits-only tokens. Counts of candidates
-and decoys by length class and p-value, summed by Spark to a table of fixed size, give for each length class the lowest
-p-value from which decoys, and one more, are at most a share ``FDR`` of candidates. Without so many there is no evidence
-that a class tells keys from words, and nothing is added.
+Short runs can pass by chance, so the level that must be reached is set by length, under a share ``FDR`` of false ones: every
+candidate brings a decoy of its own length, made of the text beside it without other candidates, white space and digits-only
+tokens. Counts of candidates and decoys by length class and p-value, summed by Spark to a table of fixed size, give for each
+length class the lowest p-value from which the false candidates expected are at most that share of those that pass.
+Expected are as many as there are decoys, and not less than the candidates times the rate at which ordinary words of that
+length are known to pass (``CHANCE``), so one document with a key is judged by the same rule as a million.
 
 Defined results: a null or empty text has no spans; digits-only runs (numbers, not keys) and candidates that touch a base
 span are not tested; repeated rows are counted and reported each on their own; an empty table gives an empty result;
@@ -47,6 +48,8 @@ _CODES = [(n, {c: i for i, c in enumerate(a)}, frozenset(a)) for n, a in ALPHABE
 FDR = 0.05
 LEAST_P = 0.01    # randomness rejected at this level is never a secret
 LENGTHS = (16, 20, 28, 40, 64)  # length classes begin here
+#: Share of runs of ordinary words that reach LEAST_P, by length class, rounded up from prose without its blanks; it falls with p.
+CHANCE = (0.15, 0.03, 0.002, 1e-4, 1e-5)
 BINS = 200        # of log10 p from -10 to 0
 
 
@@ -216,6 +219,11 @@ def scan(docs: DataFrame, *more: Column) -> DataFrame:
     return sent.mapInArrow(run, ", ".join([*kinds, f"base {_SPAN}", f"runs {_RUN}"]))
 
 
+def chance(c: int, p: int) -> float:
+    """At most this share of ordinary words of length class ``c`` falls into p bin ``p`` or above."""
+    return CHANCE[c] * (LEAST_P / 10 ** (10 * p / BINS - 10)) ** 0.75
+
+
 def thresholds(scanned: DataFrame, fdr: float = FDR) -> dict[int, int]:
     """Per length class the lowest p bin whose candidates pass; BINS + 1 where none do.
 
@@ -230,10 +238,11 @@ def thresholds(scanned: DataFrame, fdr: float = FDR) -> dict[int, int]:
     for c in range(len(LENGTHS)):
         real, decoys, best = 0, 0, BINS + 1
         at = {(r["p"], r["decoy"]): r["n"] for r in counts if r["c"] == c}
+        every = sum(n for (_, decoy), n in at.items() if not decoy)
         for p in range(BINS, floor - 1, -1):
             real += at.get((p, 0), 0)
             decoys += at.get((p, 1), 0)
-            if decoys + 1 <= fdr * real:
+            if max(decoys, every * chance(c, p)) <= fdr * real:
                 best = p
         out[c] = best
     return out

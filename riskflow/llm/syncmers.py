@@ -3,14 +3,14 @@
 A text is read as tokens: maximal runs of characters other than ASCII white space, in pieces of at most ``PIECE`` code
 points. A k-mer is ``K`` consecutive tokens, its inner substrings are the s-mers of ``S`` tokens, ordered by hash. A k-mer
 is an anchor if its smallest s-mer is its first or its last one. Whether it is one depends on nothing outside it, so an
-edit elsewhere moves no anchor. The fingerprint is the sorted list of the ``KEEP`` smallest distinct anchor hashes (a
-minimum-wise sample of the set over the whole text, of bounded size), in hex; likeness is the share of common hashes among the ``KEEP`` smallest of both.
+edit elsewhere moves no anchor. The fingerprint is a digest of all anchors of the whole text with their positions; likeness is
+the share of common ones among all distinct anchor hashes of both texts.
 
 ``anchors`` gives all anchors with their positions, ``aligned`` matches those of two sets of texts by hash and reports
 where runs of anchors agree on one offset.
 
 Defined results: a null text is empty; a text without tokens has the empty fingerprint, one without anchors (a short one)
-has the hash of all its tokens as its only one; two empty fingerprints have likeness 1; a null id is last in descending
+has the hash of all its tokens as its only anchor; two texts without tokens have likeness 1; a null id is last in descending
 order; rows with equal ids follow each other by text, descending; the next of the last row is the first, the next of a
 single row is itself; an empty table gives an empty result; other columns are ignored.
 """
@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import small, stage
 
 PIECE, K, S = 3, 4, 2
-KEEP = 64
 ROWS_PER_RANGE = 4_000
 
 
@@ -62,34 +61,43 @@ def _kmer(h: Column, i: Column) -> Column:
 
 
 def _whole(t: Column) -> Column:
-    return F.array(F.xxhash64(F.array_join(t, " ")))
+    return F.xxhash64(F.array_join(t, " "))
 
 
 def sketch(text: Column) -> Column:
-    """The KEEP smallest distinct anchor hashes, ascending."""
+    """All anchors (position, hash), by position."""
+    anchor = lambda i, h: F.struct(i.alias("position"), h.alias("hash"))
+    none = F.array().cast("array<struct<position: int, hash: bigint>>")
+
     def of(t):
-        found = let(_smers(t), lambda h: _anchors_of(h, lambda i: _kmer(h, i)))
-        some = F.when(F.size(t) >= K, found).otherwise(F.array().cast("array<bigint>"))
-        some = let(some, lambda a: F.when(F.size(a) > 0, a).otherwise(_whole(t)))
-        return F.when(F.size(t) == 0, F.array().cast("array<bigint>")).otherwise(
-            F.slice(F.array_sort(F.array_distinct(some)), 1, KEEP))
+        found = let(_smers(t), lambda h: _anchors_of(h, lambda i: anchor(i, _kmer(h, i))))
+        some = F.when(F.size(t) >= K, found).otherwise(none)
+        some = let(some, lambda a: F.when(F.size(a) > 0, a).otherwise(F.array(anchor(F.lit(0), _whole(t)))))
+        return F.when(F.size(t) == 0, none).otherwise(some)
 
     return let(tokens(text), of)
 
 
 def fingerprint(s: Column) -> Column:
-    return F.array_join(F.transform(s, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
+    """A digest of all anchors with their positions, in hex; empty without any."""
+    said = F.array_join(F.transform(s, lambda x: F.concat(x["position"].cast("string"), F.lit(":"), F.hex(x["hash"]))), ",")
+    return F.when(F.size(s) == 0, F.lit("")).otherwise(F.sha2(said.cast("binary"), 256))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Share of common hashes among the KEEP smallest of both sketches."""
-    low = F.slice(F.array_sort(F.array_union(a, b)), 1, KEEP)
-    both = lambda u: F.size(F.array_intersect(F.array_intersect(u, a), b)) / F.size(u)
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(let(low, both)).cast("double")
+    """Share of common hashes among all distinct hashes of both sketches."""
+    hashes = lambda s: F.array_distinct(F.transform(s, lambda x: x["hash"]))
+
+    def share(x, y):
+        common = F.size(F.array_intersect(x, y))
+        return common / (F.size(x) + F.size(y) - common)
+
+    both = let(hashes(a), lambda x: let(hashes(b), lambda y: share(x, y)))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(both).cast("double")
 
 
 def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """(doc_id, text, sketch) of every row and next_text, next_sketch of the row after it by descending id.
+    """(doc_id, text) of every row and next_text of the row after it by descending id.
 
     Rows are cut into ranges of ids at approximate quantiles; each range's first row is also sent, marked, to the range
     before it, so the neighbour is found inside ranges and no task sees more than one range.
@@ -118,9 +126,8 @@ def with_next(docs: DataFrame, rows_per_range: int = ROWS_PER_RANGE) -> DataFram
         "range-heads")
     heads = heads.withColumn("_m", F.col("_m") + 1)
     rows = base.select("doc_id", "text", "_r", F.lit(0).alias("_m")).unionByName(heads.select("doc_id", "text", "_r", "_m"))
-    rows = rows.withColumn("sketch", sketch(F.col("text")))
     w = Window.partitionBy("_r").orderBy("_m", F.desc_nulls_last("doc_id"), F.desc("text"))
-    rows = rows.withColumn("next_text", F.lead("text").over(w)).withColumn("next_sketch", F.lead("sketch").over(w))
+    rows = rows.withColumn("next_text", F.lead("text").over(w))
     return rows.filter("_m = 0").drop("_r", "_m")
 
 
@@ -133,7 +140,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     third = F.floor(F.col("n") / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.col("n") - third),
                       F.substring(F.col("next_text"), F.lit(1), third))
-    d = d.select("doc_id", "n", "sketch", "next_sketch", edited.alias("edited"))
+    d = d.select("doc_id", "n", sketch(F.col("text")).alias("sketch"), sketch(F.col("next_text")).alias("next_sketch"),
+                 edited.alias("edited"))
     d = d.withColumn("edited_sketch", sketch(F.col("edited")))
     return d.select("doc_id", F.col("n").cast("bigint").alias("n_chars"),
                     F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
@@ -145,12 +153,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
 def anchors(docs: DataFrame) -> DataFrame:
     """(doc_id, position, hash) of every anchor of every text; positions count tokens from 0."""
-    def of(t):
-        found = let(_smers(t), lambda h: _anchors_of(h, lambda i: F.struct(i.alias("position"), _kmer(h, i).alias("hash"))))
-        return F.when(F.size(t) >= K, found)
-
-    d = docs.select("doc_id", let(tokens(F.coalesce("text", F.lit(""))), of).alias("a"))
-    return d.select("doc_id", F.explode("a").alias("x")).select("doc_id", "x.position", "x.hash")
+    d = docs.select("doc_id", F.explode(sketch(F.coalesce("text", F.lit("")))).alias("x"))
+    return d.select("doc_id", "x.position", "x.hash")
 
 
 def aligned(left: DataFrame, right: DataFrame, pairs: DataFrame) -> DataFrame:
