@@ -164,17 +164,18 @@ def matches(files: DataFrame, templates: list | None = None, threshold: float =
     # windows begin with a word of the template: without one the window from the next word is no worse. The words of a text are
     # rows here, met with the templates by term, so that no row holds a window for each of its words; a window's template words,
     # each once, give its dot product, and its words are gathered only if that alone could reach the threshold
-    words = files.join(small(stage(pairs.select("row", "h").distinct(), "licence-rows")), ["row", "h"]).select(
-        "row", "h", F.posexplode(sequence(F.col("text"))).alias("i", "term"))
+    own = stage(pairs.groupBy("row", "h").agg(F.collect_set("t").alias("ts")), "licence-rows")  # at most as many as templates
+    words = files.join(small(own), ["row", "h"]).select("row", "h", "ts", F.posexplode(sequence(F.col("text"))).alias("i", "term"))
     part = t.filter("not whole").select("t", "m", "length", "term", (F.col("idf") * F.col("idf")).alias("x"))
-    p = words.join(F.broadcast(part), "term").join(small(pairs), ["row", "h", "t"]).withColumn("k", F.col("i") / F.col("m"))
+    p = words.join(F.broadcast(part), "term").filter(F.array_contains("ts", F.col("t"))).drop("ts")
+    p = p.withColumn("k", F.col("i") / F.col("m"))
     near = F.expr("""collect_list(struct(term, x)) over (partition by row, h, t order by k
         range between current row and 0.99999D following)""")
     p = p.withColumn("sum", F.aggregate(F.array_distinct(near), F.lit(0.0), lambda s, e: s + e["x"]))
     enough = F.lit(least * least * (1 - 1e-9)) * F.col("length") * F.col("length")
     w = stage(p.filter(F.col("sum") >= enough).select("row", "h", "t", "m", "i"), "licence-windows")
     w = w.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("m") - 1))).join(
-        words.withColumnRenamed("i", "j"), ["row", "h", "j"])
+        words.select("row", "h", F.col("i").alias("j"), "term"), ["row", "h", "j"])
     w = w.groupBy("row", "h", "t", "i").agg(F.collect_set("term").alias("x"))
     at = d.select("row", "h", n_lines.alias("lines")).distinct()
     w = w.join(at, ["row", "h"]).join(F.broadcast(about), "t")
