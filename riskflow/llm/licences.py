@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import small, stage
 
 THRESHOLD = 0.6
+BLOCK = 128  # words
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)([.-][a-z0-9.-]*)?$"
 
 #: Public licence notices by SPDX name; several phrases may stand for one licence.
@@ -174,9 +175,13 @@ def matches(files: DataFrame, templates: list | None = None, threshold: float =
     p = p.withColumn("sum", F.aggregate(F.array_distinct(near), F.lit(0.0), lambda s, e: s + e["x"]))
     enough = F.lit(least * least * (1 - 1e-9)) * F.col("length") * F.col("length")
     w = stage(p.filter(F.col("sum") >= enough).select("row", "h", "t", "m", "i"), "licence-windows")
-    w = w.withColumn("j", F.explode(F.sequence(F.col("i"), F.col("i") + F.col("m") - 1))).join(
-        words.select("row", "h", F.col("i").alias("j"), "term"), ["row", "h", "j"])
-    w = w.groupBy("row", "h", "t", "i").agg(F.collect_set("term").alias("x"))
+    # windows meet the words of their blocks of the text, so a text with many windows compares each word with a few of them
+    block = lambda c: F.floor(c / BLOCK)
+    w = w.withColumn("block", F.explode(F.sequence(block(F.col("i")), block(F.col("i") + F.col("m") - 1))))
+    w = small(stage(w.withColumnRenamed("i", "start"), "licence-blocks"))
+    w = words.select("row", "h", "i", "term", block(F.col("i")).alias("block")).join(w, ["row", "h", "block"])
+    w = w.filter((F.col("i") >= F.col("start")) & (F.col("i") < F.col("start") + F.col("m")))
+    w = w.groupBy("row", "h", "t", F.col("start").alias("i")).agg(F.collect_set("term").alias("x"))
     at = d.select("row", "h", n_lines.alias("lines")).distinct()
     w = w.join(at, ["row", "h"]).join(F.broadcast(about), "t")
     u = u.unionByName(w.select(*keep, F.struct((F.col("lines") + F.col("i") + 1).alias("unit"), "x").alias("u")))
