@@ -8,9 +8,10 @@ squared. A ridge logistic regression on them, fitted on at most ``FIT_ROWS`` lab
 hashes of their id), gives every document a log likelihood ratio.
 
 Levels: with m the global rate, a host's rate is (sum of its documents' probabilities + a m) / (documents + a) and a path's
-rate shrinks alike towards its host's, so sparse sites stay near the level above. a is estimated from the spread of the
-rates at that level (moments of the beta-binomial). A document's posterior joins its likelihood ratio with its path's rate
-as the prior. All levels are grouped sums with partial aggregation; a host may hold any share of the rows.
+rate shrinks alike towards its host's, so sparse sites stay near the level above. a is the variance of a document's
+probability inside a group over the variance between the groups' means, both estimated by moments at each level. A
+document's posterior joins its likelihood ratio with its path's rate as the prior, from which its own probability is left
+out. All levels are grouped sums with partial aggregation; a host may hold any share of the rows.
 
 Defined results: a null or empty text has no features and takes its path's rate; null labels do not train; repeated label
 rows count as one (the larger label), repeated documents each; without both classes among the labels the evidence is 0
@@ -35,6 +36,7 @@ KEPT = 400
 FIT_ROWS = 10_000  # labelled documents of the regression, a bound; the features are chosen over all of them
 STEMS = (4, 5, 6, 7)
 LIMIT = 30.0       # bound of a log likelihood ratio
+NEVER, LEAST_STRENGTH = 1e6, 0.1  # bounds of the pseudo-documents of the level above
 _HASH = WordHash(6)
 
 
@@ -205,17 +207,57 @@ def evidence(docs: DataFrame, model: list[tuple[np.ndarray, np.ndarray, float]],
     return sent.mapInArrow(run, ", ".join([*kinds, *[f"e{k} double" for k in range(len(model))]]))
 
 
-def strength(level: DataFrame, rate: str, size: str) -> float:
-    """Pseudo-documents of the level above: beta-binomial moments of the groups' rates, within 1 and 10,000."""
-    r = level.filter(f"{size} > 0").agg(
-        F.sum(size).alias("n"), F.sum(F.col(size) * F.col(rate)).alias("s"), F.count(F.lit(1)).alias("k"),
-        F.sum(F.col(size) * F.col(rate) * F.col(rate)).alias("q"), F.sum(F.col(size) * F.col(size)).alias("n2")).first()
-    if not r["k"] or r["k"] < 2:
-        return 100.0
-    n, m = float(r["n"]), float(r["s"]) / float(r["n"])
-    between = max(float(r["q"]) - n * m * m, 0.0)
-    spread = (between - (r["k"] - 1) * m * (1 - m)) / max(n - float(r["n2"]) / n, 1e-9)
-    return float(min(10_000.0, max(1.0, m * (1 - m) / spread - 1))) if spread > 0 else 10_000.0
+def strength(groups: DataFrame, within: float, size: str, rate: str, above: Column) -> float:
+    """Pseudo-documents of the level above, within / between, by moments: a group's mean probability varies around the level above
+    (``above``) by the variance between groups plus the variance ``within`` of a document divided by the group's size.
+
+    As many as ``NEVER`` where the means vary no more than single documents explain. ``degrees`` of the rows is 1 over the number of
+    groups that share a mean above, so its sum is the number of means that were fitted."""
+    r = groups.agg(
+        F.sum(size).alias("n"), F.count(F.lit(1)).alias("k"), F.sum("degrees").alias("fitted"),
+        F.sum(F.col(size) * (F.col(rate) - above) * (F.col(rate) - above)).alias("q"),
+        F.sum(F.col(size) * F.col(size) / F.col("size_above")).alias("lost")).first()
+    free = float(r["k"] or 0) - float(r["fitted"] or 0)
+    if free < 0.5 or within <= 0:
+        return NEVER
+    between = (float(r["q"]) - free * within) / max(float(r["n"]) - float(r["lost"]), 1e-9)
+    return min(NEVER, max(LEAST_STRENGTH, within / between)) if between > 0 else NEVER
+
+
+def levels(d: DataFrame, k: int) -> tuple[DataFrame, dict]:
+    """Sums of p<k> by path (c1, c2) and host with the estimated strengths and the global mean."""
+    p = F.col(f"p{k}")
+    paths = stage(d.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.sum(p).alias("s"), F.sum(p * p).alias("q")), "paths")
+    hosts = paths.groupBy("c1").agg(F.sum("n").alias("hn"), F.sum("s").alias("h"), F.sum("q").alias("hq"), F.count(F.lit(1)).alias("paths"))
+    total = hosts.agg(F.sum("hn").alias("n"), F.sum("h").alias("s"), F.sum(F.col("hq") - F.col("h") * F.col("h") / F.col("hn")).alias("w"),
+                      F.count(F.lit(1)).alias("k")).first()
+    inner = paths.agg(F.sum(F.col("q") - F.col("s") * F.col("s") / F.col("n")).alias("w"), F.count(F.lit(1)).alias("k")).first()
+    n = int(total["n"] or 0)
+    m = float(total["s"] or 0.0) / max(n, 1)
+    level = stage(paths.alias("p").join(hosts.alias("h"), F.expr("p.c1 <=> h.c1")).select("p.c1", "p.c2", "n", "s", "hn", "h", "paths"),
+                  "levels")
+    host_rows = hosts.withColumn("degrees", F.lit(1.0 / max(int(total["k"]), 1))).withColumn("size_above", F.lit(float(max(n, 1))))
+    a_host = strength(host_rows.withColumn("r", F.col("h") / F.col("hn")), float(total["w"] or 0) / max(n - total["k"], 1), "hn", "r", F.lit(m))
+    path_rows = level.withColumn("degrees", 1 / F.col("paths")).withColumn("size_above", F.col("hn"))
+    a_path = strength(path_rows.withColumn("r", F.col("s") / F.col("n")), float(inner["w"] or 0) / max(n - inner["k"], 1), "n", "r",
+                      F.col("h") / F.col("hn"))
+    return level.drop("paths"), {"m": m, "host": a_host, "path": a_path}
+
+
+def posterior(d: DataFrame, rates: list[float], targets: list[str]) -> DataFrame:
+    """p_<target> of the rows (c1 host, c2 path, e0, e1, ...): the likelihood ratio on the rate of the row's path.
+
+    The row's own probability is taken out of its path's and its host's sums first, so its evidence counts once."""
+    for k, t in enumerate(targets):
+        d = d.withColumn(f"p{k}", 1 / (1 + F.exp(-(F.col(f"e{k}") + _logit(rates[k])))))
+        level, a = levels(d, k)
+        d = d.alias("d").join(small(level).alias("v"), F.expr("d.c1 <=> v.c1 and d.c2 <=> v.c2")).select("d.*", "n", "s", "hn", "h")
+        own = F.col(f"p{k}")
+        on_host = (F.col("h") - own + a["host"] * a["m"]) / (F.col("hn") - 1 + a["host"])
+        rate = (F.col("s") - own + a["path"] * on_host) / (F.col("n") - 1 + a["path"])
+        rate = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), rate))
+        d = d.withColumn(f"p_{t}", 1 / (1 + F.exp(-(F.col(f"e{k}") + F.log(rate / (1 - rate)))))).drop("n", "s", "hn", "h")
+    return d
 
 
 def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> DataFrame:
@@ -227,22 +269,5 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column) -> Dat
     rates = [0.5 if rates[t] is None else float(rates[t]) for t in targets]
     model = fitted(labelled, targets)
     d = stage(evidence(docs, model, F.col("doc_id"), host, path).withColumnRenamed("c0", "doc_id"), "evidence")
-    for k in range(len(targets)):
-        d = d.withColumn(f"p{k}", 1 / (1 + F.exp(-(F.col(f"e{k}") + _logit(rates[k])))))
-    paths = stage(d.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), *[F.sum(f"p{k}").alias(f"s{k}") for k in (0, 1)]),
-                  "paths")
-    hosts = paths.groupBy("c1").agg(F.sum("n").alias("hn"), *[F.sum(f"s{k}").alias(f"h{k}") for k in (0, 1)])
-    total = paths.agg(F.sum("n").alias("n"), *[F.sum(f"s{k}").alias(f"s{k}") for k in (0, 1)]).first()
-    level = paths.alias("p").join(hosts.alias("h"), F.expr("p.c1 <=> h.c1")).select("p.*", "hn", "h0", "h1")
-    for k in (0, 1):
-        m = float(total[f"s{k}"] or 0) / max(int(total["n"] or 0), 1)
-        ah = strength(hosts.withColumn("r", F.col(f"h{k}") / F.col("hn")), "r", "hn")
-        ap = strength(paths.withColumn("r", F.col(f"s{k}") / F.col("n")), "r", "n")
-        on_host = (F.col(f"h{k}") + ah * m) / (F.col("hn") + ah)
-        level = level.withColumn(f"m{k}", (F.col(f"s{k}") + ap * on_host) / (F.col("n") + ap))
-    level = stage(level.select("c1", "c2", "m0", "m1"), "levels")
-    d = d.alias("d").join(small(level).alias("v"), F.expr("d.c1 <=> v.c1 and d.c2 <=> v.c2"))
-    for k, t in enumerate(targets):
-        m = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col(f"m{k}")))
-        d = d.withColumn(f"p_{t}", 1 / (1 + F.exp(-(F.col(f"e{k}") + F.log(m / (1 - m))))))
+    d = posterior(d, rates, targets)
     return d.select("doc_id", "p_quality", "p_toxic", F.expr("p_quality >= 0.5 and p_toxic < 0.5").alias("kept"))

@@ -415,19 +415,83 @@ def test_licence_scan_of_a_very_long_text(spark):
 
 
 def test_quality(spark):
-    got = {r.doc_id: r for r in QUERIES["op6_hierarchical_quality"](spark, SMALL.replace("0.001", "0.01")).collect()}
-    labels = spark.read.parquet(SMALL.replace("0.001", "0.01") + "/labels.parquet").collect()
+    """On labelled documents that the fit has not seen."""
+    from riskflow.llm import quality
+
+    sf = SMALL.replace("0.001", "0.01")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    got = {r.doc_id: r for r in quality.judge(docs, labels.filter(~out), F.col("source"), F.col("lang")).collect()}
+    held = labels.filter(out).collect()
 
     def auc(score, mark):
-        s = sorted((getattr(got[r.doc_id], score), r[mark]) for r in labels)
+        s = sorted((getattr(got[r.doc_id], score), r[mark]) for r in held)
         ranks = [k for k, (_, y) in enumerate(s) if y]
         p = len(ranks)
         return (sum(ranks) - p * (p - 1) / 2) / (p * (len(s) - p))
 
-    assert auc("p_quality", "quality") > 0.9
-    assert auc("p_toxic", "toxic") > 0.7
-    clean = [r for r in labels if r.quality and not r.toxic]
-    assert np.mean([got[r.doc_id].kept for r in clean]) > 0.97
+    assert auc("p_quality", "quality") > 0.8
+    assert auc("p_toxic", "toxic") > 0.6
+    clean = [r for r in held if r.quality and not r.toxic]
+    assert np.mean([got[r.doc_id].kept for r in clean]) > 0.9
+
+
+def _site_posterior(rows, rate):
+    """{id: posterior} by dictionaries, from (id, host, path, log likelihood ratio)."""
+    logit = lambda x: math.log(x / (1 - x))
+    own = {i: 1 / (1 + math.exp(-(e + logit(rate)))) for i, _, _, e in rows}
+    paths, hosts = defaultdict(list), defaultdict(list)
+    for i, h, p, _ in rows:
+        paths[(h, p)].append(own[i])
+        hosts[h].append(own[i])
+    n, m = len(rows), sum(own.values()) / len(rows)
+
+    def ratio(groups, above, size_above, fitted):
+        sq = sum(sum((x - np.mean(g)) ** 2 for x in g) for g in groups.values()) / max(n - len(groups), 1)
+        q = sum(len(g) * (np.mean(g) - above(k)) ** 2 for k, g in groups.items())
+        free = len(groups) - fitted
+        if free < 0.5 or sq <= 0:
+            return 1e6
+        between = (q - free * sq) / max(n - sum(len(g) ** 2 / size_above(k) for k, g in groups.items()), 1e-9)
+        return min(1e6, max(0.1, sq / between)) if between > 0 else 1e6
+
+    ah = ratio(hosts, lambda k: m, lambda k: n, 1)
+    ap = ratio(paths, lambda k: np.mean(hosts[k[0]]), lambda k: len(hosts[k[0]]), len(hosts))
+    out = {}
+    for i, h, p, e in rows:
+        host = (sum(hosts[h]) - own[i] + ah * m) / (len(hosts[h]) - 1 + ah)
+        r = (sum(paths[(h, p)]) - own[i] + ap * host) / (len(paths[(h, p)]) - 1 + ap)
+        out[i] = 1 / (1 + math.exp(-(e + logit(min(max(r, 1e-6), 1 - 1e-6)))))
+    return out, ah, ap
+
+
+def test_site_levels(spark):
+    """Planted sites of very different rates, most of them sparse: the levels equal those of dictionaries, the strength is far from its
+    bounds, and the rate of a site moves its documents."""
+    from riskflow.llm import quality
+
+    rng = np.random.default_rng(3)
+    rows, truth = [], {}
+    for h in range(150):
+        base = rng.beta(1.5, 1.5)
+        for p in range(int(rng.integers(1, 5))):
+            rate = float(np.clip(base + rng.normal(0, 0.1), 0.02, 0.98))
+            for _ in range(int(rng.integers(1, 12))):
+                y = rng.random() < rate
+                truth[len(rows)] = (rate, y)
+                rows.append((len(rows), f"h{h}" if h else None, f"p{p}" if p else None, float(rng.normal(1.5 if y else -1.5, 1.5))))
+    d = spark.createDataFrame(rows, "doc_id long, c1 string, c2 string, e0 double").repartition(3)
+    got = {r.doc_id: r.p_quality for r in quality.posterior(d, [0.5], ["quality"]).collect()}
+    want, ah, ap = _site_posterior(rows, 0.5)
+    assert got == pytest.approx(want, abs=1e-9)
+    assert 0.5 < ah < 100 and 0.5 < ap < 10_000
+    plain = {i: 1 / (1 + math.exp(-e)) for i, _, _, e in rows}
+    loss = lambda p: -np.mean([math.log(max(1e-9, p[i] if y else 1 - p[i])) for i, (_, y) in truth.items()])
+    assert loss(got) < loss(plain) - 0.01
+    same = spark.createDataFrame([(i, "a", f"p{i % 9}", 0.3) for i in range(50)], "doc_id long, c1 string, c2 string, e0 double")
+    assert {round(r.p_quality, 9) for r in quality.posterior(same, [0.5], ["quality"]).collect()} != set()
+    assert quality.posterior(same.limit(0), [0.5], ["quality"]).count() == 0
 
 
 def test_near_vectors_parts(spark):
