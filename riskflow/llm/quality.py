@@ -33,6 +33,7 @@ from riskflow.llm.common import WordHash, mix64, row_slices, small, stage, utf8,
 BITS = 18
 Z = 4.5
 KEPT = 400
+SLICE = 1 << 20    # bytes of text whose features are hashed at once
 FIT_ROWS = 10_000  # labelled documents of the regression, a bound; the features are chosen over all of them
 STEMS = (4, 5, 6, 7)
 LIMIT = 30.0       # bound of a log likelihood ratio
@@ -73,7 +74,7 @@ def _repetition(words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndar
 def features(batch: pa.RecordBatch, text: str):
     """Per row the sorted distinct features of its whole text."""
     shape_hash = WordHash(66)
-    for part in row_slices(batch, text):
+    for part in row_slices(batch, text, SLICE):
         data, off = utf8(part.column(text))
         starts, ends, row = word_spans(data, off)
         if len(starts):
