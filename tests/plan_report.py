@@ -12,12 +12,14 @@ import sys
 sys.path.insert(0, ".")
 
 from riskflow.operators import behavior as B  # noqa: E402
+from riskflow.operators import encode as E  # noqa: E402
 from riskflow.operators import evaluate as V  # noqa: E402
 from riskflow.operators import profile as P  # noqa: E402
 from riskflow.operators import split as SP  # noqa: E402
 from riskflow.plans import pipeline as PL  # noqa: E402
 from riskflow.session import cut_lineage, local_session  # noqa: E402
 from riskflow.sources import fixtures as fx  # noqa: E402
+from riskflow.sources import layout as L  # noqa: E402
 
 
 def summary(name, df):
@@ -54,6 +56,11 @@ def main(sf):
     summary("stratified_split (I1)", SP.stratified_split(st.email.select("TransactionID", "isFraud")))
     summary("missing_rate (B3)", P.missing_rate(st.merged))
     summary("drift_by_week (F11)", B.drift_by_week(st.timed))
+    text = E.string_columns(st.email)
+    for cols in (text[:3], text):
+        summary(f"encode_all (G1, G2), {len(cols)} text columns", E.encode_all(st.email, cols=cols).df)
+    a, b = L.store_bucketed(fx.tx(spark, sf), name="tx"), L.store_bucketed(fx.identity(spark, sf), name="identity")
+    summary("merge_identity (C1) on bucketed stages", PL.merge_identity(a, b))
 
 
 if __name__ == "__main__":
