@@ -1,26 +1,32 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, stored as sorted arrays, memory-mapped by workers.
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark, stored as sorted arrays, memory-mapped by workers.
 
-Training is three passes of tasks that send each other sorted, compressed count arrays instead of a row per n-gram:
+``order`` is 3 (or 2). Training is passes of tasks that send each other sorted, compressed count arrays instead of a row
+per n-gram:
 
 1. vocabulary: every task sums its word hashes and sends each hash range's part on; a range's task merges the parts
    into sorted arrays (hash, count). A word's number is its place in them. One end token closes every text.
 2. bigrams: every task maps the vocabulary, sums its pairs (context number, word number) and sends each pair to the part
    of its context. Contexts with more than a quarter of a part's tokens (at most four per part) are dealt by the word
-   instead, so that no context, however common, makes a part large. A part's task merges the pairs into sorted arrays
-   (pair, count) and sums, per context, how many pairs occur once, twice and more often.
-3. continuations: per word the number of different contexts, summed in the word's part.
+   instead, so that no context, however common, makes a part large. A part's task merges the pairs into sorted arrays.
+3. trigrams: every task maps the pairs and sends (place of the first two words' pair, word) to that pair's part, whose task
+   merges them into sorted arrays and sums, per pair, how many trigrams follow once, twice and more often. A pair of
+   very common words brings at most its distinct followers there.
+4. continuations: per pair the number of different words before it, and per word the number of different contexts, summed
+   in the part of the pair or word; per context how many followers have one, two and more.
 
 The parts are files in a folder that all executors share (the checkpoint folder, or ``folder``); workers map them and
 look up sorted queries, so memory holds only touched pages. The driver sees counts of counts, part totals and the common
 contexts, all bounded by the number of parts. Files are written under a temporary name and renamed, so a task may be
 repeated on another executor at any time.
 
-p(w | v) = (c(vw) - D(c)) / c(v) + g(v) p(w);  p(w) = (k(w) - D(k)) / K + g / (V + 1), with k(w) the contexts of w.
-Unknown words share one place in V + 1; an unknown context leaves p(w).
+p(w | uv) = (c(uvw) - D(c)) / c(uv) + g(uv) p(w | v);  p(w | v) = (k(vw) - D(k)) / K(v) + g(v) p(w);
+p(w) = (k(w) - D(k)) / K + g / (V + 1), with k the number of different words before (the count itself after a text's
+start, and at order 2) and K its sums. A text's first word has the start as its only context. Unknown words share one
+place in V + 1; an unknown context leaves the lower order's probability.
 
 Defined results: a null text is empty, its only token is the end; a null id counts as the empty text in the hold-out rule;
 repeated rows are counted and scored each on their own; without training rows V and N are 0 and every token has
-probability 1; an empty table gives an empty result; other columns are ignored.
+probability 1; an empty table gives an empty result; other columns are ignored; an order that is not 2 or 3 is refused.
 """
 
 from __future__ import annotations
@@ -42,6 +48,7 @@ END = np.uint64(0xE4D0E4D0E4D0E4D0)
 START_ID = (1 << 32) - 1     # the context of a text's first word
 UNKNOWN_ID = (1 << 32) - 2   # a word or context that training has not seen
 FLUSH = 4_000_000            # tokens that a task sums before it sends them on
+LOW = np.uint64(0xFFFFFFFF)
 
 
 # ---- sorted arrays as bytes -------------------------------------------------------------------------------------------
@@ -115,6 +122,11 @@ def _save(path: str, x: np.ndarray) -> None:
     os.replace(tmp, path)
 
 
+def _least(x: np.ndarray) -> np.ndarray:
+    """Counts in the smallest unsigned type that holds them."""
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
 def _map(path: str) -> np.ndarray:
     return np.load(path, mmap_mode="r") if os.path.exists(path) else np.zeros(0, np.uint64)
 
@@ -144,6 +156,49 @@ class Vocabulary:
         return out
 
 
+class Pairs:
+    """Places of bigrams (context number << 32 | word number) in the mapped parts."""
+
+    def __init__(self, folder: str, starts: list[int], hot: np.ndarray):
+        self.starts, self.parts, self.hot = np.array(starts, np.int64), len(starts) - 1, hot
+        self.key = [_map(f"{folder}/pair-{p}.npy") for p in range(2 * self.parts)]
+
+    def part(self, keys: np.ndarray) -> np.ndarray:
+        """The part of each pair: its context's, or for common contexts the word's in a second row of parts."""
+        v, w = keys >> np.uint64(32), keys & LOW
+        is_hot = np.isin(v, self.hot)
+        return np.searchsorted(self.starts, np.where(is_hot, w, v), side="right") - 1 + self.parts * is_hot
+
+    def places(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Parts and places of ascending distinct pairs; place -1 for those that training has not seen."""
+        known = (keys & LOW < UNKNOWN_ID) & (keys >> np.uint64(32) != UNKNOWN_ID)
+        part = np.where(known, self.part(keys), -1)
+        out = np.full(len(keys), -1, np.int64)
+        for p, ix in _by_part(part):
+            have = self.key[p]
+            if len(have):
+                at = np.minimum(np.searchsorted(have, keys[ix]), len(have) - 1)
+                out[ix] = np.where(np.asarray(have[at]) == keys[ix], at, -1)
+        return part, out
+
+
+def _by_part(part: np.ndarray):
+    """(part, its rows in their order) for every part from 0 on."""
+    order = np.argsort(part, kind="stable")
+    cut = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1], True]) if len(part) else [0]
+    for a, b in zip(cut[:-1], cut[1:]):
+        if part[order[a]] >= 0:
+            yield int(part[order[a]]), order[a:b]
+
+
+def _at(arrays: list, part: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Values of mapped arrays, one a part, at places; 0 at place -1."""
+    out = np.zeros(len(place), np.int64)
+    for p, ix in _by_part(np.where(place >= 0, part, -1)):
+        out[ix] = arrays[p][place[ix]]
+    return out
+
+
 def tokens(batch: pa.RecordBatch, text: str):
     """Per slice of rows: word hashes with END after each row's words, and the offsets of the rows."""
     for part in row_slices(batch, text):
@@ -166,12 +221,9 @@ def _contexts(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 def _deal(keys, counts, part: np.ndarray, names=("p", "raw")):
     """A row (part, squeezed keys and counts) for each part."""
-    order = np.argsort(part, kind="stable")
-    cut = np.flatnonzero(np.r_[True, part[order][1:] != part[order][:-1], True]) if len(part) else [0]
     ps, raws = [], []
-    for a, b in zip(cut[:-1], cut[1:]):
-        ix = order[a:b]
-        ps.append(int(part[ix[0]]))
+    for p, ix in _by_part(part):
+        ps.append(p)
         raws.append(squeeze(keys[ix], counts[ix]))
     return pa.RecordBatch.from_arrays([pa.array(ps, pa.int32()), pa.array(raws, pa.binary())], list(names))
 
@@ -200,8 +252,15 @@ def _few(counts: np.ndarray) -> list[int]:
     return np.bincount(np.minimum(counts, 5), minlength=6)[1:5].tolist()
 
 
-def train(docs: DataFrame, chosen: Column, folder: str | None = None) -> dict:
+def _tails(counts: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """Per owner, how many of its counts are 1, 2, and 3 or more."""
+    return np.stack([np.bincount(owner[np.minimum(counts, 3) == i], minlength=owners) for i in (1, 2, 3)])
+
+
+def train(docs: DataFrame, chosen: Column, folder: str | None = None, order: int = 3) -> dict:
     """The model of the chosen documents: a small description with the folder of its arrays."""
+    if order not in (2, 3):
+        raise ValueError(f"order {order}: 2 or 3")
     spark = docs.sparkSession
     parts, path = shuffle_tasks(spark), shared_folder(spark, folder)
     text = docs.filter(chosen).select("text")
@@ -229,7 +288,7 @@ def train(docs: DataFrame, chosen: Column, folder: str | None = None) -> dict:
     n = {r["p"]: r["n"] for r in got}
     starts = np.cumsum([0, *[n.get(p, 0) for p in range(parts)]]).tolist()
     total = sum(r["tokens"] for r in got)
-    model = {"folder": path, "parts": parts, "starts": starts, "words": starts[-1], "tokens": total}
+    model = {"folder": path, "parts": parts, "starts": starts, "words": starts[-1], "tokens": total, "order": order}
     if starts[-1] >= UNKNOWN_ID:
         raise ValueError("more distinct words than 32-bit numbers")
 
@@ -246,14 +305,11 @@ def train(docs: DataFrame, chosen: Column, folder: str | None = None) -> dict:
     model["hot"] = hot
 
     def pairs(batches):
-        have, sums = Vocabulary(path, starts), Sums()
+        have, at_, sums = Vocabulary(path, starts), Pairs(path, starts, hot), Sums()
 
         def flush():
             k, c = sums.take()
-            v, w = k >> np.uint64(32), k & np.uint64(0xFFFFFFFF)
-            is_hot = np.isin(v, hot)
-            part = np.searchsorted(starts, np.where(is_hot, w, v), side="right") - 1
-            return _deal(k, c, part + parts * is_hot)
+            return _deal(k, c, at_.part(k))
 
         for b in batches:
             for _, h, at in tokens(b, "text"):
@@ -262,35 +318,98 @@ def train(docs: DataFrame, chosen: Column, folder: str | None = None) -> dict:
                     yield flush()
         yield flush()
 
+    def contexts(p: int, k: np.ndarray, c: np.ndarray) -> list[list[int]]:
+        """Saves, for the contexts of a part's pairs k, the tails and the sum of c; those of common contexts are returned."""
+        v = k >> np.uint64(32)
+        if p < parts:  # all pairs of these contexts are here
+            own, n = (v - np.uint64(starts[p])).astype(np.int64), starts[p + 1] - starts[p]
+            _save(f"{path}/tails-{p}.npy", _least(_tails(c, own, n)))
+            _save(f"{path}/total-{p}.npy", _least(np.bincount(own, c, n).astype(np.uint64)))
+            return []
+        own = np.searchsorted(hot, v)
+        found = np.vstack([np.bincount(own, c, len(hot)).astype(np.int64), _tails(c, own, len(hot))]).T
+        return [[int(a), *x] for a, x in zip(hot, found.tolist()) if x[0]]
+
     def merge(x: pa.Table) -> pa.Table:
         p = x.column("p")[0].as_py()
         k, c = _merged(x)
         _save(f"{path}/pair-{p}.npy", k)
-        _save(f"{path}/pairs-{p}.npy", c.astype(np.uint32))
-        v, w = k >> np.uint64(32), k & np.uint64(0xFFFFFFFF)
-        lows = np.minimum(c, 3)
-        if p < parts:  # all pairs of these contexts are here
-            sizes = starts[p + 1] - starts[p]
-            own = (v - np.uint64(starts[p])).astype(np.int64)
-            _save(f"{path}/tails-{p}.npy", np.stack([np.bincount(own[lows == i], minlength=sizes) for i in (1, 2, 3)]).astype(np.uint32))
-            tails = []
-        else:
-            tails = [[int(a), *[int(((v == a) & (lows == i)).sum()) for i in (1, 2, 3)]] for a in np.unique(v)]
-        u, m = _counted(w)
-        dealt = _deal(u, m, np.searchsorted(starts, u, side="right") - 1)
+        _save(f"{path}/pairs-{p}.npy", _least(c))
+        u, m = _counted(k & LOW)
+        return _sent(_deal(u, m, np.searchsorted(starts, u, side="right") - 1), c, contexts(p, k, c) if order == 2 else [])
+
+    def _sent(dealt: pa.RecordBatch, c: np.ndarray, tails: list) -> pa.Table:
+        """The dealt arrays, with the counts of counts of c and the common contexts' tails in the first row."""
         rows = dealt.num_rows
         return pa.table({"p": dealt.column("p"), "raw": dealt.column("raw"),
                          "few": pa.array([_few(c) if r == 0 else None for r in range(rows)], pa.list_(pa.int64())),
                          "tails": pa.array([tails if r == 0 else None for r in range(rows)], pa.list_(pa.list_(pa.int64())))})
 
-    made = stage(text.mapInArrow(pairs, "p int, raw binary").groupBy("p").applyInArrow(
-        merge, "p int, raw binary, few array<long>, tails array<array<long>>"), "lm-pairs")
+    def triples(batches):
+        have, known, held = Vocabulary(path, starts), Pairs(path, starts, hot), []
+
+        def flush():
+            part, key = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+            held.clear()
+            by = np.lexsort((key, part))
+            part, key = part[by], key[by]
+            new = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (key[1:] != key[:-1])]) if len(key) else np.zeros(0, np.int64)
+            return _deal(key[new], np.diff(np.r_[new, len(key)]), part[new])
+
+        for b in batches:
+            for _, h, at in tokens(b, "text"):
+                ids = have.numbers(h)
+                keys, where = np.unique(_contexts(ids, at) << np.uint64(32) | ids, return_inverse=True)
+                part, place = known.places(keys)
+                later = np.setdiff1d(np.arange(len(ids)), at[:-1], assume_unique=True)
+                before = where[later - 1]
+                held.append((part[before], place[before].astype(np.uint64) << np.uint64(32) | ids[later]))
+                if sum(len(x[0]) for x in held) > FLUSH // 2:
+                    yield flush()
+        yield flush()
+
+    def merge_triples(x: pa.Table) -> pa.Table:
+        p = x.column("p")[0].as_py()
+        k, c = _merged(x)
+        first = _map(f"{path}/pair-{p}.npy")
+        _save(f"{path}/triple-{p}.npy", k)
+        _save(f"{path}/triples-{p}.npy", _least(c))
+        at = (k >> np.uint64(32)).astype(np.int64)
+        _save(f"{path}/follow-{p}.npy", _least(_tails(c, at, len(first))))
+        u, m = _counted((np.asarray(first)[at] & LOW) << np.uint64(32) | k & LOW)
+        return _sent(_deal(u, m, Pairs(path, starts, hot).part(u)), c, [])
+
+    def before_pairs(x: pa.Table) -> pa.Table:
+        p = x.column("p")[0].as_py()
+        k, c = _merged(x)
+        have = np.asarray(_map(f"{path}/pair-{p}.npy"))
+        kinds = np.zeros(len(have), np.int64)
+        kinds[np.searchsorted(have, k)] = c
+        first = have >> np.uint64(32) == START_ID
+        kinds[first] = np.asarray(_map(f"{path}/pairs-{p}.npy"))[first]
+        _save(f"{path}/kinds-{p}.npy", _least(kinds))
+        return pa.table({"few": pa.array([_few(kinds)], pa.list_(pa.int64())),
+                         "tails": pa.array([contexts(p, have, kinds)], pa.list_(pa.list_(pa.int64())))})
+
+    deal = "p int, raw binary, few array<long>, tails array<array<long>>"
+    made = stage(text.mapInArrow(pairs, "p int, raw binary").groupBy("p").applyInArrow(merge, deal), "lm-pairs")
+    context_rows = made
+    if order == 3:
+        followed = stage(text.mapInArrow(triples, "p int, raw binary").groupBy("p").applyInArrow(merge_triples, deal),
+                         "lm-triples")
+        few = np.sum([[0] * 4, *[r["few"] for r in followed.filter("few is not null").select("few").collect()]], axis=0)
+        model["d3"] = discounts(few.tolist())
+        none = squeeze(np.zeros(0, np.uint64), np.zeros(0, np.int64))  # a part of first pairs alone gets no other row
+        every = spark.range(2 * parts).select(F.col("id").cast("int").alias("p"), F.lit(none).alias("raw"))
+        context_rows = stage(followed.select("p", "raw").unionByName(every).groupBy("p").applyInArrow(
+            before_pairs, "few array<long>, tails array<array<long>>"), "lm-before")
     few, tails = np.zeros(4, np.int64), {}
-    for r in made.filter("few is not null").select("few", "tails").collect():
+    for r in context_rows.filter("few is not null").select("few", "tails").collect():
         few += np.array(r["few"])
         for v, *x in r["tails"]:
-            tails[v] = tails.get(v, np.zeros(3, np.int64)) + np.array(x)
-    model["hot_tails"] = np.array([tails.get(int(v), np.zeros(3, np.int64)) for v in hot], np.int64).reshape(-1, 3)
+            tails[v] = tails.get(v, np.zeros(4, np.int64)) + np.array(x)
+    found = np.array([tails.get(int(v), np.zeros(4, np.int64)) for v in hot], np.int64).reshape(-1, 4)
+    model["hot_totals"], model["hot_tails"] = found[:, 0], found[:, 1:]
 
     def continuations(x: pa.Table) -> pa.Table:
         p = x.column("p")[0].as_py()
@@ -308,7 +427,6 @@ def train(docs: DataFrame, chosen: Column, folder: str | None = None) -> dict:
     model["d2"], model["d1"] = discounts(few.tolist()), discounts(low.tolist())
     tail = np.array([low[0], low[1], sum(r["more"] for r in kept)], np.float64)
     model["g1"] = float(model["d1"][1:] @ tail / model["kinds"]) if model["kinds"] else 1.0
-    model["starters"] = int(docs.filter(chosen).count())
     return model
 
 
@@ -318,12 +436,12 @@ class Model:
     def __init__(self, model: dict):
         self.m, f, self.parts = model, model["folder"], model["parts"]
         self.starts = np.array(model["starts"], np.int64)
-        self.vocabulary = Vocabulary(f, model["starts"])
-        each = range(self.parts)
-        self.count, self.cont = ([_map(f"{f}/{x}-{p}.npy") for p in each] for x in ("count", "cont"))
-        self.tails = [np.load(f"{f}/tails-{p}.npy", mmap_mode="r") if os.path.exists(f"{f}/tails-{p}.npy") else None
-                      for p in each]
-        self.pair, self.pairs = ([_map(f"{f}/{x}-{p}.npy") for p in range(2 * self.parts)] for x in ("pair", "pairs"))
+        self.vocabulary, self.pairs = Vocabulary(f, model["starts"]), Pairs(f, model["starts"], model["hot"])
+        of = lambda x, n=1: [_map(f"{f}/{x}-{p}.npy") for p in range(n * self.parts)]
+        self.count, self.cont, self.total, self.tails = of("count"), of("cont"), of("total"), of("tails")
+        self.seen = of("pairs", 2)
+        if model["order"] == 3:
+            self.kinds, self.triple, self.triples, self.follow = (of(x, 2) for x in ("kinds", "triple", "triples", "follow"))
 
     def _of(self, arrays: list, ids: np.ndarray) -> np.ndarray:
         """Values at ascending word numbers; 0 for unknown ones."""
@@ -334,64 +452,62 @@ class Model:
                 out[cut[p]: cut[p + 1]] = arrays[p][(ids[cut[p]: cut[p + 1]] - np.uint64(self.starts[p])).astype(np.int64)]
         return out
 
-    def words(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ascending distinct word numbers: their counts, and their probability without and weight with a context."""
+    def words(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending distinct word numbers: their counts, and their probability without a context."""
         m = self.m
         c, k = self._of(self.count, ids), self._of(self.cont, ids)
-        p = m["g1"] / (m["words"] + 1) + np.maximum(k - m["d1"][np.minimum(k, 3)], 0) / max(m["kinds"], 1)
-        tail = np.zeros((len(ids), 3))
+        return c, m["g1"] / (m["words"] + 1) + np.maximum(k - m["d1"][np.minimum(k, 3)], 0) / max(m["kinds"], 1)
+
+    def contexts(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ascending distinct context numbers: the sums over their followers, and the weights of the order below."""
+        total, tail = self._of(self.total, ids), np.zeros((len(ids), 3))
         cut = np.searchsorted(ids, self.starts)
         for q in range(self.parts):
             own = ids[cut[q]: cut[q + 1]]
-            if len(own) and self.tails[q] is not None:
+            if len(own) and len(self.tails[q]):
                 tail[cut[q]: cut[q + 1]] = self.tails[q][:, (own - np.uint64(self.starts[q])).astype(np.int64)].T
-        hot = m["hot"]
-        if len(hot):
-            at = np.minimum(np.searchsorted(hot, ids), len(hot) - 1)
-            is_hot = hot[at] == ids
-            tail[is_hot] = m["hot_tails"][at[is_hot]]
-        return c, p, tail @ m["d2"][1:] / np.maximum(c, 1)
-
-    def pair_counts(self, keys: np.ndarray) -> np.ndarray:
-        """Counts of ascending distinct pairs."""
-        v, w = keys >> np.uint64(32), keys & np.uint64(0xFFFFFFFF)
-        is_hot = np.isin(v, self.m["hot"])
-        part = np.searchsorted(self.starts, np.where(is_hot, w, v), side="right") - 1 + self.parts * is_hot
-        known = (w < UNKNOWN_ID) & (v != UNKNOWN_ID)
-        out = np.zeros(len(keys), np.int64)
-        order = np.argsort(part, kind="stable")
-        cut = np.searchsorted(part[order], np.arange(2 * self.parts + 1))
-        for p in range(2 * self.parts):
-            ix, have = order[cut[p]: cut[p + 1]], self.pair[p]
-            ix = ix[known[ix]]
-            if len(ix) and len(have):
-                at = np.minimum(np.searchsorted(have, keys[ix]), len(have) - 1)
-                hit = np.asarray(have[at]) == keys[ix]
-                out[ix[hit]] = self.pairs[p][at[hit]]
-        return out
+        hot = self.m["hot"]
+        at = np.minimum(np.searchsorted(hot, ids), len(hot) - 1)
+        is_hot = hot[at] == ids
+        total[is_hot], tail[is_hot] = self.m["hot_totals"][at[is_hot]], self.m["hot_tails"][at[is_hot]]
+        return total, tail @ self.m["d2"][1:] / np.maximum(total, 1)
+
+    def after_pairs(self, part: np.ndarray, place: np.ndarray, words: np.ndarray, lower: np.ndarray) -> np.ndarray:
+        """Probabilities of words after the pairs at places, from those one order below."""
+        d, total = self.m["d3"], _at(self.seen, part, place)
+        c, tail = np.zeros(len(words), np.int64), np.zeros((len(words), 3))
+        key = place.astype(np.uint64) << np.uint64(32) | words
+        by = np.lexsort((key, np.where(place >= 0, part, -1)))
+        for p, ix in _by_part(np.where(place >= 0, part, -1)[by]):
+            ix, have = by[ix], self.triple[p]
+            if len(have):
+                at = np.minimum(np.searchsorted(have, key[ix]), len(have) - 1)
+                c[ix] = np.where(np.asarray(have[at]) == key[ix], self.triples[p][at], 0)
+                tail[ix] = self.follow[p][:, place[ix]].T
+        own = np.maximum(c - d[np.minimum(c, 3)], 0) / np.maximum(total, 1) + tail @ d[1:] / np.maximum(total, 1) * lower
+        return np.where(total > 0, own, lower)
 
     def score(self, h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per row: known tokens, base score and the model's log10 probability."""
         m = self.m
         ids = self.vocabulary.numbers(h)
         u, place = np.unique(ids, return_inverse=True)
-        c, p, weight = self.words(u)
+        c, p = self.words(u)
         base = np.log10((c + 1) / (m["tokens"] + m["words"] + 1))[place]
-        v = _contexts(ids, at)
-        keys, where = np.unique(v << np.uint64(32) | ids, return_inverse=True)
-        pair = self.pair_counts(keys)
-        kv = keys >> np.uint64(32)
-        ku = np.searchsorted(u, kv)  # every context but the start is a word of the slice
-        ku[kv == START_ID] = 0
-        total = np.where(kv == START_ID, m["starters"], c[ku])
-        hot_at = len(m["hot"]) - 1  # the start is the largest common context
-        start_weight = float(m["hot_tails"][hot_at] @ m["d2"][1:]) / max(m["starters"], 1)
-        g = np.where(kv == START_ID, start_weight, weight[ku])
-        lower = p[np.searchsorted(u, keys & np.uint64(0xFFFFFFFF))]
-        own = np.where(total > 0, np.maximum(pair - m["d2"][np.minimum(pair, 3)], 0) / np.maximum(total, 1) + g * lower, lower)
-        first = at[:-1]
+        keys, where = np.unique(_contexts(ids, at) << np.uint64(32) | ids, return_inverse=True)
+        part, spot = self.pairs.places(keys)
+        k = _at(self.seen if m["order"] == 2 else self.kinds, part, spot)
+        v, of = np.unique(keys >> np.uint64(32), return_inverse=True)
+        total, weight = (x[of] for x in self.contexts(v))
+        lower = p[np.searchsorted(u, keys & LOW)]
+        own = np.where(total > 0, np.maximum(k - m["d2"][np.minimum(k, 3)], 0) / np.maximum(total, 1) + weight * lower, lower)
+        own, first = own[where], at[:-1]
+        if m["order"] == 3:  # the pair that ends before a word is its context
+            later = np.setdiff1d(np.arange(len(ids)), first, assume_unique=True)
+            before = where[later - 1]
+            own[later] = self.after_pairs(part[before], spot[before], ids[later], own[later])
         return (np.add.reduceat((c > 0).astype(np.int64)[place], first), np.add.reduceat(base, first),
-                np.add.reduceat(np.log10(own)[where], first))
+                np.add.reduceat(np.log10(own), first))
 
 
 def score(docs: DataFrame, model: dict, *more: Column) -> DataFrame:
@@ -412,7 +528,7 @@ def score(docs: DataFrame, model: dict, *more: Column) -> DataFrame:
     return sent.mapInArrow(run, ", ".join([*kinds, "n_tokens long, n_known long, base_score double, score double"]))
 
 
-def fit_and_score(docs: DataFrame, held: Column, *more: Column) -> DataFrame:
+def fit_and_score(docs: DataFrame, held: Column, *more: Column, order: int = 3) -> DataFrame:
     """Scores of all documents under the model of those that are not held out; ``more`` columns come along."""
-    model = train(docs, ~held)
+    model = train(docs, ~held, order=order)
     return score(docs, model, *more, held).withColumn("train_tokens", F.lit(model["tokens"]).cast("bigint"))

@@ -245,49 +245,68 @@ def test_fingerprints_see_small_changes_and_shared_passages(spark):
     assert got[2].near_next > 100 * got[3].near_next  # pieces of unrelated words meet by chance only
 
 
-def test_kneser_ney(spark, docs):
-    train, held = [], {}
-    for i, text, _, _ in docs:
-        held[i] = crc(i) % 7 == 2
-        if not held[i]:
-            train.append([*words(text), "</s>"])
-    uni, pairs = Counter(), Counter()
+def _kneser_ney(train, order):
+    """Dictionary model: the probability of a word after up to ``order`` - 1 words, and counts of words."""
+    raw = [Counter() for _ in range(order + 1)]
     for d in train:
-        uni.update(d)
-        pairs.update(zip(["<s>", *d[:-1]], d))
-    n, v = sum(uni.values()), len(uni)
-
-    def discount(counts):
-        t = [sum(c == k for c in counts) for k in (1, 2, 3, 4)]
+        padded = ["<s>", *d]
+        for i in range(1, len(padded)):
+            raw[1][padded[i],] += 1
+            for n in range(2, order + 1):
+                if i - n + 1 >= 0:
+                    raw[n][tuple(padded[i - n + 1: i + 1])] += 1
+    level = [None] * (order + 1)
+    for n in range(1, order + 1):
+        level[n] = Counter(raw[n]) if n == order else Counter(g[1:] for g in raw[n + 1])
+        if 1 < n < order:
+            level[n].update({g: c for g, c in raw[n].items() if g[0] == "<s>"})
+    disc, sums, tails = [None], [None], [None]
+    for n in range(1, order + 1):
+        t = [sum(c == k for c in level[n].values()) for k in (1, 2, 3, 4)]
         y = t[0] / (t[0] + 2 * t[1])
-        return [0] + [k - (k + 1) * y * t[k] / t[k - 1] for k in (1, 2, 3)]
-
-    cont = Counter(w for _, w in pairs)
-    d2, d1 = discount(pairs.values()), discount(cont.values())
-    after, tails = Counter(), defaultdict(lambda: [0, 0, 0, 0])
-    for (a, _), c in pairs.items():
-        after[a] += c
-        tails[a][min(c, 3)] += 1
-    g1 = sum(d1[min(c, 3)] for c in cont.values()) / len(pairs)
-
-    def low(w):
-        return max(cont[w] - d1[min(cont[w], 3)], 0) / len(pairs) + g1 / (v + 1)
-
-    def prob(a, w):
-        if not after[a]:
-            return low(w)
-        g = sum(d2[k] * tails[a][k] for k in (1, 2, 3)) / after[a]
-        return max(pairs[a, w] - d2[min(pairs[a, w], 3)], 0) / after[a] + g * low(w)
-
-    got = {r.doc_id: r for r in rows(spark, "op9_kneser_ney_scores")}
+        disc.append([0] + [k - (k + 1) * y * t[k] / t[k - 1] for k in (1, 2, 3)])
+        sums.append(Counter())
+        tails.append(defaultdict(lambda: [0, 0, 0, 0]))
+        for g, c in level[n].items():
+            sums[n][g[:-1]] += c
+            tails[n][g[:-1]][min(c, 3)] += 1
+
+    def prob(context, w):
+        n = len(context) + 1
+        below = 1 / (len(raw[1]) + 1) if n == 1 else prob(context[1:], w)
+        total = sums[n][context]
+        if not total:
+            return below
+        c, d = level[n][(*context, w)], disc[n]
+        return max(c - d[min(c, 3)], 0) / total + sum(d[k] * tails[n][context][k] for k in (1, 2, 3)) / total * below
+
+    return prob, {g[0]: c for g, c in raw[1].items()}
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_kneser_ney(spark, docs, order):
+    from riskflow.llm import common, ngram_lm
+
+    held = {i: crc(i) % 7 == 2 for i, *_ in docs}
+    train = [[*words(text), "</s>"] for i, text, *_ in docs if not held[i]]
+    prob, uni = _kneser_ney(train, order)
+    n, v = sum(uni.values()), len(uni)
+    if order == 3:
+        got = {r.doc_id: r for r in rows(spark, "op9_kneser_ney_scores")}
+    else:
+        d = spark.read.parquet(f"{SMALL}/documents.parquet")
+        d = ngram_lm.fit_and_score(d, common.crc_mod("doc_id", 7) == 2, F.col("doc_id"), order=2)
+        got = {r.doc_id: r for r in d.withColumnsRenamed({"c0": "doc_id", "c1": "held_out"}).collect()}
     for i, text, _, _ in docs:
         t = [*words(text), "</s>"]
         r = got[i]
-        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(t), sum(uni[w] > 0 for w in t), n)
-        assert r.base_score == pytest.approx(sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in t))
-        assert r.score == pytest.approx(sum(math.log10(prob(a, w)) for a, w in zip(["<s>", *t[:-1]], t)))
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(t), sum(uni.get(w, 0) > 0 for w in t), n)
+        assert r.base_score == pytest.approx(sum(math.log10((uni.get(w, 0) + 1) / (n + v + 1)) for w in t))
+        padded = ["<s>", *t]
+        assert r.score == pytest.approx(sum(math.log10(prob(tuple(padded[max(0, k - order + 1): k]), padded[k]))
+                                            for k in range(1, len(padded))))
     # a context's probabilities, unknown words included, sum to one
-    for a in ["<s>", "the", "nowhere"]:
+    for a in [("<s>",), ("the",), ("nowhere",), tuple(train[0][:2])[-order + 1:], ("<s>", train[0][0])[-order + 1:]]:
         assert sum(prob(a, w) for w in uni) + prob(a, "<unknown>") == pytest.approx(1)
     out = [r for r in got.values() if r.held_out]
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
