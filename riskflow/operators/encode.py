@@ -108,14 +108,35 @@ def cardinality_gate(stats: DataFrame, cols: list[str], lo: int = 2, hi: int = D
     return j.withColumn("gated", (F.col("n_distinct") >= lo) & (F.col("n_distinct") <= hi))
 
 
+def _label_mean(df: DataFrame, target: str) -> float | None:
+    return df.agg(F.avg(F.col(target).cast("double"))).first()[0]
+
+
+def sketched_gate(df: DataFrame, cols: list[str], hi: int = DEFAULT.max_te_card, s: Settings = DEFAULT) -> list[str]:
+    """The columns that may have at most ``hi`` distinct values: one pass of mergeable sketches, no value is shuffled.
+
+    A column is ruled out only where the estimate is two times ``hi``, twenty standard errors above it; ``cardinality_gate``
+    counts the others exactly."""
+    out = []
+    for at in range(0, len(cols), s.agg_chunk):
+        part = cols[at: at + s.agg_chunk]
+        row = df.agg(*[F.approx_count_distinct(F.col(c).cast("string"), 0.05).alias(f"c{i}") for i, c in enumerate(part)]).first()
+        out += [c for i, c in enumerate(part) if row[f"c{i}"] <= 2 * hi]
+    return out
+
+
 def target_state(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | None = None,
                  s: Settings = DEFAULT, stats: DataFrame | None = None) -> tuple[DataFrame, float, list[str]]:
     """G2 state: (col, key, value = label mean) for string columns with 2..max_te_card values, and the global mean."""
     cols = string_columns(df) if cols is None else cols
-    stats = category_stats(df, cols, target) if stats is None else stats
+    if stats is None:
+        cols = sketched_gate(df, cols, s.max_te_card, s)
+        if not cols:
+            return df.sparkSession.createDataFrame([], "col string, key string, value double"), _label_mean(df, target), []
+        stats = category_stats(df, cols, target)
     gate = cardinality_gate(stats, cols, 2, s.max_te_card)
     gated = [r["col"] for r in gate.where("gated").collect()]  # one row per text column
-    g = df.agg(F.avg(F.col(target).cast("double"))).first()[0]
+    g = _label_mean(df, target)
     state = stats.where(F.col("col").isin(gated)).select("col", "key", F.col("mean_y").alias("value"))
     return state, g, [c for c in cols if c in gated]
 
@@ -146,7 +167,7 @@ def encode_all(df: DataFrame, target: str = DEFAULT.target, cols: list[str] | No
     fit = fit_df if fit_df is not None else df
     if not cols:  # no text column: nothing to encode
         empty = df.sparkSession.createDataFrame([], "col string, key string, value double")
-        return Encoded(df, empty, empty, fit.agg(F.avg(F.col(target).cast("double"))).first()[0], [])
+        return Encoded(df, empty, empty, _label_mean(fit, target), [])
     stats = cut_lineage(category_stats(fit, cols, target), "category-stats")
     tot = fit.agg(F.count(F.lit(1)), F.avg(F.col(target).cast("double"))).first()
     n, g = tot[0], tot[1]

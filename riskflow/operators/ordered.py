@@ -9,6 +9,10 @@ the first order column (``percentile_approx`` -> ``Bucketizer``), ranked and
 summed inside each (group, bucket) window in parallel, and shifted by the
 totals of the earlier buckets, which form a small table of at most
 groups x buckets rows.
+
+The first cut has at most ``FIRST`` buckets. Those that hold too many rows are cut again by quantiles of their own,
+computed per bucket and joined to the rows, so no array of splits grows with the table. A split value is a bucket of its
+own, and a bucket of a single value (a hot value, or NULL) is cut by the second order column.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from riskflow.functions.numeric import nan_to_null
 from riskflow.session import cut_lineage
@@ -32,20 +37,67 @@ def bucket_count(n_rows: int, s: Settings = DEFAULT) -> int:
     return max(math.ceil(n_rows / s.rows_per_bucket), s.min_buckets)
 
 
-def quantile_splits(df: DataFrame, key: Column, n_buckets: int | None, s: Settings = DEFAULT) -> list[float]:
-    """Strictly increasing split points (with -inf/+inf ends) at approximate quantiles of ``key``.
-
-    Without ``n_buckets`` the row count is taken in the same pass as a first grid of quantiles, which only a table of
-    more than ``rows_per_bucket`` rows per grid cell needs to refine.
+FIRST = 1024   # most buckets of the first cut
+FAN = 64       # quantile steps of every later cut
+SENT = 50_000  # most buckets whose cuts, half a KB each, are sent to all tasks
+
+
+def _next_keys(df: DataFrame, order: list[Column]) -> list[Column]:
+    """The first two order columns as doubles that ascend with the order; one where the second is no number."""
+    kinds = df.select(*[o.alias(f"k{i}") for i, o in enumerate(order[:2])]).schema.fields
+    return [nan_to_null(o.cast("double")) for i, (o, f) in enumerate(zip(order, kinds)) if i == 0 or isinstance(f.dataType, NumericType)]
+
+
+def _cut_again(d: DataFrame, keys: list[Column], s: Settings) -> DataFrame | None:
+    """``d`` with the buckets ``_b`` of more than two times ``rows_per_bucket`` rows cut; None if none can be."""
+    probs = [i / FAN for i in range(1, FAN)]
+    k = [f"_k{i}" for i in range(len(keys))]
+    narrow = d.select("_b", *[x.alias(n) for x, n in zip(keys, k)])
+    aggs = [a for n in k for a in (F.min(n).alias(f"{n}lo"), F.max(n).alias(f"{n}hi"), F.count(n).alias(f"{n}n"),
+                                   F.percentile_approx(n, probs, 10_000).alias(f"{n}q"))]
+    sizes = narrow.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"), *aggs).where(F.col("_n") > 2 * s.rows_per_bucket)
+    several = [(F.col(f"{n}lo") < F.col(f"{n}hi")) | F.col(f"{n}n").between(1, F.col("_n") - 1) for n in k]
+    by = F.lit(None).cast("int")
+    for i in reversed(range(len(k))):
+        by = F.when(several[i], F.lit(i)).otherwise(by)
+    q = F.get(F.array(*[F.array_distinct(f"{n}q") for n in k]), F.col("_by"))
+    sizes = sizes.withColumn("_by", by).where("_by is not null").select("_b", "_by", q.alias("_q"))
+    sizes = cut_lineage(sizes, "bucket-cuts")  # a row per large bucket
+    large = sizes.count()
+    if not large:
+        return None
+    x = F.get(F.array(*keys), F.col("_by"))
+    below = F.size(F.filter("_q", lambda e: e < x))
+    step = F.when(F.col("_q").isNull(), F.lit(0)).when(x.isNull(), F.lit(2 * FAN)).otherwise(
+        2 * below + F.array_contains("_q", x).cast("int"))
+    sizes = F.broadcast(sizes) if large <= SENT else sizes
+    return d.join(sizes, "_b", "left").withColumn("_b", F.col("_b") * (4 * FAN) + step).drop("_by", "_q")
+
+
+def bucketed(df: DataFrame, order: list[Column], s: Settings = DEFAULT) -> DataFrame:
+    """``df`` with a bucket number ``_b`` that ascends with ``order``; NaN and then NULL first keys come last.
+
+    One pass gives the row count and a first grid of quantiles, which only a table of more than ``rows_per_bucket`` rows per
+    grid cell refines. Rows with equal values of both cutting columns stay together.
     """
-    grid = n_buckets or 4 * s.min_buckets
-    probs = [i / grid for i in range(1, grid)]
-    k = nan_to_null(key.cast("double"))
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(k, probs, max(10_000, 10 * grid)).alias("q")).first()
-    if n_buckets is None and bucket_count(row["n"], s) > grid:
-        return quantile_splits(df, key, bucket_count(row["n"], s), s)
-    qs = sorted({float(x) for x in (row["q"] or [])})
-    return [-math.inf, *(qs or [0.0]), math.inf]
+    keys = _next_keys(df, order)
+    quantiles = lambda n: F.percentile_approx(keys[0], [i / n for i in range(1, n)], max(10_000, 10 * n))
+    grid = 4 * s.min_buckets
+    row = df.agg(F.count(F.lit(1)).alias("n"), quantiles(grid).alias("q")).first()
+    n, q = row["n"], row["q"]
+    if bucket_count(n, s) > grid:
+        q = df.agg(quantiles(min(bucket_count(n, s), FIRST)).alias("q")).first()["q"]
+    splits = [-math.inf, *(sorted({float(x) for x in q or []}) or [0.0]), math.inf]
+    d = df.withColumn("_okey", F.coalesce(keys[0], F.lit(math.inf)))
+    d = Bucketizer(splits=splits, inputCol="_okey", outputCol="_b").transform(d).drop("_okey")
+    last = F.when(keys[0].isNull(), F.lit(len(splits)) + order[0].isNull().cast("int"))  # NaN before NULL
+    d = d.withColumn("_b", F.coalesce(last, F.col("_b")).cast("bigint"))
+    for _ in range(5):  # 8 bits of the number each
+        cut = _cut_again(d, keys, s) if n > 2 * s.rows_per_bucket else None
+        if cut is None:
+            break
+        d = cut
+    return d
 
 
 def ordered_prefix(
@@ -56,22 +108,20 @@ def ordered_prefix(
     rank_col: str = "_rank",
     cum_prefix: str = "cum_",
     s: Settings = DEFAULT,
-    splits: list[float] | None = None,
+    bucket: Column | None = None,
 ) -> DataFrame:
     """Add ``rank_col`` (1-based, within ``by``, ascending ``order``) and ``cum_<c>`` inclusive running sums.
 
     ``order`` must be a total order (end it with a unique key) and its first item numeric. Every row is kept: NULL order
-    keys come last (after NaN), NULL group keys are one group. ``splits`` (with infinite ends) replaces the quantile
-    pass where the first key's distribution is known. The ranked buckets are stored once; the totals are read from them.
+    keys come last (after NaN), NULL group keys are one group. ``bucket``, a number that ascends with the order (NULL: last),
+    replaces the quantile pass where the first key's distribution is known. The ranked buckets are stored once; the totals are read from them.
     """
     by = list(by)
     order_cols = [_col(o) for o in order]
-    if splits is None:
-        splits = quantile_splits(df, order_cols[0], None, s)
-    k = nan_to_null(order_cols[0].cast("double"))
-    d = df.withColumn("_okey", F.coalesce(k, F.lit(math.inf)))
-    d = Bucketizer(splits=splits, inputCol="_okey", outputCol="_b").transform(d)
-    d = d.withColumn("_b", F.when(k.isNull(), F.lit(float(len(splits)))).otherwise(F.col("_b"))).drop("_okey")
+    if bucket is None:
+        d = bucketed(df, order_cols, s)
+    else:
+        d = df.withColumn("_b", F.coalesce(bucket.cast("bigint"), F.lit(2**62)))
     part = [*by, "_b"]
     w_rank = Window.partitionBy(*part).orderBy(*[c.asc_nulls_last() for c in order_cols])
     w_run = w_rank.rowsBetween(Window.unboundedPreceding, Window.currentRow)

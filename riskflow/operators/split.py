@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.functions.hashing import hash32
@@ -40,13 +40,12 @@ def class_ranks(df: DataFrame, label: str = DEFAULT.target, id_col: str = DEFAUL
                 s: Settings = DEFAULT) -> DataFrame:
     """Rank (1-based) of every row inside its class under (hash32(id, seed), id)."""
     d = df.withColumn("_h", hash32(id_col, str(seed)))
-    return ordered_prefix(d, order=["_h", id_col], by=[label], splits=hash_splits(df.count(), s), s=s).drop("_h")
+    return ordered_prefix(d, order=["_h", id_col], by=[label], bucket=hash_bucket(bucket_count(df.count(), s)), s=s).drop("_h")
 
 
-def hash_splits(n_rows: int, s: Settings = DEFAULT) -> list[float]:
-    """Equal ranges of the uniform 32-bit hash: no quantile pass is needed."""
-    n = bucket_count(n_rows, s)
-    return [-math.inf, *[i * 2.0**32 / n for i in range(1, n)], math.inf]
+def hash_bucket(n: int, below: int = 2**32) -> Column:
+    """The one of ``n`` equal ranges of [0, below) that the uniform 32-bit hash ``_h`` lies in: no quantile pass, no splits."""
+    return F.floor(F.col("_h") * F.lit(n / below))
 
 
 def stratified_split(df: DataFrame, label: str = DEFAULT.target, id_col: str = DEFAULT.id_col,
@@ -96,8 +95,7 @@ def subsample_n(df: DataFrame, n: int, id_col: str = DEFAULT.id_col, seed: int =
             break
         share *= 2
     size = max(1, math.ceil(found / s.rows_per_bucket), s.min_buckets)
-    splits = [-math.inf, *[i * min(cut, 2**32) / size for i in range(1, size)], math.inf]
-    last = ordered_prefix(near, order=["_h", "_id"], splits=splits, s=s).where(F.col("_rank") == n).select("_h", "_id").first()
+    last = ordered_prefix(near, order=["_h", "_id"], bucket=hash_bucket(size, min(cut, 2**32)), s=s).where(F.col("_rank") == n).select("_h", "_id").first()
     if last is None:  # null ids have no hash; they come last
         return df.where(h.isNotNull())
     return df.where((h < F.lit(last["_h"])) | ((h == F.lit(last["_h"])) & (F.col(id_col) <= F.lit(last["_id"]))))
