@@ -199,6 +199,18 @@ def _at(arrays: list, part: np.ndarray, place: np.ndarray) -> np.ndarray:
     return out
 
 
+def _first_at_least(have: np.ndarray, x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Per k, the first place of have[lo[k]: hi[k]], which ascends, with a value of x[k] or more; hi[k] without one."""
+    lo, hi = lo.copy(), hi.copy()
+    open_ = np.flatnonzero(lo < hi)
+    while len(open_):
+        mid = (lo[open_] + hi[open_]) // 2
+        less = have[mid] < x[open_]
+        lo[open_[less]], hi[open_[~less]] = mid[less] + 1, mid[~less]
+        open_ = open_[lo[open_] < hi[open_]]
+    return lo
+
+
 def tokens(batch: pa.RecordBatch, text: str):
     """Per slice of rows: word hashes with END after each row's words, and the offsets of the rows."""
     for part in row_slices(batch, text):
@@ -372,9 +384,10 @@ def train(docs: DataFrame, chosen: Column, folder: str | None = None, order: int
         p = x.column("p")[0].as_py()
         k, c = _merged(x)
         first = _map(f"{path}/pair-{p}.npy")
-        _save(f"{path}/triple-{p}.npy", k)
-        _save(f"{path}/triples-{p}.npy", _least(c))
         at = (k >> np.uint64(32)).astype(np.int64)
+        _save(f"{path}/triple-{p}.npy", k.astype(np.uint32))  # the words; those after pair i are at from[i]:from[i + 1]
+        _save(f"{path}/from-{p}.npy", _least(np.r_[0, np.cumsum(np.bincount(at, minlength=len(first)))]))
+        _save(f"{path}/triples-{p}.npy", _least(c))
         _save(f"{path}/follow-{p}.npy", _least(_tails(c, at, len(first))))
         u, m = _counted((np.asarray(first)[at] & LOW) << np.uint64(32) | k & LOW)
         return _sent(_deal(u, m, Pairs(path, starts, hot).part(u)), c, [])
@@ -388,21 +401,23 @@ def train(docs: DataFrame, chosen: Column, folder: str | None = None, order: int
         first = have >> np.uint64(32) == START_ID
         kinds[first] = np.asarray(_map(f"{path}/pairs-{p}.npy"))[first]
         _save(f"{path}/kinds-{p}.npy", _least(kinds))
+        above = [v.as_py() for v in x.column("few") if v.is_valid]
         return pa.table({"few": pa.array([_few(kinds)], pa.list_(pa.int64())),
+                         "above": pa.array([np.sum([[0] * 4, *above], axis=0).tolist()], pa.list_(pa.int64())),
                          "tails": pa.array([contexts(p, have, kinds)], pa.list_(pa.list_(pa.int64())))})
 
     deal = "p int, raw binary, few array<long>, tails array<array<long>>"
     made = stage(text.mapInArrow(pairs, "p int, raw binary").groupBy("p").applyInArrow(merge, deal), "lm-pairs")
     context_rows = made
     if order == 3:
-        followed = stage(text.mapInArrow(triples, "p int, raw binary").groupBy("p").applyInArrow(merge_triples, deal),
-                         "lm-triples")
-        few = np.sum([[0] * 4, *[r["few"] for r in followed.filter("few is not null").select("few").collect()]], axis=0)
-        model["d3"] = discounts(few.tolist())
+        # not written in between: only files are made on the way, and the same ones if a task is repeated
+        followed = text.mapInArrow(triples, "p int, raw binary").groupBy("p").applyInArrow(merge_triples, deal)
         none = squeeze(np.zeros(0, np.uint64), np.zeros(0, np.int64))  # a part of first pairs alone gets no other row
-        every = spark.range(2 * parts).select(F.col("id").cast("int").alias("p"), F.lit(none).alias("raw"))
-        context_rows = stage(followed.select("p", "raw").unionByName(every).groupBy("p").applyInArrow(
-            before_pairs, "few array<long>, tails array<array<long>>"), "lm-before")
+        every = spark.range(2 * parts).select(F.col("id").cast("int").alias("p"), F.lit(none).alias("raw"),
+                                              F.lit(None).cast("array<long>").alias("few"))
+        context_rows = stage(followed.select("p", "raw", "few").unionByName(every).groupBy("p").applyInArrow(
+            before_pairs, "few array<long>, above array<long>, tails array<array<long>>"), "lm-before")
+        model["d3"] = discounts(np.sum([r["above"] for r in context_rows.select("above").collect()], axis=0).tolist())
     few, tails = np.zeros(4, np.int64), {}
     for r in context_rows.filter("few is not null").select("few", "tails").collect():
         few += np.array(r["few"])
@@ -441,7 +456,8 @@ class Model:
         self.count, self.cont, self.total, self.tails = of("count"), of("cont"), of("total"), of("tails")
         self.seen = of("pairs", 2)
         if model["order"] == 3:
-            self.kinds, self.triple, self.triples, self.follow = (of(x, 2) for x in ("kinds", "triple", "triples", "follow"))
+            self.kinds, self.triple, self.triples = of("kinds", 2), of("triple", 2), of("triples", 2)
+            self.follow, self.start = of("follow", 2), of("from", 2)
 
     def _of(self, arrays: list, ids: np.ndarray) -> np.ndarray:
         """Values at ascending word numbers; 0 for unknown ones."""
@@ -476,14 +492,15 @@ class Model:
         """Probabilities of words after the pairs at places, from those one order below."""
         d, total = self.m["d3"], _at(self.seen, part, place)
         c, tail = np.zeros(len(words), np.int64), np.zeros((len(words), 3))
-        key = place.astype(np.uint64) << np.uint64(32) | words
-        by = np.lexsort((key, np.where(place >= 0, part, -1)))
-        for p, ix in _by_part(np.where(place >= 0, part, -1)[by]):
-            ix, have = by[ix], self.triple[p]
+        for p, ix in _by_part(np.where(place >= 0, part, -1)):
+            have, spot = self.triple[p], place[ix]
             if len(have):
-                at = np.minimum(np.searchsorted(have, key[ix]), len(have) - 1)
-                c[ix] = np.where(np.asarray(have[at]) == key[ix], self.triples[p][at], 0)
-                tail[ix] = self.follow[p][:, place[ix]].T
+                lo, end = (np.asarray(self.start[p][spot + k]).astype(np.int64) for k in (0, 1))
+                at = _first_at_least(have, words[ix], lo, end)
+                hit = np.flatnonzero(at < end)
+                hit = hit[have[at[hit]] == words[ix[hit]]]
+                c[ix[hit]] = self.triples[p][at[hit]]
+                tail[ix] = self.follow[p][:, spot].T
         own = np.maximum(c - d[np.minimum(c, 3)], 0) / np.maximum(total, 1) + tail @ d[1:] / np.maximum(total, 1) * lower
         return np.where(total > 0, own, lower)
 
