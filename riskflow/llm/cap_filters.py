@@ -4,7 +4,9 @@ The space is cut into two blocks of dimensions with a code of B random unit vect
 directions. Every vector is owned by its best direction, at inner product a. A vector v that is within the angle t of
 an owned vector u lies within arccos(a(u)) + t of u's direction, so list-decoding v to all directions that exceed
 cos(arccos(lowest a of that direction's owners) + t) meets every near vector: unlike symmetric random filters this
-loses no pair, and each ordered pair meets in exactly one direction, u's. Vectors and owners are joined on (label,
+loses no pair, and each ordered pair meets in exactly one direction, u's. A direction is also passed over where u would
+have to be further away for it to be best in both blocks: if c is v's best word of a block and u's is c', then u and v differ
+there by at least g = (v.c - v.c') / |c - c'|, so that g1^2 + g2^2 may not exceed |u - v|^2 <= 2 - 2 cos t. Vectors and owners are joined on (label,
 direction) and verified in double precision in blocks. B grows with the square root of the largest label's rows, so a
 direction's list stays about as long at every size; long lists (common vectors) are cut into blocks of bounded size for
 both sides, and pairs are never emitted: a block gives link counts and a spanning forest of its links.
@@ -58,11 +60,30 @@ def products(x: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return x[:, : a.shape[1]] @ a.T, x[:, a.shape[1]:] @ b.T
 
 
-def decode(p: np.ndarray, q: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """All directions (i * B + j) with p[i] + q[j] >= least, and the sums; only block words that can reach it are paired."""
-    i, j = np.flatnonzero(p >= least - q.max()), np.flatnonzero(q >= least - p.max())
+@lru_cache(maxsize=64)
+def apart(dim: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distances between the words of either block."""
+    out = []
+    for c in code(dim, words):
+        n = (c * c).sum(axis=1)
+        out.append(np.sqrt(np.maximum(n[:, None] + n[None, :] - 2 * c @ c.T, 0)))
+    return out[0], out[1]
+
+
+def gaps(p: np.ndarray, distances: np.ndarray) -> np.ndarray:
+    """Per row and word, the square of the least distance to a vector for which that word is the block's best."""
+    best = p.argmax(axis=1)
+    d = distances[best]
+    return np.divide(p[np.arange(len(p)), best][:, None] - p, d, out=np.zeros_like(p), where=d > 1e-6) ** 2
+
+
+def decode(p: np.ndarray, q: np.ndarray, least: float, gp: np.ndarray, gq: np.ndarray, far: float
+           ) -> tuple[np.ndarray, np.ndarray]:
+    """All directions (i * B + j) with p[i] + q[j] >= least and gp[i] + gq[j] <= far, and the sums of p and q; only block
+    words that can reach both are paired."""
+    i, j = np.flatnonzero((p >= least - q.max()) & (gp <= far)), np.flatnonzero((q >= least - p.max()) & (gq <= far))
     s = p[i][:, None] + q[j][None, :]
-    r, c = np.nonzero(s >= least)
+    r, c = np.nonzero((s >= least) & (gp[i][:, None] + gq[j][None, :] <= far))
     return (i[r] * len(q) + j[c]).astype(np.int64), s[r, c]
 
 
@@ -105,7 +126,7 @@ def _linked(x: pa.Table, cosine: float) -> pa.Table:
 
 def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
     """vec_id, n_links, component_id, kept (vec_id = component_id) of every row (vec_id, embedding, label)."""
-    angle = math.acos(cosine) + SLACK
+    angle, far = math.acos(cosine) + SLACK, 2 - 2 * cosine + 1e-6  # as above; a gap's rounding is below 1e-9
     ok = F.expr("vec_id is not null and label is not null and size(embedding) > 0 and "
                 "forall(embedding, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and "
                 "exists(embedding, x -> x != 0)")
@@ -137,8 +158,9 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE) -> DataFrame:
             found: list = [None] * b.num_rows
             for at, x in _by_dim(b):
                 p, q = products(x, words)
+                gp, gq = (gaps(y, d) for y, d in zip((p, q), apart(x.shape[1], words)))
                 for k, r in enumerate(at):
-                    found[r] = decode(p[k], q[k], reach)
+                    found[r] = decode(p[k], q[k], reach, gp[k], gq[k], far)
             off = np.cumsum([0, *[len(f[0]) for f in found]]).astype(np.int32)
             cells = pa.array(np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64))
             ips = pa.array(np.concatenate([f[1] for f in found]) if found else np.zeros(0))

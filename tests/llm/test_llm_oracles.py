@@ -527,5 +527,14 @@ def test_near_vectors_parts(spark):
     angle = math.acos(0.98)
     near = [k for k in range(400) if cos[k] >= 0.98]
     assert len(near) > 100
+    gp, gq = (C.gaps(x, d) for x, d in zip((pv, qv), C.apart(16, 9)))
+    kept = total = 0
     for k in near:
-        assert cell[k] in set(C.decode(pv[k], qv[k], math.cos(math.acos(a[k]) + angle) - 1e-9)[0])
+        least = math.cos(math.acos(a[k]) + angle) - 1e-9
+        found = C.decode(pv[k], qv[k], least, gp[k], gq[k], 2 - 2 * 0.98 + 1e-6)[0]
+        every = C.decode(pv[k], qv[k], least, gp[k], gq[k], math.inf)[0]
+        assert cell[k] in set(found) and set(found) <= set(every)
+        kept, total = kept + len(found), total + len(every)
+    assert kept < total  # the gaps pass over directions that the inner products alone admit
+    # the direction that is best for v itself is at no distance
+    assert (gp.min(1) == 0).all() and (gp[np.arange(400), pv.argmax(1)] == 0).all()
