@@ -388,7 +388,8 @@ def train(docs: DataFrame, chosen: Column, folder: str | None = None, order: int
         _save(f"{path}/triple-{p}.npy", k.astype(np.uint32))  # the words; those after pair i are at from[i]:from[i + 1]
         _save(f"{path}/from-{p}.npy", _least(np.r_[0, np.cumsum(np.bincount(at, minlength=len(first)))]))
         _save(f"{path}/triples-{p}.npy", _least(c))
-        _save(f"{path}/follow-{p}.npy", _least(_tails(c, at, len(first))))
+        for i, n in enumerate(_tails(c, at, len(first))[:2]):  # the rest of a pair's followers have 3 or more
+            _save(f"{path}/follow{i + 1}-{p}.npy", _least(n))
         u, m = _counted((np.asarray(first)[at] & LOW) << np.uint64(32) | k & LOW)
         return _sent(_deal(u, m, Pairs(path, starts, hot).part(u)), c, [])
 
@@ -457,7 +458,7 @@ class Model:
         self.seen = of("pairs", 2)
         if model["order"] == 3:
             self.kinds, self.triple, self.triples = of("kinds", 2), of("triple", 2), of("triples", 2)
-            self.follow, self.start = of("follow", 2), of("from", 2)
+            self.start, self.once, self.twice = of("from", 2), of("follow1", 2), of("follow2", 2)
 
     def _of(self, arrays: list, ids: np.ndarray) -> np.ndarray:
         """Values at ascending word numbers; 0 for unknown ones."""
@@ -500,7 +501,8 @@ class Model:
                 hit = np.flatnonzero(at < end)
                 hit = hit[have[at[hit]] == words[ix[hit]]]
                 c[ix[hit]] = self.triples[p][at[hit]]
-                tail[ix] = self.follow[p][:, spot].T
+                one, two = (np.asarray(x[p][spot]).astype(np.int64) for x in (self.once, self.twice))
+                tail[ix] = np.stack([one, two, end - lo - one - two], axis=1)
         own = np.maximum(c - d[np.minimum(c, 3)], 0) / np.maximum(total, 1) + tail @ d[1:] / np.maximum(total, 1) * lower
         return np.where(total > 0, own, lower)
 
