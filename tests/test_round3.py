@@ -490,3 +490,17 @@ def test_train_report(spark):
     p = reg["prefix_sizes"].fn(spark, SMALL)
     full = next(r for r in m if r["src"] == "baseline" and r["model"].startswith("GBT"))
     assert p.where("size = 10").first()["auc"] == pytest.approx(full["auc"], abs=1e-9)
+
+
+# ---- stored once, one exchange ----------------------------------------------------------------------------------------------
+
+
+def test_segments_read_their_rows_from_storage(spark):
+    """The quantiles' passes and the metrics read one stored table, not the joins behind it."""
+    from riskflow.plans.catalog import load_all
+
+    load_all()
+    from riskflow.plans import queries_eval as QE
+
+    d = QE._vscored(spark, SMALL)
+    assert stage_path(d) is not None and "Join" not in plan(d).split("Physical Plan")[1]
