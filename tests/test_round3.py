@@ -504,3 +504,25 @@ def test_segments_read_their_rows_from_storage(spark):
 
     d = QE._vscored(spark, SMALL)
     assert stage_path(d) is not None and "Join" not in plan(d).split("Physical Plan")[1]
+
+
+def _behavior_frame(spark, rows):
+    return spark.createDataFrame(rows, "TransactionID long, isFraud int, TransactionDT long, TransactionAmt double, card1 long, "
+                                       "addr1 double, P_emaildomain_provider string")
+
+
+def test_behavior_by_one_exchange(spark):
+    """Windows over cards equal the joins, NULLs included, and deal the rows once; hot cards and repeated or NULL row keys take the joins."""
+    rng = random.Random(12)
+    maybe = lambda v, p=0.1: None if rng.random() < p else v
+    rows = [(i, int(rng.random() < 0.3), maybe(rng.randrange(400)), maybe(round(rng.uniform(1, 90), 2)), maybe(rng.randrange(15)),
+             maybe(rng.choice([1.0, 2.5, 77.0, float("nan")])), maybe(rng.choice(["gmail", "other"]))) for i in range(500)]
+    df = cut_lineage(_behavior_frame(spark, rows), "behavior-rows")
+    by_card, joined = B.behavior_features(df), B.behavior_features(df, DEFAULT.with_(rows_per_bucket=20))
+    assert by_card.columns == joined.columns
+    text = plan(by_card).split("Physical Plan")[1]
+    assert text.count("Exchange") == 1 and "Join" not in text and "Join" in plan(joined)
+    a, b = (d.toPandas().sort_values("TransactionID").reset_index(drop=True) for d in (by_card, joined))
+    pd.testing.assert_frame_equal(a, b, check_dtype=False, rtol=1e-9)
+    for extra in (rows[:1], [(None, *rows[0][1:])]):
+        assert "Join" in plan(B.behavior_features(cut_lineage(_behavior_frame(spark, rows + extra), "behavior-rows")))
