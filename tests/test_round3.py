@@ -526,3 +526,10 @@ def test_behavior_by_one_exchange(spark):
     pd.testing.assert_frame_equal(a, b, check_dtype=False, rtol=1e-9)
     for extra in (rows[:1], [(None, *rows[0][1:])]):
         assert "Join" in plan(B.behavior_features(cut_lineage(_behavior_frame(spark, rows + extra), "behavior-rows")))
+
+
+def test_few_valued_columns_are_encoded_without_an_exchange(spark):
+    df = _text_frame(spark, 4).drop("c0")
+    enc = E.encode_all(df)
+    assert set(enc.gated) == {"c1", "c2", "c3"}
+    assert "Exchange" not in plan(enc.df).split("Physical Plan")[1].replace("Exchange SinglePartition", "")
