@@ -533,3 +533,15 @@ def test_few_valued_columns_are_encoded_without_an_exchange(spark):
     enc = E.encode_all(df)
     assert set(enc.gated) == {"c1", "c2", "c3"}
     assert "Exchange" not in plan(enc.df).split("Physical Plan")[1].replace("Exchange SinglePartition", "")
+
+
+def test_model_matrix_is_stored_before_its_fits(spark):
+    """The importance fit and the chosen columns read the stored matrix, with the features in their order."""
+    rng = random.Random(3)
+    rows = [(i, int(i % 3 == 0), float(i % 3 == 0) + rng.random(), 1.0, rng.random()) for i in range(200)]
+    df = spark.createDataFrame(rows, "TransactionID long, isFraud int, a double, k double, b double")
+    mx = M.model_matrix(df, DEFAULT.with_(gbt_trees=2, gbt_depth=2), importance_select=True)
+    assert "Join" not in plan(mx.train) and "k" not in mx.names and "a" in mx.names
+    want = {r["TransactionID"]: [r[c] for c in mx.names] for r in df.collect()}
+    got = {r["TransactionID"]: r["features"].toArray().tolist() for d in (mx.train, mx.valid) for r in d.collect()}
+    assert got == want and TB.feature_names(mx.train) == mx.names
