@@ -7,8 +7,9 @@ the frequent pairs), the prefix totals (a word's occurrences are the sum of its
 to all its words) and the largest longer phrase around each phrase. A stripe is split into ``SHARDS`` by the following word,
 so that a word with a third of all occurrences is spread over tasks. Longer prefixes are counted in a second pass, only where
 all pairs inside are frequent, as every part of a frequent phrase is: while the frequent pairs are at most ``MAX_PAIRS``
-(8 bytes each) all tasks get them, beyond that every longer phrase is counted; the results are equal. A last pass finds the
-words of the ids that are left.
+(8 bytes each) all tasks get them, beyond that every longer phrase is counted; the results are equal. A position gives three
+words and the next in one row, so that rows stay below the words as more pairs become frequent. A last pass finds the words of
+the ids that are left.
 
 A candidate's score is floor(2000000 a / (l + r)) of its lowest cut (ties: the shorter first part), in decimals, so exact.
 Candidates inside a longer one with at least ``share`` percent of their occurrences go.
@@ -146,26 +147,36 @@ def _stripes(words: DataFrame, min_count: int) -> DataFrame:
     return merged.groupBy("lang", "w1", "shard", often.alias("w2")).agg(F.sum("n").alias("n"))
 
 
-def _longer(words: DataFrame, known: np.ndarray | None, min_count: int) -> DataFrame:
-    """(w, a) of the phrases of three and four words with ``min_count`` occurrences or more."""
+def _longer_posts(words: DataFrame, known: np.ndarray | None) -> DataFrame:
+    """(w1, w2, w3, w4, n): at a word position the phrase of three words, all pairs in ``known`` (None: all), and the word that
+    goes on with such a pair (0: none). One row a position at most, whatever share of the pairs is known."""
     sent = None if known is None else words.sparkSession.sparkContext.broadcast(known)
 
     def find(w):
-        n = len(w.ids)
+        n, x = len(w.ids), w.ids
         ok = w.more.copy()
         at = np.flatnonzero(ok)
-        ok[at] = _within(_pair(w.ids[at], w.ids[at + 1]), None if sent is None else sent.value)
+        ok[at] = _within(_pair(x[at], x[at + 1]), None if sent is None else sent.value)
         pad = np.zeros(3, bool)
         next1, next2 = np.r_[ok, pad][1: n + 1], np.r_[ok, pad][2: n + 2]
-        i, j = np.flatnonzero(ok & next1), np.flatnonzero(ok & next1 & next2)
-        x = w.ids
-        return (np.concatenate([x[i], x[j]]), np.concatenate([x[i + 1], x[j + 1]]), np.concatenate([x[i + 2], x[j + 2]]),
-                np.concatenate([np.zeros(len(i), np.int64), x[j + 3]]), np.ones(len(i) + len(j), np.int64))
+        i = np.flatnonzero(ok & next1)
+        on = np.where(next2[i], x[np.minimum(i + 3, n - 1)], 0)
+        return x[i], x[i + 1], x[i + 2], on, np.ones(len(i), np.int64)
 
     names = ["w1", "w2", "w3", "w4"]
-    posts = words.mapInArrow(lambda b: _flushed(b, find, names), "w1 long, w2 long, w3 long, w4 long, n long")
-    d = posts.groupBy(*names).agg(F.sum("n").alias("a")).filter(F.col("a") >= min_count)
-    return d.select(F.when(F.col("w4") == 0, F.array("w1", "w2", "w3")).otherwise(F.array(*names)).alias("w"), "a")
+    return words.mapInArrow(lambda b: _flushed(b, find, names), "w1 long, w2 long, w3 long, w4 long, n long")
+
+
+def _longer(words: DataFrame, known: np.ndarray | None, min_count: int) -> DataFrame:
+    """(w, a) of the phrases of three and four words with ``min_count`` occurrences or more; those of three words are the sums
+    over what goes on, in the same tasks."""
+    three = ["w1", "w2", "w3"]
+    posts = _longer_posts(words, known).repartition(*three)
+    d = posts.groupBy(*three, "w4").agg(F.sum("n").alias("n"))
+    often = F.when((F.col("w4") != 0) & (F.col("n") >= min_count), F.struct("w4", "n"))
+    d = d.groupBy(*three).agg(F.sum("n").alias("a"), F.collect_list(often).alias("on")).filter(F.col("a") >= min_count)
+    longest = F.transform("on", lambda x: F.struct(F.array(*three, x["w4"]).alias("w"), x["n"].alias("a")))
+    return d.select(F.inline(F.concat(F.array(F.struct(F.array(*three).alias("w"), "a")), longest)))
 
 
 def _dictionary(words: DataFrame, known: np.ndarray | None) -> DataFrame:

@@ -4,7 +4,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from riskflow.llm import collocations
 from riskflow.llm.queries import QUERIES
@@ -80,6 +82,26 @@ def test_flush_and_slices(spark, monkeypatch):
     assert got(spark, rows, min_count=4) == brute(rows, 4, 80, 2000)
 
 
+@pytest.mark.parametrize("all_pairs", [True, False])
+def test_one_row_a_position(spark, all_pairs):
+    rows = [("en", f"a b c d e{k} f g. h i") for k in range(50)]
+    words = spark.createDataFrame(rows, "lang string, text string").coalesce(1)
+    known = None if all_pairs else np.zeros(0, np.uint64)
+    posts = collocations._longer_posts(words, known)
+    x = posts.agg(F.count(F.lit(1)), F.sum("n"), F.sum(F.when(F.col("w4") != 0, F.col("n")))).first()
+    # a b c d once, the other four beginnings in each of 50 texts; the last of them has no fourth word
+    assert tuple(x) == ((1 + 4 * 50, 5 * 50, 4 * 50) if all_pairs else (0, None, None))
+    found = sorted((len(w), a) for w, a in collocations._longer(words, None, 2).collect())
+    assert found == [(3, 50), (3, 50), (4, 50)]
+
+
+def test_three_words_that_go_on_rarely(spark):
+    rows = [("en", f"of the new w{k % 7}") for k in range(28)] + [("en", "of the new")] * 3 + [("de", "x y z. of the new")] * 31
+    want = brute(rows, 5, 80, 2000)
+    assert any(r[2] == "of the new" and r[3] == 31 and r[0] == "en" for r in want)
+    assert got(spark, rows, min_count=5) == want
+
+
 def test_score_is_exact(spark):
     a = 10**14 + 7
     d = spark.createDataFrame([(a, a + 1, a + 3)], "a long, l long, r long")
