@@ -207,10 +207,19 @@ def _dictionary(words: DataFrame, known: np.ndarray | None) -> DataFrame:
 
 
 def _sorted_values(df: DataFrame, limit: int, dtype) -> np.ndarray | None:
-    """The one column of ``df`` in order, or None if it has more than ``limit`` rows."""
+    """The one column of ``df`` in order, or None if it has more than ``limit`` rows. It comes as Arrow batches whatever the session
+    says about Arrow, so the driver holds 8 bytes a value, twice while it copies, and never a Python object for one."""
     if df.count() > limit:
         return None
-    return np.sort(df.toPandas().iloc[:, 0].to_numpy(np.int64).view(dtype))
+    table = df.toArrow()
+    out, at = np.empty(table.num_rows, np.int64), 0
+    for part in table.column(0).chunks:
+        out[at: at + len(part)] = part.to_numpy(zero_copy_only=False)
+        at += len(part)
+    del table
+    out = out.view(dtype)
+    out.sort()
+    return out
 
 
 def collocations(docs: DataFrame, min_count: int = 30, share: int = 80, top: int = 2000, max_pairs: int = MAX_PAIRS,
@@ -226,6 +235,7 @@ def collocations(docs: DataFrame, min_count: int = 30, share: int = 80, top: int
     pairs = stage(stripes.filter("w2 != 0").select("w1", "w2", F.col("n").alias("a")), "pairs")
     known = _sorted_values(pairs.select(F.expr(_PAIR).alias("h")), max_pairs, np.uint64)
     longer = stage(_longer(words, known, min_count), "longer")
+    del known  # stored: the driver keeps neither the pairs nor what was sent
 
     found = pairs.select(F.array("w1", "w2").alias("w"), "a").unionByName(longer)
     often = totals.select(F.array("w1").alias("w"), "f", "lang").unionByName(

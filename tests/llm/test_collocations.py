@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -82,6 +83,25 @@ def test_flush_and_slices(spark, monkeypatch):
     assert got(spark, rows, min_count=4) == brute(rows, 4, 80, 2000)
 
 
+@pytest.mark.parametrize("arrow", ["false", "true"])
+def test_values_reach_the_driver_without_objects(spark, arrow):
+    """A few bytes a value on the driver, also in a session that does not use Arrow by itself (the default)."""
+    n, key = 100_000, "spark.sql.execution.arrow.pyspark.enabled"
+    df, was = spark.range(n).repartition(3).select((F.col("id") * 7 - 350_000).alias("h")), spark.conf.get(key)
+    spark.conf.set(key, arrow)
+    tracemalloc.start()
+    try:
+        got = collocations._sorted_values(df, n, np.int64)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(key, was)
+    assert np.array_equal(got, np.arange(n) * 7 - 350_000) and peak < 40 * n
+    assert np.array_equal(collocations._sorted_values(df, n, np.uint64), np.sort(got.view(np.uint64)))
+    assert collocations._sorted_values(df, n - 1, np.int64) is None
+    assert len(collocations._sorted_values(df.limit(0), n, np.uint64)) == 0
+
+
 @pytest.mark.parametrize("all_pairs", [True, False])
 def test_one_row_a_position(spark, all_pairs):
     rows = [("en", f"a b c d e{k} f g. h i") for k in range(50)]
