@@ -1,5 +1,8 @@
 """Invariants of the rows-only operators (models, explanation, persistence, scoring, streaming)."""
 
+import pytest
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from riskflow.plans.catalog import load_all
@@ -80,3 +83,15 @@ def test_stream_resumes_from_checkpoint(spark, tmp_path):
     out = score_stream(spark, src, sink, ckpt, feats, clf)
     assert first == rec.where("TransactionID % 2 = 0").count()
     assert out.count() == rec.count() == out.select("TransactionID").distinct().count()
+
+
+def test_logistic_fits_all_training_rows(spark, monkeypatch):
+    """The fit gets every training row, also above 200,000, and its penalty is one over their number."""
+    from riskflow.operators import models as M
+
+    d = spark.range(200_300).select(F.col("id").alias("TransactionID"), (F.col("id") % 3 == 0).cast("int").alias("isFraud"),
+                                    array_to_vector(F.array((F.col("id") % 3 + F.col("id") % 7).cast("double"))).alias("features"))
+    seen, fit = [], LogisticRegression._fit
+    monkeypatch.setattr(LogisticRegression, "_fit", lambda self, df: seen.append((df.count(), self.getRegParam())) or fit(self, df))
+    _, scores, _ = M.logistic_baseline(M.Matrix(d, d.limit(50), ["x"]))
+    assert seen == [(200_300, pytest.approx(1 / 200_300))] and scores.count() == 50
