@@ -1,7 +1,10 @@
 """Invariants of the rows-only operators (models, explanation, persistence, scoring, streaming)."""
 
+import random
+from types import SimpleNamespace
+
 import pytest
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -95,3 +98,23 @@ def test_logistic_fits_all_training_rows(spark, monkeypatch):
     monkeypatch.setattr(LogisticRegression, "_fit", lambda self, df: seen.append((df.count(), self.getRegParam())) or fit(self, df))
     _, scores, _ = M.logistic_baseline(M.Matrix(d, d.limit(50), ["x"]))
     assert seen == [(200_300, pytest.approx(1 / 200_300))] and scores.count() == 50
+
+
+def test_registered_fits_have_the_reference_sizes(spark, monkeypatch):
+    """(trees, depth) that the queries ask for; the fits themselves are cut short here."""
+    from riskflow.plans import queries_models as Q
+
+    rng = random.Random(5)
+    rows = [(i, int(i % 3 == 0), float(i % 3 == 0) + rng.random(), rng.random()) for i in range(200)]
+    df = spark.createDataFrame(rows, "TransactionID long, isFraud int, a double, b double")
+    monkeypatch.setattr(Q, "stages", lambda *_, **__: SimpleNamespace(crossed=df))
+    monkeypatch.setattr(Q, "_MEMO", {})
+    seen, fit = [], GBTClassifier._fit
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, d: seen.append((self.getMaxIter(), self.getMaxDepth())) or fit(
+        self.copy({self.maxIter: 1, self.maxDepth: 2}), d))
+    want = {"model_importance": [(200, 6)] * 2, "gbt_baseline": [(300, 6)], "xgb_baseline": [(300, 6)], "cat_baseline": [(300, 6)],
+            "gbt_tuned": [(500, 5)] * 2 + [(500, 6)] * 2, "kfold_cv": [(300, 6)] * 5, "logistic_baseline": []}
+    for name, sizes in want.items():  # the first one's matrix serves all
+        seen.clear()
+        REG[name].fn(spark, "own rows")
+        assert sorted(seen) == sizes, name
